@@ -74,14 +74,18 @@ def not_in(df: DataFrame, key: str, listed: DataFrame) -> DataFrame:
     """SQL ``NOT IN``: one null in the list lets no row through.
 
     Spark runs ``NOT IN`` as a broadcast of the whole list. Here the list stays
-    distributed: an anti-join on the key, and two one-row subqueries for nulls.
+    distributed: a null-safe anti-join, and a one-row subquery over the same
+    shuffled list that says whether it holds a null or nothing at all.
     """
-    values = listed.select(F.col(listed.columns[0]).alias(key))
-    no_null_listed = ~values.filter(F.col(key).isNull()).exists()
-    nothing_listed = ~values.exists()
-    return df.join(values.filter(F.col(key).isNotNull()), key, "left_anti").filter(
-        no_null_listed & (F.col(key).isNotNull() | nothing_listed)
-    )
+    values = listed.select(F.col(listed.columns[0]).alias("_listed")).distinct()
+    facts = values.agg(
+        F.struct(
+            F.coalesce(F.bool_or(F.col("_listed").isNull()), F.lit(False)).alias("null"),
+            (F.count("*") == 0).alias("empty"),
+        )
+    ).scalar()
+    others = df.join(values, F.col(key).eqNullSafe(F.col("_listed")), "left_anti")
+    return others.filter(~facts.getField("null") & (F.col(key).isNotNull() | facts.getField("empty")))
 
 
 def all_rows(df: DataFrame, key: str, predicate: Column, null_passes: bool = False) -> DataFrame:
