@@ -1,0 +1,41 @@
+"""Every registered query against its SQL, on whole tables."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from tests import compare
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return compare.connect(FOLDER)
+
+
+def test_every_query_has_its_sql():
+    assert list(entry.queries()) == list(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_same_rows(spark, con, name):
+    df = entry.queries()[name](spark, FOLDER)
+    assert compare.difference(df, con, entry.oracle_sql()[name]) is None
+
+
+def test_flagship(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["sku_id", "category_id"]
+    assert 0 < df.count() <= 75
+
+
+@pytest.mark.parametrize("name", ["h2_sessionize", "m40_peak_online", "m8_daily_new_users", "m22b_overlapping_places"])
+def test_session_zone_does_not_matter(spark, con, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert compare.difference(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -1,0 +1,189 @@
+"""Known answers on the sample rows, read back through the text and Parquet sources."""
+
+import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests import samples
+from tidemark.plans import activity, school, shop
+from tidemark.sources import schemas, tables
+
+D = datetime.date
+
+# Which sample text belongs to which declared table.
+SAMPLES = {
+    "student": (samples.STUDENT, schemas.SCHOOL),
+    "course": (samples.COURSE, schemas.SCHOOL),
+    "teacher": (samples.TEACHER, schemas.SCHOOL),
+    "score": (samples.SCORE, schemas.SCHOOL),
+    "sku": (samples.SKU, schemas.SHOP),
+    "order_info": (samples.ORDERS, schemas.SHOP),
+    "login": (samples.LOGIN, schemas.SHOP),
+    "price_change": (samples.PRICE_CHANGE, schemas.SHOP),
+    "live": (samples.LIVE, schemas.ACTIVITY),
+    "page_view": (samples.PAGE_VIEW, schemas.ACTIVITY),
+    "login_events": (samples.LOGIN_EVENTS, schemas.ACTIVITY),
+    "promotion": (samples.PROMOTION, schemas.ACTIVITY),
+}
+
+
+@pytest.fixture(scope="module")
+def t(spark, tmp_path_factory):
+    """School tables as comma text, shop tables as tab text, activity tables as literal rows, all stored as Parquet."""
+    base = tmp_path_factory.mktemp("samples")
+    loaded = {}
+    for name, (text, group) in SAMPLES.items():
+        stored = str(base / f"{name}.parquet")
+        if group is schemas.ACTIVITY:
+            rows = [line.split(",") for line in text.splitlines()]
+            tables.save(tables.rows_table(spark, rows, group[name]), stored)
+        else:
+            sep = "," if group is schemas.SCHOOL else "\t"
+            file = base / f"{name}.txt"
+            file.write_text(text.replace(",", sep), encoding="utf-8")
+            tables.load_files(spark, str(file), group[name], stored, sep)
+        loaded[name] = tables.read_table(spark, stored, group[name])
+    return loaded
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def ids(df):
+    return [r[0] for r in rows(df)]
+
+
+def test_loaded(t):
+    counts = {name: df.count() for name, df in t.items()}
+    assert counts == {
+        "student": 20, "course": 5, "teacher": 4, "score": 74, "sku": 12, "order_info": 40, "login": 29,
+        "price_change": 24, "live": 12, "page_view": 18, "login_events": 16, "promotion": 10,
+    }
+    assert all(df.select([F.count_if(F.col(c).isNull()) for c in df.columns]).first() == (0,) * len(df.columns) for df in t.values())
+
+
+def test_names(t):
+    assert ids(school.name_contains(t["student"], "stu_name", "冰")) == ["017", "018"]
+    assert rows(school.prefix_count(t["teacher"], "tea_name", "王")) == [(1,)]
+    assert rows(school.two_way_count(t["student"], "男", "女")) == [(11, 9)]
+    assert rows(school.shared_first_char(t["student"], "stu_name")) == [("刘", 2), ("周", 2), ("陈", 2)]
+
+
+def test_course_results(t):
+    low = school.course_scores_below(t["score"], "04", 60).collect()
+    assert [r.score for r in low] == sorted((r.score for r in low), reverse=True) and len(low) == 6
+    failed = school.failed_in_course(t["student"], t["course"], t["score"], "数学", 60).collect()
+    assert [r.stu_id for r in failed] == ["005", "007", "008", "011", "013", "014", "015", "017", "018", "019", "020"]
+    assert rows(school.course_total(t["score"], "02")) == [(1133,)]
+    assert rows(school.distinct_takers(t["score"])) == [(19,)]
+    assert rows(school.courses_with_takers(t["score"], 15)) == [("01", 19), ("02", 19), ("03", 19)]
+
+
+def test_pivot_of_named_courses(t):
+    wide = school.score_pivot(t["course"], t["score"], {"c1": "语文", "c2": "数学", "c3": "英语"})
+    found = {r.stu_id: r for r in wide.collect()}
+    assert tuple(found["006"])[:5] == ("006", 71, 90, 59, 3)
+    assert "003" not in found and len(found) == 19
+
+
+def test_conditions_over_all_courses(t):
+    s = t["student"], t["score"]
+    assert ids(school.all_below(*s, 60)) == ["008", "017"]
+    with_all = {"005", "007", "009"}
+    assert ids(school.not_all_courses(t["student"], t["course"], t["score"])) == [
+        f"{n:03d}" for n in range(1, 21) if f"{n:03d}" not in with_all
+    ]
+    assert rows(school.failing_averages(*s, 60)) == [
+        ("007", 59.8), ("008", 43.0), ("010", 58.25), ("013", 61.0), ("014", 48.0), ("015", 70.25),
+        ("017", 45.25), ("018", 58.0), ("019", pytest.approx(178 / 3)), ("020", 69.75),
+    ]
+    assert rows(school.averages_above(*s, 85)) == [("002", "胡歌", 86.25)]
+    totals = {r.stu_id: r for r in school.student_totals(*s).collect()}
+    assert totals["003"].course_count == 0 and totals["003"].sum_score is None and len(totals) == 20
+
+
+def test_pairs_of_courses(t):
+    expected = [
+        ("005", "04", 85), ("005", "05", 85), ("007", "04", 63), ("007", "05", 63), ("009", "04", 79),
+        ("009", "05", 79), ("016", "01", 71), ("016", "03", 71), ("017", "02", 34), ("017", "04", 34),
+    ]
+    assert rows(school.same_score_in_courses(t["score"], repeat=True)) == expected
+    assert rows(school.same_score_in_courses(t["score"])) == [(*row, 1) for row in expected]
+    assert ids(school.course_beats(t["score"], "01", "02")) == [
+        "001", "005", "008", "010", "011", "013", "014", "015", "017", "019", "020",
+    ]
+
+
+def test_courses_of_a_teacher(t):
+    four = t["student"], t["course"], t["teacher"], t["score"], "李体音"
+    assert ids(school.took_all_of(*four)) == ["005", "007", "009"]
+    assert ids(school.took_none_of(*four)) == ["003", "006", "008", "011", "012", "019"]
+    any_of = rows(school.took_any_of(*four))
+    assert any_of == rows(school.took_any_of_by_join(*four)) and len(any_of) == 14
+    assert rows(school.took_both(t["student"], t["score"], "01", "02")) == rows(
+        school.took_both_by_count(t["student"], t["score"], "01", "02")
+    )
+    assert len(rows(school.shares_course_with(t["student"], t["score"], "001"))) == 18
+
+
+def test_order_days(t):
+    assert ids(shop.consecutive_order_days(t["order_info"])) == ["101"]
+    assert rows(shop.next_day_repeat_rate(t["order_info"])) == [("60.0%",)]
+    last = {}
+    for r in shop.vip_level(t["order_info"]).orderBy("create_date").collect():
+        last[r.user_id] = (r.sum_so_far, r.vip_level)
+    assert {user: int(total) for user, (total, _) in last.items()} == {
+        "101": 143660, "102": 177850, "103": 75890, "104": 89880, "105": 120100, "106": 119150, "107": 124150,
+        "108": 155770, "109": 153500, "1010": 51950,
+    }
+    assert last["103"][1] == "黄金会员" and last["104"][1] == "白金会员" and last["101"][1] == "钻石会员"
+
+
+def test_logins(t):
+    login = t["login"]
+    assert rows(activity.daily_new_users(login, "login_ts")) == [
+        *((D(2021, 9, day), 1) for day in range(21, 28)), (D(2021, 10, 4), 2), (D(2021, 10, 6), 1),
+    ]
+    assert rows(activity.login_streaks(login, "login_ts")) == [
+        ("101", D(2021, 9, 27), D(2021, 9, 30)),
+        ("102", D(2021, 10, 1), D(2021, 10, 2)),
+        ("106", D(2021, 10, 4), D(2021, 10, 5)),
+        ("107", D(2021, 10, 5), D(2021, 10, 6)),
+    ]
+    assert rows(activity.longest_login_gap(login, "login_ts", "2021-10-10")) == [
+        ("101", 10), ("1010", 12), ("102", 9), ("103", 10), ("104", 9), ("105", 6), ("106", 5), ("107", 10),
+        ("108", 4), ("109", 10),
+    ]
+    assert rows(activity.peak_online(login)) == [(7,)]
+    # 101 overlaps with itself at one address, the others at two.
+    assert ids(activity.overlapping_logins(login)) == ["101", "102", "104", "107"]
+    assert ids(activity.overlapping_logins(login, distinct_place=True)) == ["102", "104", "107"]
+
+
+def test_prices(t):
+    price = {r.sku_id: int(r.price) for r in shop.price_as_of(t["sku"], t["price_change"], "2021-10-01").collect()}
+    assert price == {
+        "1": 2000, "2": 10, "3": 5000, "4": 6000, "5": 500, "6": 2000, "7": 100, "8": 600, "9": 1000, "10": 90,
+        "11": 66, "12": 20,
+    }
+    assert rows(shop.median_price(t["sku"])) == [("1", 3500.0), ("2", 550.0), ("3", 75.0)]
+    changes = shop.last_price_change(t["price_change"]).collect()
+    assert (changes[0].sku_id, changes[0].price_change) == ("8", Decimal("-200.00"))
+    assert (changes[-1].sku_id, changes[-1].price_change) == ("4", Decimal("400.00"))
+
+
+def test_activity(t):
+    assert rows(activity.peak_per_room(t["live"])) == [(1, 4), (2, 3), (3, 2)]
+    sessions = {}
+    for r in activity.page_sessions(t["page_view"]).collect():
+        sessions.setdefault(r.session_id, []).append(r.view_timestamp)
+    assert {name: len(views) for name, views in sessions.items()} == {
+        "100-1": 3, "100-2": 3, "101-1": 3, "101-2": 3, "102-1": 3, "103-1": 3,
+    }
+    assert rows(activity.longest_streak(t["login_events"], "login_datetime")) == [
+        (100, 3), (101, 6), (102, 3), (104, 3), (105, 1),
+    ]
+    assert rows(activity.promotion_days(t["promotion"])) == [("huawei", 22), ("oppo", 16), ("redmi", 22), ("vivo", 17)]
