@@ -111,7 +111,7 @@ def test_covered_days(spark):
 
 def test_sessions(spark):
     rng = random.Random(7)
-    data = [(n, rng.choice([0, 0, 0, *range(30)]), rng.randrange(2000)) for n in range(900)]
+    data = [(n, rng.choice([0, 0, 0, *range(30)]), 86400 * rng.choice([0, 0, 1, 5]) + rng.randrange(-900, 900)) for n in range(900)]
     df = spark.createDataFrame(data, "id int, k int, ts bigint").repartition(7)
     expected = {}
     for key in {k for _, k, _ in data}:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import one_if
 from tidemark.operators.groups import Keys, as_list
 
 CELLS = ["_day", "_minute"]
@@ -137,13 +138,28 @@ def covered_days(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
 def sessionize(df: DataFrame, key: str, ts: str, gap_s: int) -> DataFrame:
     """Rows labelled ``key-n`` in ``session_id``; a wait of gap_s seconds starts the next session.
 
-    Sessions depend only on the distinct seconds of a key, so those are numbered
-    (at most the seconds in the data per key, however many rows) and joined back.
+    ``ts`` counts whole seconds. Sessions depend only on the distinct seconds of
+    a key, so those are numbered and joined back. They are numbered within a day
+    first, then the days of a key are chained: a group holds at most the seconds
+    of a day or the days of the data, however many rows a key has.
     """
-    in_order = Window.partitionBy(key).orderBy(ts)
-    seconds = df.select(key, ts).distinct()
-    opens = F.when(F.col(ts) - F.lag(ts).over(in_order) < gap_s, 0).otherwise(1)
-    number = F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    label = F.concat(F.col(key).cast("string"), F.lit("-"), number.cast("string"))
-    sessions = seconds.withColumn("_opens", opens).select(key, ts, label.alias("session_id"))
+    seconds = df.select(key, ts).filter(F.col(ts).isNotNull()).distinct()
+    seconds = seconds.withColumn("_day", F.floor(F.col(ts) / 86400))
+    within = Window.partitionBy(key, "_day").orderBy(ts)
+    waited = F.col(ts) - F.lag(ts).over(within) >= gap_s
+    seconds = seconds.withColumn("_opens", one_if(waited)).withColumn(
+        "_opened", F.sum("_opens").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    by_day = Window.partitionBy(key).orderBy("_day")
+    carried_on = F.col("_first") - F.lag("_last").over(by_day) < gap_s
+    days = (
+        seconds.groupBy(key, "_day")
+        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_opened").alias("_within"))
+        .withColumn("_new", F.when(carried_on, 0).otherwise(1) + F.col("_within"))
+        .withColumn("_upto", F.sum("_new").over(by_day.rowsBetween(Window.unboundedPreceding, 0)))
+        .select(key, "_day", (F.col("_upto") - F.col("_within")).alias("_before"))
+    )
+    number = (F.col("_before") + F.col("_opened")).cast("string")
+    label = F.concat(F.col(key).cast("string"), F.lit("-"), number)
+    sessions = seconds.join(days, [key, "_day"]).select(key, ts, label.alias("session_id"))
     return df.join(sessions, [key, ts], "left")
