@@ -34,9 +34,14 @@ def islands(df: DataFrame, keys: Keys, day: str, unit: str = "day", max_gap: int
     number = month_number(F.col(day)) if unit == "month" else F.unix_date(F.col(day))
     in_order = Window.partitionBy(*keys).orderBy("_no")
     points = distinct_days(df, keys, day).withColumn("_no", number)
-    points = points.withColumn(
-        "_opens", F.when(F.col("_no") - F.lag("_no").over(in_order) <= max_gap, 0).otherwise(1)
-    ).withColumn("_island", F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    if max_gap == 1:
+        # Without tolerated gaps the distance to the row number stays the same along a run.
+        island = F.col("_no") - F.row_number().over(in_order)
+    else:
+        opens = F.when(F.col("_no") - F.lag("_no").over(in_order) <= max_gap, 0).otherwise(1)
+        points = points.withColumn("_opens", opens)
+        island = F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    points = points.withColumn("_island", island)
     return (
         points.groupBy(*keys, "_island")
         .agg(
