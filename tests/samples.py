@@ -176,6 +176,108 @@ ORDERS = """\
 40,1010,2020-10-08,6790.00
 """
 
+ORDER_DETAIL = """\
+1,1,1,2021-09-27,2000.00,2
+2,1,3,2021-09-27,5000.00,5
+3,2,4,2021-09-28,6000.00,9
+4,2,5,2021-09-28,500.00,33
+5,3,7,2021-09-29,100.00,37
+6,3,8,2021-09-29,600.00,46
+7,3,9,2021-09-29,1000.00,12
+8,4,12,2021-09-30,20.00,43
+9,5,1,2021-10-01,2000.00,8
+10,5,2,2021-10-01,10.00,18
+11,5,3,2021-10-01,5000.00,6
+12,6,4,2021-10-01,6000.00,8
+13,6,6,2021-10-01,2000.00,1
+14,7,7,2021-10-01,100.00,17
+15,7,8,2021-10-01,600.00,48
+16,7,9,2021-10-01,1000.00,45
+17,8,10,2021-10-02,100.00,48
+18,8,11,2021-10-02,50.00,15
+19,8,12,2021-10-02,20.00,31
+20,9,1,2021-09-30,2000.00,9
+21,9,2,2021-10-02,10.00,5800
+22,10,4,2021-10-02,6000.00,1
+23,10,5,2021-10-02,500.00,24
+24,10,6,2021-10-02,2000.00,5
+25,11,8,2021-10-02,600.00,39
+26,12,10,2021-10-03,100.00,47
+27,12,11,2021-10-03,50.00,19
+28,12,12,2021-10-03,20.00,13000
+29,13,1,2021-10-03,2000.00,4
+30,13,3,2021-10-03,5000.00,1
+31,14,4,2021-10-03,6000.00,5
+32,14,5,2021-10-03,500.00,47
+33,14,6,2021-10-03,2000.00,8
+34,15,7,2021-10-03,100.00,20
+35,16,10,2021-10-03,100.00,22
+36,16,11,2021-10-03,50.00,42
+37,16,12,2021-10-03,20.00,7400
+38,17,1,2021-10-04,2000.00,3
+39,17,2,2021-10-04,10.00,21
+40,18,4,2021-10-04,6000.00,8
+41,18,5,2021-10-04,500.00,28
+42,18,6,2021-10-04,2000.00,3
+43,19,7,2021-10-04,100.00,55
+44,19,8,2021-10-04,600.00,11
+45,19,9,2021-10-04,1000.00,31
+46,20,11,2021-10-04,50.00,45
+47,20,12,2021-10-04,20.00,27
+48,21,1,2021-10-04,2000.00,2
+49,21,2,2021-10-04,10.00,39
+50,21,3,2021-10-04,5000.00,1
+51,22,4,2021-10-05,6000.00,8
+52,22,5,2021-10-05,500.00,20
+53,23,7,2021-10-05,100.00,58
+54,23,8,2021-10-05,600.00,18
+55,23,9,2021-10-05,1000.00,30
+56,24,10,2021-10-05,100.00,27
+57,24,11,2021-10-05,50.00,28
+58,24,12,2021-10-05,20.00,53
+59,25,1,2021-10-05,2000.00,5
+60,25,2,2021-10-05,10.00,35
+61,25,3,2021-10-05,5000.00,9
+62,26,4,2021-10-05,6000.00,1
+63,26,5,2021-10-05,500.00,13
+64,26,6,2021-10-05,2000.00,1
+65,27,7,2021-10-06,100.00,30
+66,27,8,2021-10-06,600.00,19
+67,27,9,2021-10-06,1000.00,33
+68,28,10,2021-10-06,100.00,37
+69,28,11,2021-10-06,50.00,46
+70,28,12,2021-10-06,20.00,45
+71,29,1,2021-10-06,2000.00,8
+72,29,2,2021-10-06,10.00,57
+73,29,3,2021-10-06,5000.00,8
+74,30,4,2021-10-06,6000.00,3
+75,30,5,2021-10-06,500.00,33
+76,30,6,2021-10-06,2000.00,5
+77,31,8,2021-10-07,600.00,13
+78,31,9,2021-10-07,1000.00,43
+79,32,10,2021-10-07,100.00,24
+80,32,11,2021-10-07,50.00,30
+81,33,1,2021-10-07,2000.00,8
+82,33,2,2021-10-07,10.00,48
+83,33,3,2021-10-07,5000.00,5
+84,34,4,2021-10-07,6000.00,10
+85,34,5,2021-10-07,500.00,44
+86,34,6,2021-10-07,2000.00,3
+87,35,8,2020-10-08,600.00,25
+88,36,10,2020-10-08,100.00,57
+89,36,11,2020-10-08,50.00,44
+90,36,12,2020-10-08,20.00,56
+91,37,1,2020-10-08,2000.00,2
+92,37,2,2020-10-08,10.00,26
+93,37,3,2020-10-08,5000.00,1
+94,38,6,2020-10-08,2000.00,6
+95,39,7,2020-10-08,100.00,35
+96,39,8,2020-10-08,600.00,34
+97,40,10,2020-10-08,100.00,37
+98,40,11,2020-10-08,50.00,51
+99,40,12,2020-10-08,20.00,27
+"""
+
 LOGIN = """\
 101,180.149.130.161,2021-09-21 08:00:00,2021-09-27 08:30:00
 101,180.149.130.161,2021-09-27 08:00:00,2021-09-27 08:30:00
@@ -235,6 +337,49 @@ PRICE_CHANGE = """\
 12,20,2021-09-29
 """
 
+DELIVERY = """\
+1,1,101,2021-09-27,2021-09-29
+2,2,101,2021-09-28,2021-09-28
+3,3,101,2021-09-29,2021-09-30
+4,4,101,2021-09-30,2021-10-01
+5,5,102,2021-10-01,2021-10-01
+6,6,102,2021-10-01,2021-10-01
+7,7,102,2021-10-01,2021-10-03
+8,8,102,2021-10-02,2021-10-02
+9,9,103,2021-10-02,2021-10-03
+10,10,103,2021-10-02,2021-10-04
+11,11,103,2021-10-02,2021-10-02
+12,12,103,2021-10-03,2021-10-03
+13,13,104,2021-10-03,2021-10-04
+14,14,104,2021-10-03,2021-10-04
+15,15,104,2021-10-03,2021-10-03
+16,16,104,2021-10-03,2021-10-03
+17,17,105,2021-10-04,2021-10-04
+18,18,105,2021-10-04,2021-10-06
+19,19,105,2021-10-04,2021-10-06
+20,20,105,2021-10-04,2021-10-04
+21,21,106,2021-10-04,2021-10-04
+22,22,106,2021-10-05,2021-10-05
+23,23,106,2021-10-05,2021-10-05
+24,24,106,2021-10-05,2021-10-07
+25,25,107,2021-10-05,2021-10-05
+26,26,107,2021-10-05,2021-10-06
+27,27,107,2021-10-06,2021-10-06
+28,28,107,2021-10-06,2021-10-07
+29,29,108,2021-10-06,2021-10-06
+30,30,108,2021-10-06,2021-10-06
+31,31,108,2021-10-07,2021-10-09
+32,32,108,2021-10-07,2021-10-09
+33,33,109,2021-10-07,2021-10-08
+34,34,109,2021-10-07,2021-10-08
+35,35,109,2021-10-08,2021-10-10
+36,36,109,2021-10-08,2021-10-09
+37,37,1010,2021-10-08,2021-10-10
+38,38,1010,2021-10-08,2021-10-10
+39,39,1010,2021-10-08,2021-10-09
+40,40,1010,2021-10-08,2021-10-09
+"""
+
 LIVE = """\
 100,1,2021-12-01 19:00:00,2021-12-01 19:28:00
 100,1,2021-12-01 19:30:00,2021-12-01 19:53:00

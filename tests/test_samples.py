@@ -20,8 +20,10 @@ SAMPLES = {
     "score": (samples.SCORE, schemas.SCHOOL),
     "sku": (samples.SKU, schemas.SHOP),
     "order_info": (samples.ORDERS, schemas.SHOP),
+    "order_detail": (samples.ORDER_DETAIL, schemas.SHOP),
     "login": (samples.LOGIN, schemas.SHOP),
     "price_change": (samples.PRICE_CHANGE, schemas.SHOP),
+    "delivery": (samples.DELIVERY, schemas.SHOP),
     "live": (samples.LIVE, schemas.ACTIVITY),
     "page_view": (samples.PAGE_VIEW, schemas.ACTIVITY),
     "login_events": (samples.LOGIN_EVENTS, schemas.ACTIVITY),
@@ -59,8 +61,8 @@ def ids(df):
 def test_loaded(t):
     counts = {name: df.count() for name, df in t.items()}
     assert counts == {
-        "student": 20, "course": 5, "teacher": 4, "score": 74, "sku": 12, "order_info": 40, "login": 29,
-        "price_change": 24, "live": 12, "page_view": 18, "login_events": 16, "promotion": 10,
+        "student": 20, "course": 5, "teacher": 4, "score": 74, "sku": 12, "order_info": 40, "order_detail": 99,
+        "login": 29, "price_change": 24, "delivery": 40, "live": 12, "page_view": 18, "login_events": 16, "promotion": 10,
     }
     assert all(df.select([F.count_if(F.col(c).isNull()) for c in df.columns]).first() == (0,) * len(df.columns) for df in t.values())
 
@@ -142,6 +144,23 @@ def test_order_days(t):
     assert last["103"][1] == "黄金会员" and last["104"][1] == "白金会员" and last["101"][1] == "钻石会员"
 
 
+def test_order_lines(t):
+    lines = shop.with_buyer(shop.with_amount(t["order_detail"]), t["order_info"])
+    assert lines.count() == 99
+    assert ids(shop.nth_best_seller(lines)) == ["2"] and ids(shop.nth_best_seller(lines, 1)) == ["12"]
+    assert {r.sku_id: r.sum_num for r in shop.pieces(lines).collect() if r.sku_id in ("2", "12")} == {"2": 6044, "12": 20682}
+    assert ids(shop.bought_but_not(lines, "sku_id", ["1", "2"], ["3"])) == ["103", "105"]
+    assert ids(shop.top_per_category(lines, t["sku"]).groupBy("category_id").count().filter("count = 3")) == ["1", "2", "3"]
+    # What the items sold for in all years is what their lines add up to.
+    yearly = shop.yearly_sales(lines).agg(F.sum("sku_sum")).first()[0]
+    assert yearly == lines.agg(F.sum("amount")).first()[0]
+    firsts = {r.sku_id: r.first_year for r in shop.first_year_sales(lines).collect()}
+    assert firsts["1"] == 2020 and firsts["4"] == 2021
+    immediate = F.col("order_date") == F.col("custom_date")
+    by_number = t["delivery"].withColumn("order_id", F.col("order_id").cast("int"))
+    assert rows(shop.first_order_share(by_number, immediate)) == [(0.5,)]
+
+
 def test_logins(t):
     login = t["login"]
     assert rows(activity.daily_new_users(login, "login_ts")) == [

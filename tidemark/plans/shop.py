@@ -25,6 +25,16 @@ SALES_TOP = "热门商品"
 WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 
 
+def with_amount(lines: DataFrame) -> DataFrame:
+    """Order lines with a unit price get their total as `amount`."""
+    return lines.withColumn("amount", F.col("price") * F.col("sku_num"))
+
+
+def with_buyer(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order lines that only name their order get its user."""
+    return lines.join(orders.select("order_id", "user_id"), "order_id")
+
+
 def pieces(lines: DataFrame) -> DataFrame:
     """Pieces sold per item."""
     return lines.groupBy("sku_id").agg(F.sum("sku_num").alias("sum_num"))
