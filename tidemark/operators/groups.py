@@ -65,7 +65,9 @@ def has_all_but(df: DataFrame, key: str, item: str, wanted: Sequence[object], un
     return found.filter(keep).select(key)
 
 
-def has_none(population: DataFrame, df: DataFrame, key: str, item: str, wanted: DataFrame | Sequence[object]) -> DataFrame:
+def has_none(
+    population: DataFrame, df: DataFrame, key: str, item: str, wanted: DataFrame | Sequence[object]
+) -> DataFrame:
     """Rows of the population whose key has none of the wanted items."""
     return not_in(population, key, has_any(df, key, item, wanted))
 
@@ -109,7 +111,7 @@ def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int, ties: str
 
     ``ties`` is row_number, rank or dense_rank. Give row_number a total order.
     Spark cuts each task to the first k ranks per key before it shuffles
-    (`WindowGroupLimit`), so a hot key sends k rows per task.
+    (`WindowGroupLimit`, for k up to 1000), so a hot key sends k rows per task.
     """
     rank = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[ties]()
     window = Window.partitionBy(*as_list(keys)).orderBy(*order)

@@ -71,14 +71,14 @@ def overlaps(df: DataFrame, key: str, start: str, end: str, place: str | None =
     rows = (
         points.groupBy(key, *CELLS, start)
         .agg(F.max(end).alias("high"), F.count("*").alias("n"))
-        .select(
-            key, *CELLS, start, F.col(start).alias("low"), "high", ((F.col("n") > 1) & (F.col("high") >= F.col(start))).alias("hit")
-        )
+        .withColumn("low", F.col(start))
+        .withColumn("hit", (F.col("n") > 1) & (F.col("high") >= F.col("low")))
+        .drop("n")
     )
     for group, order in _levels([key], start):
-        reached = F.max("high").over(_earlier(group, order))
+        reached = F.max("high").over(_earlier(group, order)) >= F.col("low")
         rows = (
-            rows.withColumn("hit", F.coalesce(F.col("hit"), F.lit(False)) | F.coalesce(reached >= F.col("low"), F.lit(False)))
+            rows.withColumn("hit", F.coalesce("hit", F.lit(False)) | F.coalesce(reached, F.lit(False)))
             .groupBy(*group)
             .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.bool_or("hit").alias("hit"))
         )

@@ -92,7 +92,7 @@ def user_levels(
     own = logins.groupBy("user_id").agg(
         F.min(F.col(at).cast("date")).alias("first"), F.max(F.col(at).cast("date")).alias("last")
     )
-    today = logins.agg(F.max(F.col(at).cast("date"))).scalar()
+    today = own.agg(F.max("last")).scalar()
     first, last = F.col("first"), F.col("last")
     recent, gone = F.date_sub(F.col("today"), active_days), F.date_sub(F.col("today"), lost_days)
     level = (

@@ -16,7 +16,10 @@ Query = Callable[[Roles], DataFrame]
 # Parameters of the bound queries; the SQL oracle reads them from here too.
 COURSE_NAME = "Supplier#000000001"
 TEACHER = "NATION_3"
-VIP = ([(1_000_000, "none"), (1_500_000, "bronze"), (2_000_000, "silver"), (2_500_000, "gold"), (3_000_000, "platinum")], "diamond")
+VIP = (
+    [(1_000_000, "none"), (1_500_000, "bronze"), (2_000_000, "silver"), (2_500_000, "gold"), (3_000_000, "platinum")],
+    "diamond",
+)
 BANDS = ([(631, "cold"), (890, "normal")], "hot")
 LEVELS = {"lost": "lost", "loyal": "loyal", "fresh": "new", "dormant": "dormant"}
 

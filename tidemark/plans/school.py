@@ -34,7 +34,9 @@ def course_scores_below(score: DataFrame, course_id: object, limit: int) -> Data
     return low.select("stu_id", "course_id", "score").orderBy(F.desc("score"), "stu_id")
 
 
-def failed_in_course(student: DataFrame, course: DataFrame, score: DataFrame, course_name: str, limit: int) -> DataFrame:
+def failed_in_course(
+    student: DataFrame, course: DataFrame, score: DataFrame, course_name: str, limit: int
+) -> DataFrame:
     named = course.filter(F.col("course_name") == course_name).select("course_id")
     low = score.filter(F.col("score") < limit).join(named, "course_id")
     return student.join(low, "stu_id").select(*NAMED, "score").orderBy("stu_id")
@@ -224,11 +226,15 @@ def courses_of(course: DataFrame, teacher: DataFrame, tea_name: str) -> DataFram
     return course.join(named, "tea_id", "left_semi").select("course_id")
 
 
-def took_all_of(student: DataFrame, course: DataFrame, teacher: DataFrame, score: DataFrame, tea_name: str) -> DataFrame:
+def took_all_of(
+    student: DataFrame, course: DataFrame, teacher: DataFrame, score: DataFrame, tea_name: str
+) -> DataFrame:
     return _named(student, has_all(score, "stu_id", "course_id", courses_of(course, teacher, tea_name)))
 
 
-def took_any_of(student: DataFrame, course: DataFrame, teacher: DataFrame, score: DataFrame, tea_name: str) -> DataFrame:
+def took_any_of(
+    student: DataFrame, course: DataFrame, teacher: DataFrame, score: DataFrame, tea_name: str
+) -> DataFrame:
     """By semi-joins from the students down to the teacher."""
     return _named(student, has_any(score, "stu_id", "course_id", courses_of(course, teacher, tea_name)))
 
@@ -241,7 +247,9 @@ def took_any_of_by_join(
     return score.join(taught, "course_id").select("stu_id").distinct().join(student, "stu_id").select(*NAMED)
 
 
-def took_none_of(student: DataFrame, course: DataFrame, teacher: DataFrame, score: DataFrame, tea_name: str) -> DataFrame:
+def took_none_of(
+    student: DataFrame, course: DataFrame, teacher: DataFrame, score: DataFrame, tea_name: str
+) -> DataFrame:
     """Also students without any result."""
     return has_none(student, score, "stu_id", "course_id", courses_of(course, teacher, tea_name)).select(*NAMED)
 

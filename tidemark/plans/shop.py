@@ -16,7 +16,13 @@ from tidemark.functions.columns import band, between, date, in_year, month_start
 from tidemark.operators import days, groups, lookup
 
 # Spend bands of the membership levels, (upper bound, label) and the top label.
-VIP_BANDS = [(10000, "普通会员"), (30000, "青铜会员"), (50000, "白银会员"), (80000, "黄金会员"), (100000, "白金会员")]
+VIP_BANDS = [
+    (10000, "普通会员"),
+    (30000, "青铜会员"),
+    (50000, "白银会员"),
+    (80000, "黄金会员"),
+    (100000, "白金会员"),
+]
 VIP_TOP = "钻石会员"
 # Bands of pieces sold, (upper bound, label) and the top label.
 SALES_BANDS = [(5000, "冷门商品"), (19999, "一般商品")]
