@@ -145,7 +145,7 @@ SHOP = {
         first(sku_id ORDER BY total DESC, sku_id) AS sku_id, first(name ORDER BY total DESC, sku_id) AS name,
         max(total) AS order_num, count(DISTINCT sku_id) AS order_cnt
         FROM sku_total NATURAL JOIN sku NATURAL JOIN category GROUP BY category_id""",
-    "m4_vip_level": """SELECT user_id, create_date, CAST(so_far AS DECIMAL(36,2)) AS sum_so_far,
+    "m4_vip_level": """SELECT user_id, create_date, CAST(so_far AS DECIMAL(26,2)) AS sum_so_far,
         CASE WHEN so_far >= 3000000 THEN 'diamond' WHEN so_far >= 2500000 THEN 'platinum' WHEN so_far >= 2000000
         THEN 'gold' WHEN so_far >= 1500000 THEN 'silver' WHEN so_far >= 1000000 THEN 'bronze' ELSE 'none' END AS vip_level
         FROM (SELECT d.user_id, d.create_date, sum(o.total_amount) AS so_far
@@ -181,7 +181,7 @@ SHOP = {
         CAST(coalesce(any_value(a), 0) AS DECIMAL(26,2)) AS order_amount_year
         FROM login LEFT JOIN (SELECT user_id, count(*) AS n, sum(total_amount) AS a FROM order_info
             WHERE year(create_date) = 1998 GROUP BY user_id) USING (user_id) GROUP BY user_id""",
-    "m12_price_as_of": """SELECT s.sku_id, CAST(coalesce(p.new_price, 99) AS DECIMAL(16,2)) AS price
+    "m12_price_as_of": """SELECT s.sku_id, CAST(coalesce(p.new_price, 99) AS DECIMAL(26,2)) AS price
         FROM (SELECT sku_id, DATE '1995-06-01' AS at FROM sku) s
         ASOF LEFT JOIN price_change p ON s.sku_id = p.sku_id AND s.at >= p.change_date""",
     "m13_first_order_share": """SELECT round(avg(CAST(f AS INTEGER)), 2) AS percentage
@@ -198,15 +198,15 @@ SHOP = {
         CAST(coalesce(sum(total_amount) FILTER (gender = 'MACHINERY'), 0) AS DECIMAL(26,2)) AS total_amount_female
         FROM order_info JOIN usr USING (user_id) GROUP BY create_date""",
     # Averages of whole cents, rounded half up in integers.
-    "m17_rolling_3": """SELECT create_date, CAST(s / 100.0 AS DECIMAL(37,2)) AS total_3d,
-        CAST((2 * s + n) // (2 * n) / 100.0 AS DECIMAL(27,2)) AS avg_ad
+    "m17_rolling_3": """SELECT create_date, CAST(s / 100.0 AS DECIMAL(26,2)) AS total_3d,
+        CAST((2 * s + n) // (2 * n) / 100.0 AS DECIMAL(26,2)) AS avg_ad
         FROM (SELECT create_date, sum(c) OVER w AS s, count(*) OVER w AS n
             FROM (SELECT create_date, CAST(sum(total_amount) * 100 AS BIGINT) AS c FROM order_info GROUP BY ALL)
             WINDOW w AS (ORDER BY create_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))""",
     "m17b_rolling_3_calendar": """WITH daily AS (
             SELECT create_date, CAST(sum(total_amount) * 100 AS BIGINT) AS c FROM order_info GROUP BY ALL)
-        SELECT create_date, CAST(s / 100.0 AS DECIMAL(37,2)) AS total_3d,
-        CAST((2 * s + n) // (2 * n) / 100.0 AS DECIMAL(27,2)) AS avg_ad
+        SELECT create_date, CAST(s / 100.0 AS DECIMAL(26,2)) AS total_3d,
+        CAST((2 * s + n) // (2 * n) / 100.0 AS DECIMAL(26,2)) AS avg_ad
         FROM (SELECT a.create_date, sum(b.c) AS s, count(*) AS n FROM daily a
             JOIN daily b ON b.create_date BETWEEN a.create_date - 2 AND a.create_date GROUP BY ALL)""",
     "m18_bought_a_b_not_c": """(SELECT user_id FROM order_detail WHERE shop_id = 1
@@ -262,7 +262,7 @@ SHOP = {
         )
     )
     + " FROM order_detail WHERE create_date BETWEEN DATE '1998-06-01' AND DATE '1998-06-07' GROUP BY sku_id",
-    "m33_last_price_change": """SELECT sku_id, CAST(v[1] - coalesce(v[2], 0) AS DECIMAL(17,2)) AS price_change
+    "m33_last_price_change": """SELECT sku_id, CAST(v[1] - coalesce(v[2], 0) AS DECIMAL(26,2)) AS price_change
         FROM (SELECT sku_id, list(new_price ORDER BY change_date DESC) AS v FROM price_change GROUP BY ALL)""",
     "m34_first_last_count": """SELECT user_id, min(create_date) AS first_date, max(create_date) AS last_date, count(*) AS cn
         FROM order_detail WHERE sku_id BETWEEN 1 AND 3 GROUP BY user_id HAVING count(*) > 1""",

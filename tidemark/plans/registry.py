@@ -7,17 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import money
 from tidemark.plans import activity, school, shop
 from tidemark.sources.roles import Roles
 from tidemark.sources.tables import preview
 
 Query = Callable[[Roles], DataFrame]
 
-# Parameters of the bound queries; the SQL oracle reads them from here too.
+# Parameters of the bound queries.
 COURSE_NAME = "Supplier#000000001"
 TEACHER = "NATION_3"
+# Money of the star schema is in cents.
 VIP = (
-    [(1_000_000, "none"), (1_500_000, "bronze"), (2_000_000, "silver"), (2_500_000, "gold"), (3_000_000, "platinum")],
+    [
+        (100_000_000, "none"),
+        (150_000_000, "bronze"),
+        (200_000_000, "silver"),
+        (250_000_000, "gold"),
+        (300_000_000, "platinum"),
+    ],
     "diamond",
 )
 BANDS = ([(631, "cold"), (890, "normal")], "hot")
@@ -84,43 +92,47 @@ SHOP: dict[str, Query] = {
     "m1b_second_or_null": lambda r: shop.nth_best_seller(r.sold(), 2, ties="rank", or_null=True),
     "m2_consecutive_order_days": lambda r: shop.consecutive_order_days(r.event_day("purchase")),
     "m3_category_best_and_kinds": lambda r: shop.category_best_and_kinds(r.sold(), r.sku(), r.category()),
-    "m4_vip_level": lambda r: shop.vip_level(r.order_info(), *VIP),
+    "m4_vip_level": lambda r: _in_money(shop.vip_level(r.order_info(), *VIP), "sum_so_far"),
     "m5_next_day_repeat_rate": lambda r: shop.next_day_repeat_rate(r.event_day("purchase")),
-    "m6_first_year_sales": lambda r: shop.first_year_sales(r.order_detail()),
+    "m6_first_year_sales": lambda r: _in_money(shop.first_year_sales(r.order_detail()), "order_amount"),
     "m7_low_sellers": lambda r: shop.low_sellers(r.order_detail(), r.sku(), 1998, 60, "1999-01-10"),
     "m8_daily_new_users": lambda r: activity.daily_new_users(r.login(), "login_ts"),
     "m9_best_day_per_sku": lambda r: shop.best_day_per_sku(r.order_detail()),
     "m10_above_category_avg": lambda r: shop.above_category_average(r.sold(), r.sku()),
-    "m11_user_overview": lambda r: activity.user_overview(r.login(), "login_ts", r.order_info(), 2024, 1998),
-    "m11b_user_overview_left": lambda r: activity.user_overview(
-        r.login(), "login_ts", r.order_info(), 2024, 1998, how="left"
-    ),
-    "m12_price_as_of": lambda r: shop.price_as_of(r.sku(), r.price_change(), "1995-06-01"),
+    "m11_user_overview": lambda r: _user_overview(r, "inner"),
+    "m11b_user_overview_left": lambda r: _user_overview(r, "left"),
+    "m12_price_as_of": lambda r: _in_money(shop.price_as_of(r.sku(), r.price_change(), "1995-06-01", 9900), "price"),
     "m13_first_order_share": lambda r: shop.first_order_share(r.delivery(), F.col("immediate")),
     "m14_friend_favourites": lambda r: shop.friend_favourites(r.friendship(), r.favor()),
     "m15_login_streaks": lambda r: activity.login_streaks(r.event_day("view"), "create_date"),
-    "m16_daily_by_gender": lambda r: shop.daily_by_gender(r.order_info(), r.user(), "BUILDING", "MACHINERY"),
-    "m17_rolling_3": lambda r: shop.rolling_sales(r.order_info()),
-    "m17b_rolling_3_calendar": lambda r: shop.rolling_sales(r.order_info(), calendar=True),
+    "m16_daily_by_gender": lambda r: _in_money(
+        shop.daily_by_gender(r.order_info(), r.user(), "BUILDING", "MACHINERY"),
+        "total_amount_male",
+        "total_amount_female",
+    ),
+    "m17_rolling_3": lambda r: _in_money(shop.rolling_sales(r.order_info(), digits=0), "total_3d", "avg_ad"),
+    "m17b_rolling_3_calendar": lambda r: _in_money(
+        shop.rolling_sales(r.order_info(), calendar=True, digits=0), "total_3d", "avg_ad"
+    ),
     "m18_bought_a_b_not_c": lambda r: shop.bought_but_not(r.order_detail(), "shop_id", [1, 2], [3]),
     "m19_daily_difference": lambda r: shop.daily_difference(r.order_detail(), "sku_id", 1, 2),
     "m20_latest_3_orders": lambda r: shop.latest_orders(r.order_info()),
     "m21_max_login_gap": lambda r: activity.longest_login_gap(r.event_day("view"), "create_date", "2024-02-05"),
     "m22_overlapping_logins": lambda r: activity.overlapping_logins(r.login()),
     "m22b_overlapping_places": lambda r: activity.overlapping_logins(r.login(), distinct_place=True),
-    "m23_target_two_months": lambda r: shop.target_two_months(r.order_detail(), "shop_id", F.lit(700_000)),
+    "m23_target_two_months": lambda r: shop.target_two_months(r.order_detail(), "shop_id", F.lit(70_000_000)),
     "m24_sales_bands": lambda r: shop.sales_bands(r.sold(), *BANDS),
     "m25_top3_per_category": lambda r: shop.top_per_category(r.sold(), r.sku()),
     "m26_median_price": lambda r: shop.median_price(r.sku()),
-    "m27_3day_sales_over": lambda r: shop.days_over(r.order_detail(), "shop_id", 100_000),
+    "m27_3day_sales_over": lambda r: shop.days_over(r.order_detail(), "shop_id", 10_000_000),
     "m28_day1_retention": lambda r: activity.day1_retention(r.event_day("purchase"), "create_date"),
     "m29_selling_ranges": lambda r: shop.selling_ranges(r.order_detail()),
     "m30_daily_logins_orders": lambda r: activity.daily_logins_and_orders(
         r.event_day("view"), "create_date", r.event_day("purchase")
     ),
-    "m31_yearly_sales": lambda r: shop.yearly_sales(r.order_detail()),
+    "m31_yearly_sales": lambda r: _in_money(shop.yearly_sales(r.order_detail()), "sku_sum"),
     "m32_week_pivot": lambda r: shop.week_pivot(r.order_detail(), "1998-06-01", "1998-06-07"),
-    "m33_last_price_change": lambda r: shop.last_price_change(r.price_change()),
+    "m33_last_price_change": lambda r: _in_money(shop.last_price_change(r.price_change()), "price_change"),
     "m34_first_last_count": lambda r: shop.first_last_count(r.order_detail(), [1, 2, 3]),
     "m35_same_month_two_years": lambda r: shop.same_month_two_years(r.order_detail(), 1997, 1998),
     "m36_favs_and_purchases": lambda r: shop.favs_and_purchases(
@@ -149,6 +161,16 @@ def _not_all_courses(r: Roles) -> DataFrame:
     return school.not_all_courses(r.student(), taught, r.score().join(taught, "course_id", "left_semi"))
 
 
+def _user_overview(r: Roles, how: str) -> DataFrame:
+    overview = activity.user_overview(r.login(), "login_ts", r.order_info(), 2024, 1998, how)
+    return _in_money(overview, "order_amount_year")
+
+
+def _in_money(df: DataFrame, *columns: str) -> DataFrame:
+    """The cents of the star schema as decimal amounts, once everything is summed."""
+    return df.withColumns({column: money(F.col(column)) for column in columns})
+
+
 def _bind(query: Query) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: query(Roles(spark, folder))
 

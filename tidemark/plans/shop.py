@@ -119,11 +119,14 @@ def best_day_per_sku(lines: DataFrame) -> DataFrame:
     return groups.top_k(daily, "sku_id", [F.desc("sum_num"), F.asc("create_date")], 1).drop("rk")
 
 
-def rolling_sales(orders: DataFrame, rows: int = 3, calendar: bool = False) -> DataFrame:
-    """Sum and average of the daily amounts over the last days with orders, or calendar days."""
-    daily = orders.groupBy("create_date").agg(F.sum("total_amount").alias("day_sum"))
+def rolling_sales(orders: DataFrame, rows: int = 3, calendar: bool = False, digits: int = 2) -> DataFrame:
+    """Sum and average of the daily amounts over the last days with orders, or calendar days.
+
+    The few daily sums are made decimal, so that the average rounds exactly.
+    """
+    daily = orders.groupBy("create_date").agg(F.sum("total_amount").cast("decimal(26,2)").alias("day_sum"))
     return days.rolling(daily, [], "create_date", "day_sum", rows, calendar).select(
-        "create_date", F.round("rolling_sum", 2).alias("total_3d"), F.round("rolling_avg", 2).alias("avg_ad")
+        "create_date", F.round("rolling_sum", digits).alias("total_3d"), F.round("rolling_avg", digits).alias("avg_ad")
     )
 
 

@@ -2,7 +2,7 @@
 
 Every view is a lazy DataFrame over a declared Parquet schema, so the columns
 and filters a query needs reach the scan. Views that do not need a column of
-the other side of `lineitem` x `orders` do not join it.
+the other side of `lineitem` x `orders` do not join it. Money is in whole cents.
 """
 
 from __future__ import annotations
@@ -10,12 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_second
+from tidemark.functions.columns import cents, epoch_second
 from tidemark.sources.schemas import STAR
 from tidemark.sources.tables import read_table
 
-MONEY = "decimal(16,2)"
-
 
 class Roles:
     def __init__(self, spark: SparkSession, folder: str):
@@ -78,7 +76,7 @@ class Roles:
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("user_id"),
             F.col("o_orderdate").cast("date").alias("create_date"),
-            F.col("o_totalprice").cast(MONEY).alias("total_amount"),
+            cents(F.col("o_totalprice")).alias("total_amount"),
         )
 
     def order_detail(self) -> DataFrame:
@@ -89,7 +87,7 @@ class Roles:
             F.col("l_partkey").alias("sku_id"),
             F.col("l_suppkey").alias("shop_id"),
             F.col("o_orderdate").cast("date").alias("create_date"),
-            F.col("l_extendedprice").cast(MONEY).alias("amount"),
+            cents(F.col("l_extendedprice")).alias("amount"),
             F.col("l_quantity").cast("int").alias("sku_num"),
         )
 
@@ -98,7 +96,7 @@ class Roles:
         return self.table("lineitem").select(
             F.col("l_partkey").alias("sku_id"),
             F.col("l_suppkey").alias("shop_id"),
-            F.col("l_extendedprice").cast(MONEY).alias("amount"),
+            cents(F.col("l_extendedprice")).alias("amount"),
             F.col("l_quantity").cast("int").alias("sku_num"),
         )
 
@@ -106,7 +104,7 @@ class Roles:
         line = self.table("lineitem")
         return line.groupBy(
             F.col("l_partkey").alias("sku_id"), F.col("l_shipdate").cast("date").alias("change_date")
-        ).agg(F.max(F.col("l_extendedprice").cast(MONEY)).alias("new_price"))
+        ).agg(F.max(cents(F.col("l_extendedprice"))).alias("new_price"))
 
     def delivery(self) -> DataFrame:
         return self.table("orders").select(
