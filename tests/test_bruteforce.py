@@ -78,18 +78,30 @@ def test_overlaps(sessions):
         assert sorted(r.k for r in intervals.overlaps(df, "k", "s", "e", place).collect()) == expected
 
 
-def test_uncovered_parts_are_disjoint_and_cover_the_same(sessions):
-    data, df = sessions
-    parts = by_key([(k, None, s, e) for k, s, e in intervals.uncovered(df, "k", "s", "e").collect()])
-    for key, own in by_key(data).items():
-        pieces = sorted((s, e) for _, _, s, e in parts[key])
-        assert all(a[1] < b[0] for a, b in zip(pieces, pieces[1:]))
-        for _, _, s, e in own:
-            for t in (s, e, s + (e - s) / 2):
-                assert any(a <= t <= b for a, b in pieces)
-        for a, b in pieces:
-            for t in (a, b):
-                assert any(s <= t <= e for _, _, s, e in own)
+def test_overlaps_of_unfinished_and_malformed_intervals(spark):
+    rng = random.Random(16)
+    minute = datetime.timedelta(minutes=1)
+    data = []
+    for key in range(400):
+        for _ in range(rng.choice([2, 2, 3, 4])):
+            start = EPOCH + minute * rng.randrange(12)
+            end = rng.choice([None, start - minute, start, start + minute, start + 3 * minute])
+            data.append((key, rng.choice(["x", "y", None]), start, end))
+    df = spark.createDataFrame(data, "k int, place string, s timestamp_ntz, e timestamp_ntz").repartition(7)
+
+    def hit(own, places):
+        # Of intervals with one start, the longest comes first.
+        own = sorted(own, key=lambda r: (r[2], -(r[3].timestamp() if r[3] else float("-inf"))))
+        return any(
+            a[3] is not None and a[3] >= b[2] and (not places or None not in (a[1], b[1]) and a[1] != b[1])
+            for i, b in enumerate(own)
+            for a in own[:i]
+        )
+
+    for place in (None, "place"):
+        expected = sorted(key for key, own in by_key(data).items() if hit(own, place))
+        assert 20 < len(expected) < 380
+        assert sorted(r.k for r in intervals.overlaps(df, "k", "s", "e", place).collect()) == expected
 
 
 def test_covered_days(spark):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import one_if
@@ -30,8 +30,8 @@ def _levels(keys: Sequence[str], at: str) -> list[tuple[list[str], str]]:
     return [([*keys, "_day", "_minute"], at), ([*keys, "_day"], "_minute"), ([*keys], "_day")]
 
 
-def _earlier(group: Sequence[str], order: Column | str) -> Window:
-    return Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _earlier(group: Sequence[str], *order: Column | str) -> WindowSpec:
+    return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def peak(df: DataFrame, start: str, end: str, keys: Keys = ()) -> DataFrame:
@@ -62,11 +62,12 @@ def peak(df: DataFrame, start: str, end: str, keys: Keys = ()) -> DataFrame:
 def overlaps(df: DataFrame, key: str, start: str, end: str, place: str | None = None) -> DataFrame:
     """Keys with two intervals that share an instant, ends included.
 
-    With ``place`` the two must also differ in place: the intervals of each place
-    are first cut to disjoint parts, so whatever still overlaps is elsewhere.
+    An interval overlaps an earlier one that ends at or after its own start; one
+    without an end can only be the later of the two. With ``place`` the two must
+    also differ in place.
     """
     if place is not None:
-        df = uncovered(df.filter(F.col(place).isNotNull()), [key, place], start, end)
+        return _overlaps_between_places(df, key, start, end, place)
     points = _with_cells(df.filter(F.col(start).isNotNull()), start)
     rows = (
         points.groupBy(key, *CELLS, start)
@@ -85,41 +86,57 @@ def overlaps(df: DataFrame, key: str, start: str, end: str, place: str | None =
     return rows.filter("hit").select(key)
 
 
-def uncovered(df: DataFrame, keys: Keys, start: str, end: str) -> DataFrame:
-    """The part of every interval that no earlier interval of its key covers.
+def _overlaps_between_places(df: DataFrame, key: str, start: str, end: str, place: str) -> DataFrame:
+    """Overlaps of two places, in the same levels and without pairing intervals.
 
-    The parts of a key are disjoint and cover the same instants, to the microsecond.
+    A cell needs the two latest ends and the two earliest starts that belong to
+    different places: whatever overlaps across cells also does so among these.
     """
-    keys = as_list(keys)
-    known = df.filter(F.col(start).isNotNull() & (F.col(end) >= F.col(start)))
-    points = _with_cells(known.select(*keys, start, end), start)
-    points = points.groupBy(*keys, *CELLS, start).agg(F.max(end).alias(end))
-    reached = _with_earlier_max(points, end, _levels(keys, start))
-    free_from = F.col("_before") + F.expr("INTERVAL '0.000001' SECOND")
-    parts = reached.withColumn(start, F.greatest(F.col(start), free_from))
-    return parts.filter(F.col(end) >= F.col(start)).select(*keys, start, end)
+    points = _with_cells(df.filter(F.col(place).isNotNull() & F.col(start).isNotNull()), start)
+    rows = points.groupBy(key, *CELLS, start, F.col(place).alias("_place")).agg(F.max(end).alias("_end"))
+    high = F.struct(F.col("_end").alias("at"), F.col("_place").alias("place"))
+    low = F.struct(F.col(start).alias("at"), F.col("_place").alias("place"))
+    rows = rows.select(key, *CELLS, start, high.alias("high"), low.alias("low"), F.lit(False).alias("hit"))
+    rows = rows.withColumn("high2", F.when(F.lit(False), F.col("high")))
+    rows = rows.withColumn("low2", F.when(F.lit(False), F.col("low")))
+    for group, order in _levels([key], start):
+        before = _earlier(group, order, F.desc("high"))
+        rows = rows.withColumn("_top", F.max("high").over(before)).withColumn("_leads", F.greatest("_top", "high"))
+        # The latest end outside the leading place is the largest of all that were ever left behind.
+        behind = F.greatest(_elsewhere(F.least("_top", "high"), "_leads"), _elsewhere(F.col("high2"), "_leads"))
+        rows = rows.withColumn("_behind", behind).withColumns(
+            {
+                "_next": F.max("_behind").over(before),
+                "_first": F.min("low").over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+            }
+        )
+        top, after = F.col("_top"), F.col("_next")
+        same = top.getField("place") == F.col("low.place")
+        from_next = _reaches(top, F.col("low2")) | _reaches(after, F.col("low"))
+        hit = F.when(same, from_next).otherwise(_reaches(top, F.col("low")))
+        later = F.least(_elsewhere(F.col("low"), "_first"), _elsewhere(F.col("low2"), "_first"))
+        rows = (
+            rows.withColumn("hit", F.col("hit") | hit)
+            .withColumn("low2", later)
+            .groupBy(*group)
+            .agg(
+                F.max("high").alias("high"),
+                F.max("_behind").alias("high2"),
+                F.min("low").alias("low"),
+                F.min("low2").alias("low2"),
+                F.bool_or("hit").alias("hit"),
+            )
+        )
+    return rows.filter("hit").select(key)
 
 
-def _with_earlier_max(rows: DataFrame, value: str, levels: list[tuple[list[str], str]]) -> DataFrame:
-    """Adds ``_before``: the largest value of all earlier rows of the key.
+def _elsewhere(candidate: Column, leader: str) -> Column:
+    """The candidate if it belongs to another place than the leader, else null."""
+    return F.when(candidate.getField("place") != F.col(leader).getField("place"), candidate)
 
-    What the earlier cells reached enters a cell as one more row ahead of its own.
-    """
-    (group, order), *coarser = levels
-    if not coarser:
-        return rows.withColumn("_before", F.max(value).over(_earlier(group, order)))
-    cells = rows.groupBy(*group).agg(F.max(value).alias(value))
-    carried = _with_earlier_max(cells, value, coarser).filter(F.col("_before").isNotNull())
-    ahead = carried.select(
-        *group,
-        F.lit(None).cast(rows.schema[order].dataType).alias(order),
-        F.col("_before").alias(value),
-        F.lit(True).alias("_carried"),
-    )
-    own = rows.select(*group, order, value, F.lit(False).alias("_carried"))
-    window = _earlier(group, F.col(order).asc_nulls_first())
-    both = own.unionByName(ahead).withColumn("_before", F.max(value).over(window))
-    return both.filter(~F.col("_carried")).drop("_carried")
+
+def _reaches(high: Column, low: Column) -> Column:
+    return F.coalesce(high.getField("at") >= low.getField("at"), F.lit(False))
 
 
 def covered_days(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
