@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import count_if, first_char
-from tidemark.operators.groups import all_rows, equal_scores, has_all, has_any, has_none, pivot_sum, with_group_avg
+from tidemark.operators.groups import all_rows, equal_scores, has_all, has_any, has_none, pivot_sum
 
 NAMED = ["stu_id", "stu_name"]
 
@@ -138,7 +138,7 @@ def not_all_courses(student: DataFrame, course: DataFrame, score: DataFrame) ->
 def all_above_listing(student: DataFrame, course: DataFrame, score: DataFrame, limit: int) -> DataFrame:
     """All results of the students who are above the limit everywhere; a missing result passes."""
     good = all_rows(score, "stu_id", F.col("score") > limit, null_passes=True)
-    rows = score.join(good, "stu_id", "left_semi").join(student, "stu_id").join(course, "course_id")
+    rows = score.join(student.join(good, "stu_id", "left_semi"), "stu_id").join(course, "course_id")
     return rows.select("stu_name", "course_name", "score").orderBy("score", "stu_name", "course_name")
 
 
@@ -262,8 +262,12 @@ def shares_course_with(student: DataFrame, score: DataFrame, stu_id: object) ->
 
 
 def scores_with_average(student: DataFrame, course: DataFrame, score: DataFrame) -> DataFrame:
-    """Every result beside the student's average, best average first."""
-    rows = with_group_avg(score, "stu_id", "score", "avg_score").join(student, "stu_id").join(course, "course_id")
+    """Every result beside the student's average, best average first.
+
+    The averages join the students first, so that the results are shuffled by student once.
+    """
+    averages = score.groupBy("stu_id").agg(F.avg("score").alias("avg_score"))
+    rows = score.join(student.join(averages, "stu_id"), "stu_id").join(course, "course_id")
     return rows.select(*NAMED, "course_id", "course_name", "score", "avg_score").orderBy(
         F.desc("avg_score"), "stu_id", "course_id"
     )
