@@ -160,8 +160,9 @@ def sessionize(df: DataFrame, key: str, ts: str, gap_s: int) -> DataFrame:
     first, then the days of a key are chained: a group holds at most the seconds
     of a day or the days of the data, however many rows a key has.
     """
-    seconds = df.select(key, ts).filter(F.col(ts).isNotNull()).distinct()
-    seconds = seconds.withColumn("_day", F.floor(F.col(ts) / 86400))
+    # The null filters are spelled out, so that both uses of the seconds share one shuffle.
+    seconds = df.select(key, ts, F.floor(F.col(ts) / 86400).alias("_day"))
+    seconds = seconds.filter(F.col(key).isNotNull() & F.col(ts).isNotNull() & F.col("_day").isNotNull()).distinct()
     within = Window.partitionBy(key, "_day").orderBy(ts)
     waited = F.col(ts) - F.lag(ts).over(within) >= gap_s
     seconds = seconds.withColumn("_opens", one_if(waited)).withColumn(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import count_if, first_char
-from tidemark.operators.groups import all_rows, equal_scores, has_all, has_any, has_none, pivot_sum
+from tidemark.operators.groups import all_rows, equal_scores, has_all, has_any, has_none, join_on, pivot_sum
 
 NAMED = ["stu_id", "stu_name"]
 
@@ -138,7 +138,7 @@ def not_all_courses(student: DataFrame, course: DataFrame, score: DataFrame) ->
 def all_above_listing(student: DataFrame, course: DataFrame, score: DataFrame, limit: int) -> DataFrame:
     """All results of the students who are above the limit everywhere; a missing result passes."""
     good = all_rows(score, "stu_id", F.col("score") > limit, null_passes=True)
-    rows = score.join(student.join(good, "stu_id", "left_semi"), "stu_id").join(course, "course_id")
+    rows = _with_course(score.join(student.join(good, "stu_id", "left_semi"), "stu_id"), course)
     return rows.select("stu_name", "course_name", "score").orderBy("score", "stu_name", "course_name")
 
 
@@ -267,11 +267,20 @@ def scores_with_average(student: DataFrame, course: DataFrame, score: DataFrame)
     The averages join the students first, so that the results are shuffled by student once.
     """
     averages = score.groupBy("stu_id").agg(F.avg("score").alias("avg_score"))
-    rows = score.join(student.join(averages, "stu_id"), "stu_id").join(course, "course_id")
+    rows = _with_course(score.join(student.join(averages, "stu_id"), "stu_id"), course)
     return rows.select(*NAMED, "course_id", "course_name", "score", "avg_score").orderBy(
         F.desc("avg_score"), "stu_id", "course_id"
     )
 
 
+def _with_course(rows: DataFrame, course: DataFrame) -> DataFrame:
+    """Join the course of a result, where the results are also used without courses.
+
+    A plain join would add a null filter to this use of the results only; both
+    uses would then be read and shuffled apart. The null-safe join leaves them alike.
+    """
+    return join_on(rows, course.filter(F.col("course_id").isNotNull()), "course_id")
+
+
 def _named(student: DataFrame, chosen: DataFrame, *more: Column) -> DataFrame:
     return student.join(chosen, "stu_id", "left_semi").select(*NAMED, *more)
