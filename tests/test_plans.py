@@ -62,6 +62,15 @@ def test_one_scan(plans):
         assert plans[name].count("FileScan") == 1
 
 
+@pytest.mark.parametrize(
+    "name", ["p5_8_all_above", "p5_9_equal_scores", "p5_16_scores_with_avg", "m26_median_price", "m1_second_best_seller", "h2_sessionize"]
+)
+def test_a_table_used_twice_is_shuffled_once(spark, folder, small_pieces, name):
+    df = QUERIES[name](spark, folder)
+    df.collect()
+    assert "ReusedExchange" in plan_of(df).split("Initial Plan")[0]
+
+
 def test_totals_per_item_do_not_join_orders(plans):
     for name in ("m1_second_best_seller", "m10_above_category_avg", "m24_sales_bands", "m25_top3_per_category"):
         assert "orders.parquet" not in plans[name]
@@ -89,6 +98,7 @@ def small_pieces(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.shuffle.partitions": "16",
     }
     before = {name: spark.conf.get(name) for name in settings}
