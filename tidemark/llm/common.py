@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -25,9 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def same(a: str, b: str) -> Column:
-    """Equality under which null equals null."""
-    return F.col(a).eqNullSafe(F.col(b))
+def without(df: DataFrame, keys: DataFrame, key: str, most: int = 10_000) -> DataFrame:
+    """The rows of `df` whose key is not among `keys`.
+
+    At most `most` keys are broadcast, which spares a shuffle of `df`; more are joined.
+    """
+    listed = cut(keys.select(F.col(key).alias("_gone")))
+    few = listed.limit(most + 1).count() <= most
+    return df.join(F.broadcast(listed) if few else listed, F.col(key) == F.col("_gone"), "left_anti")
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -75,28 +80,30 @@ def shards(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[
         yield pa.Table.from_batches(held)
 
 
-def numbered(df: DataFrame, group: str, order: list[str], rows: str, buckets: int = 1024) -> DataFrame:
+def buckets_for(rows: int, each: int = 4096) -> int:
+    """How many hash buckets leave about `each` of `rows` rows in one."""
+    return max(16, -(-rows // each))
+
+
+def numbered(df: DataFrame, group: str, order: list[str], buckets: int, rows: str | None = None) -> DataFrame:
     """Number the rows of each group from 0 without gaps, in the order of a hash of `order`.
 
     Rows go to `buckets` hash buckets; a bucket's rows are numbered in a window and the rows of
-    the buckets before it are added, so a group may hold any share of all rows. Rows that
-    agree in `group` and `order` are given as one with their count in column `rows`;
-    `first_number` is the number of the first of them.
+    the buckets before it are added, so a group may hold any share of all rows. A row stands
+    for as many rows as column `rows` says, if given, and `number` is that of the first.
+    `group` has no nulls; `number` is the new column.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(*order))
-    hashed = hashed.withColumn("_bucket", F.pmod("_hash", F.lit(buckets)).cast("int"))
-    sizes = hashed.groupBy(group, "_bucket").agg(F.sum(rows).alias("_size"))
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col(group).alias("_group"),
-        F.col("_bucket").alias("_of"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-    )
-    inside = Window.partitionBy(group, "_bucket").orderBy("_hash", *order).rowsBetween(Window.unboundedPreceding, -1)
+    many = F.col(rows) if rows else F.lit(1)
+    hashed = df.withColumn("_hash", F.xxhash64(*order)).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
+    sizes = hashed.groupBy(F.col(group).alias("_group"), F.col("_bucket").alias("_of")).agg(F.sum(many).alias("_size"))
+    before = Window.partitionBy("_group").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_group", "_of", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(group, "_bucket").orderBy("_hash")
+    own = F.coalesce(F.sum(many).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) if rows else F.row_number().over(inside) - 1
     return (
-        hashed.withColumn("_inside", F.coalesce(F.sum(rows).over(inside), F.lit(0)))
-        .join(starts, same(group, "_group") & (F.col("_bucket") == F.col("_of")))
-        .withColumn("first_number", F.col("_before") + F.col("_inside"))
+        hashed.withColumn("_inside", own)
+        .join(starts, (F.col(group) == F.col("_group")) & (F.col("_bucket") == F.col("_of")))
+        .withColumn("number", F.col("_before") + F.col("_inside"))
         .drop("_hash", "_bucket", "_group", "_of", "_before", "_inside")
     )
 

@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
+from tidemark.llm import fm_index, langid, mixing, sharding, simhash, sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash_near_dedup": simhash.op3,
+        "op4_rendezvous_sharding": sharding.op4,
+        "op6_pfair_mixing": mixing.op6,
+        "op8_fm_index_decontamination": fm_index.op8,
+        "op9_language_id": langid.op9,
+        "language_id_of_pages": langid.pages,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.statements()

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, cut, pieces, table
+from tidemark.llm.common import components, cut, pieces, table, without
 
 BITS = 64
 
@@ -265,10 +265,14 @@ def representatives(docs: DataFrame, **settings) -> DataFrame:
 
     Rows that share a doc_id are one document; rows without doc_id stay as they are.
     """
-    groups = near_groups(docs, **settings)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return known.join(kept, known.doc_id == F.col("_kept"), "left_semi").unionByName(docs.filter("doc_id is null"))
+    groups = near_groups(docs, **settings).filter("doc_id is not null")
+    each = cut(groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")))
+    kept = without(docs, each.filter("not stays"), "doc_id")
+    repeated = each.filter("stays and rows > 1").select(F.col("doc_id").alias("_again"))
+    if repeated.isEmpty():
+        return kept
+    twice = kept.join(repeated, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, F.col("doc_id") == F.col("_again"), "left_anti").unionByName(twice)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
