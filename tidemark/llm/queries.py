@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fm_index, langid, mixing, sharding, simhash, sql
+from tidemark.llm import bitslice, fm_index, langid, mixing, sentences, sharding, simhash, sql, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_bit_sliced_top_k": bitslice.op1,
+        "op2_token_counts": tokens.op2,
         "op3_simhash_near_dedup": simhash.op3,
         "op4_rendezvous_sharding": sharding.op4,
+        "op5_sentence_span_dedup": sentences.op5,
         "op6_pfair_mixing": mixing.op6,
+        "op7_warc_round_trip": warc.op7,
         "op8_fm_index_decontamination": fm_index.op8,
         "op9_language_id": langid.op9,
         "language_id_of_pages": langid.pages,
