@@ -87,8 +87,8 @@ def shards(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[
 
 
 def buckets_for(rows: int, each: int = 4096) -> int:
-    """How many hash buckets leave about `each` of `rows` rows in one."""
-    return max(16, -(-rows // each))
+    """How many hash buckets leave about `each` of `rows` rows in one, or fewer."""
+    return max(512, -(-rows // each))
 
 
 def numbered(df: DataFrame, group: str, order: list[str], buckets: int, rows: str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bitslice, fm_index, langid, mixing, sentences, sharding, simhash, sql, tokens, warc
+from tidemark.llm import bitslice, fm_index, langid, mixing, sentences, sharding, simhash, sql, suffix_array, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_warc_round_trip": warc.op7,
         "op8_fm_index_decontamination": fm_index.op8,
         "op9_language_id": langid.op9,
+        "op10_suffix_array_dedup": suffix_array.op10,
         "language_id_of_pages": langid.pages,
     }
 
