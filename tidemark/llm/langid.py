@@ -166,9 +166,9 @@ def identify(rows: DataFrame, keep: list[str], sample: int = 4000, smooth_host:
     suffixes = hosts.groupBy(F.col("_suffix").alias("_of")).agg(*(F.sum(f"n{k}").alias(f"n{k}") for k in classes))
     wider = suffixes.select("_of", F.array(*_log_shares(names, smooth_suffix, [F.lit(x) for x in everything])).alias("_wider"))
     met = hosts.join(wider, F.col("_suffix") == F.col("_of")).drop("_of")
-    prior = met.select(
-        F.col("_host").alias("_h"), F.col("_suffix").alias("_s"), F.array(*_log_shares(names, smooth_host, [F.col("_wider")[k] for k in classes])).alias("_prior")
-    )
+    # written, so that the join below deals both sides anew and can split a large host
+    smoothed = F.array(*_log_shares(names, smooth_host, [F.col("_wider")[k] for k in classes]))
+    prior = cut(met.select(F.col("_host").alias("_h"), F.col("_suffix").alias("_s"), smoothed.alias("_prior")))
     joined = scored.join(prior, (F.col("_host") == F.col("_h")) & (F.col("_suffix") == F.col("_s")))
     none = F.array(*(F.lit(0.0) for _ in classes))
     joined = joined.withColumn("_said", F.coalesce(declared[known], none))
