@@ -1,0 +1,46 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import bitslice
+
+
+def expected(rows: dict, asked: dict, k: int) -> list[tuple]:
+    out = []
+    for q, weights in asked.items():
+        scores = sorted((-sum(a * b for a, b in zip(v, weights, strict=True)), i) for i, v in rows.items() if i != q and len(v) == len(weights))
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bits", [1, 3, 8, 20])
+def test_top_k_of_all_pairs(spark, bits):
+    draw = np.random.default_rng(bits)
+    rows = {int(i): [int(x) for x in draw.integers(-500, 500, 12)] for i in draw.permutation(700)}
+    for i in range(0, 300):
+        rows[i * 2] = rows[2]  # a third of all rows is one vector
+    frame = spark.createDataFrame(list(rows.items()), "vec_id long, parts array<long>")
+    asked = {i: v for i, v in rows.items() if i % 50 == 0}
+    found = bitslice.top_k(frame, frame.filter("vec_id % 50 = 0"), k=7, bits=bits, block_rows=200, block_queries=5)
+    assert sorted(map(tuple, found.collect())) == expected(rows, asked, 7)
+
+
+def test_index_selects_from_the_top_slice_down():
+    draw = np.random.default_rng(9)
+    vectors = draw.integers(-9, 9, (130, 3))
+    index = bitslice.Index(np.arange(130), vectors, 8)
+    weights = np.array([3, -2, 0])
+    slices, least, bound = index.approximate(weights)
+    scores = sum(np.unpackbits(s.view(np.uint8), bitorder="little")[:130].astype(int) << b for b, s in enumerate(slices)) + least
+    assert bound == 0 and (scores + index.low * weights.sum() == vectors @ weights).all()
+
+
+def test_odd_rows(spark):
+    rows = [(0, [0.5, -0.25]), (1, [1.0, 1.0]), (2, None), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [None, 1.0]), (6, [0.1, 0.1, 0.1]), (100, [0.0, 0.0]), (100, [0.0, 0.0]), (None, [1.0, 1.0]), (7, []), (200, [-0.0001, 2.0])]
+    frame = spark.createDataFrame([(i, v, 3) for i, v in rows], "vec_id long, embedding array<float>, score int")
+    parts = frame.select("vec_id", bitslice.quantised("embedding").alias("parts"))
+    assert {r["vec_id"]: r["parts"] for r in parts.collect() if r["vec_id"] in (0, 200)} == {0: [512, -256], 200: [-1, 2048]}
+    found = bitslice.top_k(parts, parts.filter(F.col("vec_id") % 100 == 0))
+    good = {0: [512, -256], 1: [1024, 1024], 100: [0, 0], 200: [-1, 2048], 6: [102, 102, 102], 7: []}
+    assert sorted(map(tuple, found.collect())) == expected(good, {i: good[i] for i in (0, 100, 200)}, 10)
+    assert bitslice.top_k(parts.limit(0), parts).collect() == [] and bitslice.top_k(parts, parts.limit(0)).collect() == []

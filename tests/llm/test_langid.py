@@ -1,0 +1,60 @@
+import pytest
+
+from tidemark.llm import langid
+from tidemark.llm.common import table
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, "/root/testdata/sf0.01", "documents")
+
+
+def test_held_out_accuracy(spark, docs):
+    """Half of the rows declare their language, the others are found out."""
+    hidden = docs.selectExpr("doc_id", "text", "CASE WHEN doc_id % 2 = 0 THEN lang END AS lang", "'one' AS source", "lang AS truth")
+    found = langid.identify(langid.of_documents(hidden), ["doc_id", "truth"]).filter("doc_id % 2 = 1")
+    right, total = found.filter("language = truth").count(), found.count()
+    assert total > 400 and right / total > 0.99
+    assert found.filter("not accepted").count() == 0
+
+
+def test_text_outweighs_a_wrong_declaration(spark, docs):
+    wrong = docs.selectExpr("doc_id", "text", "CASE WHEN doc_id % 50 = 0 THEN 'en-GB' ELSE upper(lang) END AS lang", "source", "lang AS truth")
+    found = langid.identify(langid.of_documents(wrong), ["doc_id", "truth"]).filter("doc_id % 50 = 0")
+    assert found.filter("language <> truth").count() == 0
+
+
+def test_other_evidence_decides_where_the_text_cannot(spark, docs):
+    extra = [(9001, None, "fr", "src0"), (9002, "", None, "deutsch"), (9003, "12 34 !!", None, None), (9004, "zqxj wvkq xzzq jqvw qqxz vkjq zxwv qjxk zzqx wvjq", None, "src1"), (None, None, None, None)]
+    german = docs.filter("lang = 'de'").selectExpr("doc_id", "text", "lang", "'deutsch' AS source")
+    rows = docs.select("doc_id", "text", "lang", "source").union(german).union(spark.createDataFrame(extra, "doc_id long, text string, lang string, source string"))
+    found = {r["doc_id"]: r for r in langid.identify(langid.of_documents(rows), ["doc_id"]).collect()}
+    assert found[9001]["language"] == "fr" and found[9002]["language"] == "de"
+    assert not any(found[k]["accepted"] for k in (9001, 9002, 9003, None))
+    assert found[9001]["text_language"] is None and found[9004]["language"] == "und" and not found[9004]["accepted"]
+    kept = langid.accepted(rows)
+    assert kept.columns == rows.columns
+    assert kept.count() == rows.count() - len(extra)
+
+
+def test_pages(spark):
+    pages = table(spark, "/root/testdata/sf0.001", "pages")
+    found = langid.identify(langid.of_pages(pages), ["page_id"])
+    truth = pages.selectExpr("page_id AS id", "regexp_extract(html, 'lang=\"([a-z]+)', 1) AS truth")
+    met = found.join(truth, found.page_id == truth.id)
+    assert met.count() == pages.count() and met.filter("language <> truth").count() <= 2
+    odd = spark.createDataFrame([(1, None, None), (2, "no address", "<p>the of and"), (3, "http://u@h.Example.ORG:80/x", "<html lang='en-us'><script>var x</script>the and of the")], "page_id long, url string, html string")
+    rows = {r["page_id"]: r for r in langid.of_pages(odd).collect()}
+    assert rows[3]["_host"] == "h.example.org" and rows[3]["_suffix"] == "org" and rows[3]["_declared"] == "en" and "var" not in rows[3]["_text"]
+    assert rows[1]["_host"] == "" and rows[2]["_declared"] is None
+    assert len(langid.identify(langid.of_pages(odd), ["page_id"]).collect()) == 3
+
+
+def test_edges(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+    assert langid.identify(langid.of_documents(empty), ["doc_id"]).collect() == []
+    assert langid.accepted(empty).collect() == []
+    undeclared = spark.createDataFrame([(1, "some text", None, None), (1, "some text", None, None)], "doc_id long, text string, lang string, source string")
+    assert [r["language"] for r in langid.identify(langid.of_documents(undeclared), ["doc_id"]).collect()] == ["und", "und"]
+    long = spark.createDataFrame([(1, "the of and " * 200_000, "en", "a"), (2, "der die und " * 9, "de", "a")], "doc_id long, text string, lang string, source string")
+    assert {r["doc_id"]: r["language"] for r in langid.identify(langid.of_documents(long), ["doc_id"]).collect()} == {1: "en", 2: "de"}

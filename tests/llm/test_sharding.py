@@ -1,0 +1,38 @@
+from zlib import crc32
+
+from tidemark.llm import sharding
+
+ROWS = [(k, f"text {k}") for k in range(300)] + [(None, None), (5, "again"), (6, "text 6"), (6, "text 6"), (1000, ""), (1001, "é" * 100_000)]
+
+
+def test_digest(spark):
+    docs = spark.createDataFrame([(d, t, "clash", 1) for d, t in ROWS], "doc_id long, text string, shard string, number int").repartition(3)
+    rows = sharding.digest(docs).collect()
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in rows if r["doc_id"] is not None) == sorted(
+        (d, len((t or "").encode()) + 1, crc32((t or "").encode())) for d, t in ROWS if d is not None
+    )
+    slots: dict[int, list[int]] = {}
+    shard_of: dict = {}
+    for r in rows:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        assert shard_of.setdefault(r["doc_id"], r["shard"]) == r["shard"]
+        assert r["grown_shard"] in (r["shard"], 16) and r["law"] == "key"
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values()) and set(slots) == set(range(16))
+
+
+def test_weights_and_growth(spark):
+    keys = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    before = sharding.assign(keys, {0: 1.0, 1: 2.0, 2: 1.0, 9: 0.0})
+    counts = {r["shard"]: r["count"] for r in before.groupBy("shard").count().collect()}
+    assert set(counts) == {0, 1, 2} and abs(counts[1] - 10_000) < 400
+    after = sharding.assign(before.withColumnRenamed("shard", "old"), {0: 1.0, 1: 2.0, 2: 1.0, 3: 0.5})
+    moved = after.filter("old <> shard")
+    assert moved.filter("shard <> 3").isEmpty() and abs(moved.count() - 20_000 * 0.5 / 4.5) < 300
+
+
+def test_written_shards_and_empty_table(spark, tmp_path):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string")
+    sharding.write(docs, str(tmp_path / "out"), sharding.equal(4))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(repr, back.select("doc_id", "text").collect())) == sorted(map(repr, docs.collect()))
+    assert sharding.digest(docs.limit(0)).collect() == []
