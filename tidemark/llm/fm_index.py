@@ -291,7 +291,7 @@ def _search(shard: pa.Table, blocks: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "spans", "n_hit", "items"])
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_bytes: int = 4 << 20, block_bytes: int = 4 << 20) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_bytes: int = 2 << 20, block_bytes: int = 4 << 20) -> DataFrame:
     """Per row of `docs`: doc_id, n_words, spans, n_hit and the items found in it.
 
     `spans` are the merged runs of words (first, behind the last) that some window of `window`
@@ -328,7 +328,7 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20, shard_bytes: int = 4 << 20, block_bytes: int = 4 << 20) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20, shard_bytes: int = 2 << 20, block_bytes: int = 4 << 20) -> DataFrame:
     """The rows of `docs` that are not contaminated, each judged by its own text; no shuffle."""
     blocks, of = _sent(docs, benchmark, window, block_bytes), _search
 

@@ -77,7 +77,7 @@ def fit(rows: DataFrame, sample: int = 4000, most_languages: int = 64) -> tuple[
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(place) + 1, max(CELLS, 256)), np.int64)  # the last row counts bytes
-        for piece in pieces(batches, "_text", 4 << 20):
+        for piece in pieces(batches, "_text", 1 << 20):
             data, at = utf8(piece.column("_text"))
             of = [place[x] for x in piece.column("_declared").to_pylist()]
             for k, a, b in zip(of, at[:-1], at[1:], strict=True):
@@ -110,7 +110,7 @@ def likelihoods(rows: DataFrame, names: list[str], model: np.ndarray, keep: list
     sent = rows.sparkSession.sparkContext.broadcast(model.astype(np.float32))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "_text", 4 << 20):
+        for piece in pieces(batches, "_text", 1 << 20):
             data, at = utf8(piece.column("_text"))
             letters = np.concatenate([[0], np.cumsum(FOLD[data] != 0x20)])
             size = letters[at[1:]] - letters[at[:-1]]

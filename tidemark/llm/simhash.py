@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, length: int = 4, seed: int = 42) -> DataFrame:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 8 << 20):
+        for batch in pieces(batches, "text", 2 << 20):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             bits = np.array([_signs((text or b"").lower().split(), length, seed) for text in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64))], ["doc_id", "bits"])

@@ -80,7 +80,7 @@ class Segmenter:
         return out
 
 
-def count_tokens(docs: DataFrame, scores: dict[bytes, float], shard_bytes: int = 4 << 20, most_known: int = 300_000) -> DataFrame:
+def count_tokens(docs: DataFrame, scores: dict[bytes, float], shard_bytes: int = 2 << 20, most_known: int = 300_000) -> DataFrame:
     """(doc_id, n_bytes, n_pretokens, n_tokens) of every row's whole text; no shuffle.
 
     A null or empty text has none. A task remembers the counts of `most_known` pre-tokens and
