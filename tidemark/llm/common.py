@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +32,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_tasks(df: DataFrame, task: Callable, schema: StructType | str, rows: int = 1000) -> DataFrame:
+    """`mapInArrow` over rows with whole texts.
+
+    Arrow batches are counted in rows; the session's batches become `rows` at most, so that a
+    worker never holds thousands of long texts at once.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name))
+    if not 0 < now <= rows:
+        df.sparkSession.conf.set(name, str(rows))
+    return df.mapInArrow(task, schema)
+
+
 def without(df: DataFrame, keys: DataFrame, key: str, most: int = 10_000) -> DataFrame:
     """The rows of `df` whose key is not among `keys`.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shards, table, utf8
+from tidemark.llm.common import in_tasks, shards, table, utf8
 
 #: A word's bytes after A-Z became a-z: digits, a-z and everything outside ASCII; others are 0.
 LETTERS = np.zeros(256, np.uint8)
@@ -308,7 +308,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_bytes: i
         for shard in shards(batches, "text", shard_bytes):
             yield of(shard, blocks)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task, schema)
+    return in_tasks(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), task, schema)
 
 
 def contaminated(share: int = 20):
@@ -338,7 +338,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int =
             hit, words = (found.column(name).to_numpy() for name in ("n_hit", "n_words"))
             yield from shard.filter(pa.array((hit == 0) | (share * hit < words))).to_batches()
 
-    return docs.mapInArrow(task, docs.schema)
+    return in_tasks(docs, task, docs.schema)
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import cut, pieces, table, utf8, without
+from tidemark.llm.common import cut, in_tasks, pieces, table, utf8, without
 
 UNKNOWN = "und"
 CELLS = 1 << 15
@@ -87,7 +87,7 @@ def fit(rows: DataFrame, sample: int = 4000, most_languages: int = 64) -> tuple[
         k, cell = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(cell), pa.array(sums[k, cell])], ["k", "cell", "n"])
 
-    total = chosen.mapInArrow(task, "k long, cell long, n long").groupBy("k", "cell").agg(F.sum("n").alias("n"))
+    total = in_tasks(chosen, task, "k long, cell long, n long").groupBy("k", "cell").agg(F.sum("n").alias("n"))
     found = np.zeros((len(names) + 1, CELLS))
     for row in total.toLocalIterator():  # classes x cells at most
         found[row["k"], row["cell"]] = row["n"]
@@ -128,7 +128,7 @@ def likelihoods(rows: DataFrame, names: list[str], model: np.ndarray, keep: list
             yield pa.RecordBatch.from_arrays([*columns, pa.array(size), lists, best], [*keep, "_size", "_logs", "_best"])
 
     schema = rows.select(*keep).schema.add("_size", T.LongType()).add("_logs", T.ArrayType(T.DoubleType())).add("_best", T.StringType())
-    return rows.select("_text", *keep).mapInArrow(task, schema)
+    return in_tasks(rows.select("_text", *keep), task, schema)
 
 
 def _log_shares(names: list[str], smooth: float, parent: list[Column]) -> list[Column]:

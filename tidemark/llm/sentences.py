@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, pieces, table
+from tidemark.llm.common import cut, in_tasks, pieces, table
 
 END = re.compile(rb"[.!?]+(?=[ \t\r\n\x0b\f])|\n+")
 WORD = re.compile(rb"[^ \t\r\n\x0b\f]+")
@@ -95,7 +95,7 @@ def spans(docs: DataFrame, several: int = 2, enough: int = 12) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "first", "behind", "again", "a", "b"])
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
-    return rows.mapInArrow(task, "doc_id long, text_hash long, first int, behind int, again boolean, a long, b long")
+    return in_tasks(rows, task, "doc_id long, text_hash long, first int, behind int, again boolean, a long, b long")
 
 
 def dedup(docs: DataFrame, several: int = 2, enough: int = 12) -> DataFrame:
@@ -134,7 +134,7 @@ def dedup(docs: DataFrame, several: int = 2, enough: int = 12) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_sentences", "n_removed", "text"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.select("doc_id", "text", "runs").mapInArrow(task, f"doc_id {kind}, n_sentences long, n_removed long, text string")
+    return in_tasks(joined.select("doc_id", "text", "runs"), task, f"doc_id {kind}, n_sentences long, n_removed long, text string")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, cut, pieces, table, without
+from tidemark.llm.common import components, cut, in_tasks, pieces, table, without
 
 BITS = 64
 
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, length: int = 4, seed: int = 42) -> DataFrame:
             bits = np.array([_signs((text or b"").lower().split(), length, seed) for text in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64))], ["doc_id", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task, "doc_id long, bits long")
+    return in_tasks(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), task, "doc_id long, bits long")
 
 
 def _cartesian(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,17 +154,19 @@ def _join(most: int, chunk: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
+        rows = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(tuple(batch.column(name).to_numpy(zero_copy_only=False) for name in ("pair", "side", "bits")))
-            if sum(len(x[0]) for x in held) < chunk:
+            rows += batch.num_rows
+            if rows < chunk:
                 continue
             pair, side, bits = (np.concatenate(x) for x in zip(*held, strict=True))
             done = int(np.searchsorted(pair, pair[-1]))  # the last pair may go on in the next batch
             if done:
                 yield links(pair[:done], side[:done], bits[:done].view(np.uint64))
-            held = [(pair[done:], side[done:], bits[done:])]
+            held, rows = [(pair[done:], side[done:], bits[done:])], len(pair) - done
         if held:
             pair, side, bits = (np.concatenate(x) for x in zip(*held, strict=True))
             yield links(pair, side, bits.view(np.uint64))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces, table
+from tidemark.llm.common import in_tasks, pieces, table
 
 MARK = "▁".encode()
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -103,7 +103,7 @@ def count_tokens(docs: DataFrame, scores: dict[bytes, float], shard_bytes: int =
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_pretokens", "n_tokens"])
 
     schema = "doc_id long, n_bytes long, n_pretokens long, n_tokens long"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task, schema)
+    return in_tasks(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), task, schema)
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
