@@ -9,10 +9,8 @@ from tidemark.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session("8", 4, "tests")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
 

@@ -62,6 +62,28 @@ def test_peak(sessions):
     assert everything <= len(data)
 
 
+def test_peak_with_unknown_ends(spark):
+    rng = random.Random(21)
+    minute = datetime.timedelta(minutes=1)
+    data = []
+    for _ in range(300):
+        start = EPOCH + minute * rng.randrange(4000)
+        data.append((rng.randrange(5), "x", rng.choice([None, start, start]), rng.choice([None, start + minute * rng.randrange(1, 900)])))
+    df = spark.createDataFrame(data, "k int, place string, s timestamp_ntz, e timestamp_ntz").repartition(5)
+    known = [(k, p, s, e or datetime.datetime.max) for k, p, s, e in data if s is not None]
+    for keys, groups_ in ((["k"], by_key(known)), ([], {None: known})):
+        expected = {key: max(open_at(own, r[2]) for r in own) for key, own in groups_.items()}
+        found = {r["k"] if keys else None: r["peak"] for r in intervals.peak(df, "s", "e", keys).collect()}
+        assert found == expected
+
+
+def test_peak_of_the_handmade_case(spark):
+    at = lambda text: datetime.datetime.fromisoformat(f"2024-01-01T0{text}:00") if text else None
+    rows = [(at("1:00"), at("5:00")), (at("2:00"), at("6:00")), (None, at("1:30")), (None, at("1:40"))]
+    df = spark.createDataFrame(rows, "s timestamp_ntz, e timestamp_ntz")
+    assert [r.peak for r in intervals.peak(df, "s", "e").collect()] == [2]
+
+
 def test_overlaps(sessions):
     data, df = sessions
 

@@ -119,8 +119,10 @@ def test_target_needs_neighbouring_months(spark):
         ],
         "sku_id string, create_date date, amount decimal(16,2)",
     )
-    target = F.when(F.col("sku_id").isin("gap", "run"), 10)
-    assert rows(shop.target_two_months(lines, "sku_id", target)) == [("run",)]
+    targets = spark.createDataFrame([("gap", 10), ("run", 10), ("unsold", 1)], "sku_id string, target int")
+    assert rows(shop.target_two_months(lines, targets, "sku_id")) == [("run",)]
+    higher = targets.withColumn("target", F.when(F.col("sku_id") == "run", 11).otherwise(10))
+    assert rows(shop.target_two_months(lines, higher, "sku_id")) == []
 
 
 def test_purchases_give_one_row_per_user(spark):

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests import compare
+from tidemark.plans import oracle, registry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,15 +17,68 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert list(entry.queries()) == list(entry.oracle_sql())
+    assert list(registry.queries()) == list(oracle.oracle_sql())
+    assert registry.queries().keys() <= entry.queries().keys() and entry.oracle_sql().keys() <= entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_same_rows(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     assert compare.difference(df, con, entry.oracle_sql()[name]) is None
 
 
+#: What each query that ends in a sort promises, with its tie-break.
+ORDERS = {
+    "p1_preview_student": "stu_id",
+    "p1_preview_course": "course_id",
+    "p1_preview_teacher": "tea_id",
+    "p1_preview_score": "stu_id, course_id",
+    "p2_3_filtered_sorted": "score DESC, stu_id",
+    "p2_4_failed_in_course": "stu_id",
+    "p3_9_avg_two_key_sort": "avg_score, course_id DESC",
+    "p3_11_total_sorted": "sum_score DESC, stu_id",
+    "p3_12_score_pivot": "avg_score DESC, stu_id",
+    "p5_7_course_below_students": "score DESC, stu_id",
+    "p5_8_all_above": "score, stu_name, course_name",
+    "p5_16_scores_with_avg": "avg_score DESC, stu_id, course_id",
+    "m8_daily_new_users": "login_date_first",
+    "m19_daily_difference": "create_date",
+    "m21_max_login_gap": "user_id",
+    "m29_selling_ranges": "sku_id, start_date",
+    "m30_daily_logins_orders": "user_id, login_date",
+    "m33_last_price_change": "price_change, sku_id",
+    "m38_checkin_coins": "sum_coin_cn DESC, user_id",
+    "h3_longest_streak_gap": "user_id",
+}
+
+
+def test_the_sorted_queries_are_known(spark):
+    """A query whose plan ends in a sort is listed, and the other way round."""
+    ends = {}
+    for name, query in registry.queries().items():
+        plan = query(spark, FOLDER)._jdf.queryExecution().optimizedPlan()
+        while plan.nodeName() in ("Project", "GlobalLimit", "LocalLimit"):
+            plan = plan.children().apply(0)
+        ends[name] = plan.nodeName()
+    assert {name for name, node in ends.items() if node == "Sort"} == set(ORDERS)
+
+
+@pytest.mark.parametrize("name", list(ORDERS))
+def test_same_order(spark, con, name):
+    """The rows as Spark delivers them against the SQL with its full order."""
+    df = registry.queries()[name](spark, FOLDER)
+    theirs = con.sql(f"SELECT {', '.join(df.columns)} FROM ({oracle.oracle_sql()[name]}) ORDER BY {ORDERS[name]}").fetchall()
+    ours = [tuple(map(compare.plain, row)) for row in df.collect()]
+    assert ours == [tuple(map(compare.plain, row)) for row in theirs]
+
+
+def test_ranks_have_ties(spark):
+    rows = registry.queries()["m25b_most_ordered_rank"](spark, FOLDER).groupBy("category_id", "rk").count()
+    assert rows.filter("count > 1").count() > 0
+    dense = registry.queries()["m25c_most_ordered_dense_rank"](spark, FOLDER).groupBy("category_id", "rk").count()
+    assert dense.filter("count > 1").count() > 0
+
+
 def test_flagship(spark):
     df = entry.entry(spark)
     assert df.columns == ["sku_id", "category_id"]

@@ -166,11 +166,13 @@ def join_on(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
     return left.join(other, same).drop(*(f"_right_{key}" for key in keys))
 
 
-def median(df: DataFrame, key: str, value: str, width: float = 1.0) -> DataFrame:
+def median(df: DataFrame, key: str, value: str, width: float) -> DataFrame:
     """Exact median per key (mean of the middle two for even counts) as ``median``.
 
     Equal values are counted first. Counts per cell of ``width`` say which cells
     hold the middle positions, and only the values of those cells are ordered.
+    Choose a width that leaves few cells in the range of values, and few distinct
+    values in a cell.
     So a key is never gathered in one task: a group holds the cells of a key, or
     the distinct values of one cell.
     """

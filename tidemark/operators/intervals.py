@@ -38,9 +38,10 @@ def peak(df: DataFrame, start: str, end: str, keys: Keys = ()) -> DataFrame:
     """Largest number of intervals open at once, per key or overall.
 
     An interval that ends in the instant another begins does not add to it. An
-    interval without an end stays open.
+    interval without an end stays open, one without a start is left out.
     """
     keys = as_list(keys)
+    df = df.filter(F.col(start).isNotNull())
     steps = F.inline(
         F.array(
             F.struct(F.col(start).alias("at"), F.lit(1).alias("step")),

@@ -12,14 +12,11 @@ from tidemark.operators.groups import top_k
 def as_of(dim: DataFrame, changes: DataFrame, key: str, date: str, at: str, value: str, default: object) -> DataFrame:
     """Every row of ``dim`` with the latest value on or before a day, else the default.
 
-    The latest change is a map-side combined maximum; of two changes on one day
-    the higher value counts.
+    Of two changes on one day the higher value counts. The highest of a day and
+    then the value of the last day are aggregates over plain columns, which hash.
     """
-    latest = (
-        changes.filter(F.col(date) <= day_of(at))
-        .groupBy(key)
-        .agg(F.max(F.struct(date, value)).getField(value).alias("_value"))
-    )
+    daily = changes.filter(F.col(date) <= day_of(at)).groupBy(key, date).agg(F.max(value).alias("_value"))
+    latest = daily.groupBy(key).agg(F.max_by("_value", date).alias("_value"))
     kind = changes.schema[value].dataType
     return dim.join(latest, key, "left").select(
         *(F.col(c) for c in dim.columns), F.coalesce("_value", F.lit(default).cast(kind)).alias(value)
@@ -47,7 +44,9 @@ def neighbour_items(edges: DataFrame, items: DataFrame, a: str, b: str, user: st
         )
     )
     links = edges.filter(F.col(a) != F.col(b)).select(ends).distinct()
-    owned = items.select(F.col(user).alias("_friend"), F.col(item).alias("_item")).distinct()
+    # Without nulls from the start, so that both uses are one shuffle.
+    known = items.filter(F.col(user).isNotNull() & F.col(item).isNotNull())
+    owned = known.select(F.col(user).alias("_friend"), F.col(item).alias("_item")).distinct()
     offered = links.join(owned, "_friend").select(F.col("_user").alias("_friend"), "_item").distinct()
     return offered.join(owned, ["_friend", "_item"], "left_anti").select(
         F.col("_friend").alias(user), F.col("_item").alias(item)

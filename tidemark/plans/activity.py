@@ -87,12 +87,15 @@ def user_levels(
 ) -> DataFrame:
     """Users per activity class, counted back from the last day in the data.
 
-    The cases overlap at their borders, the first that fits decides.
+    The cases overlap at their borders, the first that fits decides. Users are
+    counted by first and last day, so the last day of all is found among pairs of days.
     """
     own = logins.groupBy("user_id").agg(
         F.min(F.col(at).cast("date")).alias("first"), F.max(F.col(at).cast("date")).alias("last")
     )
-    today = own.agg(F.max("last")).scalar()
+    spans = own.groupBy("first", "last").agg(F.count("*").alias("users"))
+    # All columns of the pairs are read, so that both uses are one shuffle.
+    facts = spans.agg(F.struct(F.max("last").alias("today"), F.sum("users").alias("users"))).scalar()
     first, last = F.col("first"), F.col("last")
     recent, gone = F.date_sub(F.col("today"), active_days), F.date_sub(F.col("today"), lost_days)
     level = (
@@ -101,8 +104,8 @@ def user_levels(
         .when(first >= recent, names["fresh"])
         .when((last <= recent) & (first <= recent), names["dormant"])
     )
-    dated = own.withColumn("today", today)
-    return dated.groupBy(level.alias("level")).agg(F.count("*").alias("cn"))
+    dated = spans.withColumn("today", facts.getField("today"))
+    return dated.groupBy(level.alias("level")).agg(F.sum("users").alias("cn"))
 
 
 def checkin_coins(logins: DataFrame, at: str) -> DataFrame:

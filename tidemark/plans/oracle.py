@@ -26,6 +26,8 @@ VIEWS = {
         CAST(o_orderdate AS DATE) AS create_date, CAST(l_extendedprice AS DECIMAL(16,2)) AS amount,
         CAST(l_quantity AS INTEGER) AS sku_num FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "sku_total": "SELECT sku_id, CAST(sum(sku_num) AS BIGINT) AS total FROM order_detail GROUP BY sku_id",
+    "line_count": """SELECT category_id, sku_id, count(*) AS order_cnt FROM order_detail JOIN sku USING (sku_id)
+        GROUP BY ALL""",
     "login": """SELECT event_id, user_id, event_type AS ip_address, ts AS login_ts,
         ts + to_seconds(CAST(floor(value * 60) AS INTEGER)) AS logout_ts FROM events""",
     "price_change": """SELECT l_partkey AS sku_id, CAST(l_shipdate AS DATE) AS change_date,
@@ -37,6 +39,7 @@ VIEWS = {
     "favor": """SELECT DISTINCT o_custkey AS user_id, l_partkey AS sku_id, CAST(l_shipdate AS DATE) AS create_date
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'""",
     "event_day": "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS d FROM events",
+    "login_day": "SELECT DISTINCT user_id, d FROM event_day",
     "purchase_day": "SELECT user_id, d FROM event_day WHERE event_type = 'purchase'",
     "view_day": "SELECT user_id, d FROM event_day WHERE event_type = 'view'",
     "page_view": """SELECT event_id, user_id, event_type AS page_id,
@@ -90,7 +93,7 @@ SCHOOL = {
     "p4_1_all_below": """SELECT stu_id, stu_name FROM student JOIN
         (SELECT stu_id, max(score) AS best FROM score GROUP BY stu_id) USING (stu_id) WHERE best < 30""",
     "p4_2_not_all_courses": """SELECT stu_id, stu_name FROM student s WHERE EXISTS (
-        SELECT course_id FROM taught EXCEPT SELECT course_id FROM score WHERE score.stu_id = s.stu_id)""",
+        SELECT course_id FROM course EXCEPT SELECT course_id FROM score WHERE score.stu_id = s.stu_id)""",
     "p4_3_exactly_n_courses": """SELECT s.stu_id, s.stu_name FROM student s
         WHERE (SELECT count(*) FROM score c WHERE c.stu_id = s.stu_id) = 33""",
     "p5_1_two_fails_avg": """SELECT * FROM (SELECT stu_id, avg(score) AS avg_score FROM score GROUP BY stu_id)
@@ -127,8 +130,8 @@ SCHOOL = {
     "p5_14_took_none_of_teacher": """SELECT stu_id, stu_name FROM student EXCEPT
         SELECT stu_id, stu_name FROM student NATURAL JOIN score NATURAL JOIN taught""",
     "p5_15_shares_course_with": """SELECT DISTINCT s.stu_id, s.stu_name FROM student s
-        JOIN score mine ON mine.stu_id = s.stu_id AND mine.score >= 48
-        JOIN score x ON x.course_id = mine.course_id AND x.score >= 48 AND x.stu_id = 1 WHERE s.stu_id <> 1""",
+        JOIN score mine ON mine.stu_id = s.stu_id
+        JOIN score x ON x.course_id = mine.course_id AND x.stu_id = 1 WHERE s.stu_id <> 1""",
     "p5_16_scores_with_avg": """SELECT stu_id, stu_name, course_id, course_name, score,
         avg(score) OVER (PARTITION BY stu_id) AS avg_score FROM student NATURAL JOIN score NATURAL JOIN course""",
 }
@@ -191,7 +194,7 @@ SHOP = {
         SELECT u AS user_id, sku_id FROM both_ways JOIN favor ON favor.user_id = f
         EXCEPT SELECT user_id, sku_id FROM favor""",
     "m15_login_streaks": """SELECT user_id, min(d) AS start_date, max(d) AS end_date FROM
-        (SELECT user_id, d, d - CAST(row_number() OVER (PARTITION BY user_id ORDER BY d) AS INTEGER) AS g FROM view_day)
+        (SELECT user_id, d, d - CAST(row_number() OVER (PARTITION BY user_id ORDER BY d) AS INTEGER) AS g FROM login_day)
         GROUP BY user_id, g HAVING count(*) >= 2""",
     "m16_daily_by_gender": """SELECT create_date,
         CAST(coalesce(sum(total_amount) FILTER (gender = 'BUILDING'), 0) AS DECIMAL(26,2)) AS total_amount_male,
@@ -220,19 +223,27 @@ SHOP = {
                 ORDER BY create_date DESC, order_id DESC)[1:3]) AS o
         FROM order_info GROUP BY user_id)""",
     "m21_max_login_gap": """SELECT user_id, CAST(max(coalesce(nxt, DATE '2024-02-05') - d) AS INTEGER) AS max_diff
-        FROM (SELECT a.user_id, a.d, min(b.d) AS nxt FROM view_day a
-            LEFT JOIN view_day b ON b.user_id = a.user_id AND b.d > a.d GROUP BY ALL) GROUP BY user_id""",
+        FROM (SELECT a.user_id, a.d, min(b.d) AS nxt FROM login_day a
+            LEFT JOIN login_day b ON b.user_id = a.user_id AND b.d > a.d GROUP BY ALL) GROUP BY user_id""",
     "m22_overlapping_logins": """SELECT DISTINCT a.user_id FROM login a JOIN login b ON a.user_id = b.user_id
         AND a.event_id <> b.event_id AND a.login_ts <= b.login_ts AND a.logout_ts >= b.login_ts""",
     "m22b_overlapping_places": """SELECT DISTINCT a.user_id FROM login a JOIN login b ON a.user_id = b.user_id
         AND a.ip_address <> b.ip_address AND a.login_ts <= b.login_ts AND a.logout_ts >= b.login_ts""",
     "m23_target_two_months": """WITH met AS (SELECT shop_id, year(create_date) * 12 + month(create_date) AS m
-            FROM order_detail GROUP BY ALL HAVING sum(amount) >= 700000)
+            FROM order_detail GROUP BY ALL
+            HAVING sum(amount) >= CASE shop_id % 3 WHEN 0 THEN 600000 WHEN 2 THEN 700000 END)
         SELECT DISTINCT a.shop_id FROM met a JOIN met b ON b.shop_id = a.shop_id AND b.m = a.m + 1""",
     "m24_sales_bands": """SELECT category, count(*) AS cn FROM (SELECT CASE WHEN total > 890 THEN 'hot'
         WHEN total > 631 THEN 'normal' ELSE 'cold' END AS category FROM sku_total) GROUP BY ALL""",
     "m25_top3_per_category": """SELECT unnest(list(sku_id ORDER BY total DESC, sku_id)[1:3]) AS sku_id, category_id
         FROM sku_total JOIN sku USING (sku_id) GROUP BY category_id""",
+    "m25b_most_ordered_rank": """SELECT category_id, sku_id, order_cnt, CAST(1 + (SELECT count(*) FROM line_count o
+        WHERE o.category_id = t.category_id AND o.order_cnt > t.order_cnt) AS INTEGER) AS rk
+        FROM line_count t WHERE rk <= 3""",
+    "m25c_most_ordered_dense_rank": """SELECT category_id, sku_id, order_cnt,
+        CAST(list_position(top, order_cnt) AS INTEGER) AS rk
+        FROM line_count JOIN (SELECT category_id, list_reverse_sort(list(DISTINCT order_cnt))[1:3] AS top
+            FROM line_count GROUP BY ALL) USING (category_id) WHERE list_contains(top, order_cnt)""",
     # The middle two in whole cents; a tenth is ten cents, so their sum is rounded to twenties.
     "m26_median_price": """SELECT category_id, ((v[(n + 1) // 2] + v[n // 2 + 1] + 10) // 20) / 10.0::DOUBLE AS medprice
         FROM (SELECT category_id, count(*) AS n,
@@ -242,16 +253,16 @@ SHOP = {
         SELECT DISTINCT a.shop_id FROM over a JOIN over b ON b.shop_id = a.shop_id AND b.d = a.d + 1
         JOIN over c ON c.shop_id = a.shop_id AND c.d = a.d + 2""",
     "m28_day1_retention": """SELECT f.d1 AS first_login, count(*) AS register, count(p.d) / count(*) AS retention
-        FROM (SELECT user_id, min(d) AS d1 FROM purchase_day GROUP BY user_id) f
-        LEFT JOIN purchase_day p ON p.user_id = f.user_id AND p.d = f.d1 + 1 GROUP BY f.d1""",
+        FROM (SELECT user_id, min(d) AS d1 FROM login_day GROUP BY user_id) f
+        LEFT JOIN login_day p ON p.user_id = f.user_id AND p.d = f.d1 + 1 GROUP BY f.d1""",
     "m29_selling_ranges": """WITH sold AS (SELECT DISTINCT sku_id, create_date AS d FROM order_detail),
         opens AS (SELECT * FROM sold s WHERE NOT EXISTS (FROM sold p WHERE p.sku_id = s.sku_id AND p.d = s.d - 1)),
         closes AS (SELECT * FROM sold s WHERE NOT EXISTS (FROM sold p WHERE p.sku_id = s.sku_id AND p.d = s.d + 1))
         SELECT o.sku_id, o.d AS start_date, min(c.d) AS end_date
         FROM opens o JOIN closes c ON c.sku_id = o.sku_id AND c.d >= o.d GROUP BY ALL""",
     "m30_daily_logins_orders": """SELECT user_id, CAST(ts AS DATE) AS login_date,
-        count(*) FILTER (event_type = 'view') AS login_count, count(*) FILTER (event_type = 'purchase') AS order_count
-        FROM events GROUP BY ALL HAVING login_count > 0""",
+        count(*) AS login_count, count(*) FILTER (event_type = 'purchase') AS order_count
+        FROM events GROUP BY ALL""",
     "m31_yearly_sales": """SELECT sku_id, CAST(date_part('year', create_date) AS INTEGER) AS year_date,
         CAST(sum(amount) AS DECIMAL(26,2)) AS sku_sum FROM order_detail GROUP BY ALL""",
     "m32_week_pivot": "SELECT sku_id, "
@@ -282,12 +293,12 @@ SHOP = {
             SELECT sku_id, 0, 1 FROM favor WHERE create_date BETWEEN DATE '1998-06-01' AND DATE '1998-06-30')
         SELECT sku_id, CAST(sum(sku_num) AS BIGINT) AS sku_sum, CAST(sum(fav) AS BIGINT) AS favor_cn
         FROM june GROUP BY sku_id""",
-    "m37_user_levels": """WITH own AS (SELECT user_id, (SELECT max(d) FROM purchase_day) - max(d) AS quiet,
-            (SELECT max(d) FROM purchase_day) - min(d) AS age FROM purchase_day GROUP BY user_id)
-        SELECT CASE WHEN quiet >= 10 THEN 'lost' WHEN quiet <= 2 AND age >= 2 THEN 'loyal'
-            WHEN age <= 2 THEN 'new' WHEN quiet >= 2 THEN 'dormant' END AS level, count(*) AS cn
+    "m37_user_levels": """WITH own AS (SELECT user_id, (SELECT max(d) FROM login_day) - max(d) AS quiet,
+            (SELECT max(d) FROM login_day) - min(d) AS age FROM login_day GROUP BY user_id)
+        SELECT CASE WHEN quiet >= 2 THEN 'lost' WHEN quiet <= 0 AND age >= 0 THEN 'loyal'
+            WHEN age <= 0 THEN 'new' WHEN quiet >= 0 THEN 'dormant' END AS level, count(*) AS cn
         FROM own GROUP BY level""",
-    "m38_checkin_coins": """WITH d AS (SELECT DISTINCT user_id, d FROM event_day),
+    "m38_checkin_coins": """WITH d AS (SELECT * FROM login_day),
         run AS (SELECT user_id, d, d - CAST(row_number() OVER (PARTITION BY user_id ORDER BY d) AS INTEGER) AS g FROM d),
         placed AS (SELECT user_id, (row_number() OVER (PARTITION BY user_id, g ORDER BY d) - 1) % 7 + 1 AS p FROM run)
         SELECT user_id, CAST(sum(CASE p WHEN 3 THEN 3 WHEN 7 THEN 7 ELSE 1 END) AS BIGINT) AS sum_coin_cn

@@ -59,7 +59,7 @@ SCHOOL: dict[str, Query] = {
     ),
     "p3_13_n_courses_incl": lambda r: school.students_with_n_courses(r.student(), r.score(), 33, including=1),
     "p4_1_all_below": lambda r: school.all_below(r.student(), r.score(), 30),
-    "p4_2_not_all_courses": lambda r: _not_all_courses(r),
+    "p4_2_not_all_courses": lambda r: school.not_all_courses(r.student(), r.course(), r.score()),
     "p4_3_exactly_n_courses": lambda r: school.students_with_n_courses(r.student(), r.score(), 33),
     "p5_1_two_fails_avg": lambda r: school.failing_averages(r.student(), r.score(), 10, at_least=8),
     "p5_2_student_totals": lambda r: school.student_totals(r.student(), r.score()),
@@ -81,19 +81,17 @@ SCHOOL: dict[str, Query] = {
     "p5_14_took_none_of_teacher": lambda r: school.took_none_of(
         r.student(), r.course(), r.teacher(), r.score(), TEACHER
     ),
-    "p5_15_shares_course_with": lambda r: school.shares_course_with(
-        r.student(), r.score().filter(F.col("score") >= 48), 1
-    ),
+    "p5_15_shares_course_with": lambda r: school.shares_course_with(r.student(), r.score(), 1),
     "p5_16_scores_with_avg": lambda r: school.scores_with_average(r.student(), r.course(), r.score()),
 }
 
 SHOP: dict[str, Query] = {
     "m1_second_best_seller": lambda r: shop.nth_best_seller(r.sold(), 2),
     "m1b_second_or_null": lambda r: shop.nth_best_seller(r.sold(), 2, ties="rank", or_null=True),
-    "m2_consecutive_order_days": lambda r: shop.consecutive_order_days(r.event_day("purchase")),
+    "m2_consecutive_order_days": lambda r: shop.consecutive_order_days(r.purchase_day()),
     "m3_category_best_and_kinds": lambda r: shop.category_best_and_kinds(r.sold(), r.sku(), r.category()),
     "m4_vip_level": lambda r: _in_money(shop.vip_level(r.order_info(), *VIP), "sum_so_far"),
-    "m5_next_day_repeat_rate": lambda r: shop.next_day_repeat_rate(r.event_day("purchase")),
+    "m5_next_day_repeat_rate": lambda r: shop.next_day_repeat_rate(r.purchase_day()),
     "m6_first_year_sales": lambda r: _in_money(shop.first_year_sales(r.order_detail()), "order_amount"),
     "m7_low_sellers": lambda r: shop.low_sellers(r.order_detail(), r.sku(), 1998, 60, "1999-01-10"),
     "m8_daily_new_users": lambda r: activity.daily_new_users(r.login(), "login_ts"),
@@ -104,7 +102,7 @@ SHOP: dict[str, Query] = {
     "m12_price_as_of": lambda r: _in_money(shop.price_as_of(r.sku(), r.price_change(), "1995-06-01", 9900), "price"),
     "m13_first_order_share": lambda r: shop.first_order_share(r.delivery(), F.col("immediate")),
     "m14_friend_favourites": lambda r: shop.friend_favourites(r.friendship(), r.favor()),
-    "m15_login_streaks": lambda r: activity.login_streaks(r.event_day("view"), "create_date"),
+    "m15_login_streaks": lambda r: activity.login_streaks(r.login_day(), "create_date"),
     "m16_daily_by_gender": lambda r: _in_money(
         shop.daily_by_gender(r.order_info(), r.user(), "BUILDING", "MACHINERY"),
         "total_amount_male",
@@ -117,18 +115,20 @@ SHOP: dict[str, Query] = {
     "m18_bought_a_b_not_c": lambda r: shop.bought_but_not(r.order_detail(), "shop_id", [1, 2], [3]),
     "m19_daily_difference": lambda r: shop.daily_difference(r.order_detail(), "sku_id", 1, 2),
     "m20_latest_3_orders": lambda r: shop.latest_orders(r.order_info()),
-    "m21_max_login_gap": lambda r: activity.longest_login_gap(r.event_day("view"), "create_date", "2024-02-05"),
+    "m21_max_login_gap": lambda r: activity.longest_login_gap(r.login_day(), "create_date", "2024-02-05"),
     "m22_overlapping_logins": lambda r: activity.overlapping_logins(r.login()),
     "m22b_overlapping_places": lambda r: activity.overlapping_logins(r.login(), distinct_place=True),
-    "m23_target_two_months": lambda r: shop.target_two_months(r.order_detail(), "shop_id", F.lit(70_000_000)),
+    "m23_target_two_months": lambda r: shop.target_two_months(r.order_detail(), r.target(), "shop_id"),
     "m24_sales_bands": lambda r: shop.sales_bands(r.sold(), *BANDS),
     "m25_top3_per_category": lambda r: shop.top_per_category(r.sold(), r.sku()),
+    "m25b_most_ordered_rank": lambda r: shop.most_ordered_per_category(r.sold(), r.sku(), ties="rank"),
+    "m25c_most_ordered_dense_rank": lambda r: shop.most_ordered_per_category(r.sold(), r.sku(), ties="dense_rank"),
     "m26_median_price": lambda r: shop.median_price(r.sku()),
     "m27_3day_sales_over": lambda r: shop.days_over(r.order_detail(), "shop_id", 10_000_000),
-    "m28_day1_retention": lambda r: activity.day1_retention(r.event_day("purchase"), "create_date"),
+    "m28_day1_retention": lambda r: activity.day1_retention(r.login_day(), "create_date"),
     "m29_selling_ranges": lambda r: shop.selling_ranges(r.order_detail()),
     "m30_daily_logins_orders": lambda r: activity.daily_logins_and_orders(
-        r.event_day("view"), "create_date", r.event_day("purchase")
+        r.login_day(), "create_date", r.purchase_day()
     ),
     "m31_yearly_sales": lambda r: _in_money(shop.yearly_sales(r.order_detail()), "sku_sum"),
     "m32_week_pivot": lambda r: shop.week_pivot(r.order_detail(), "1998-06-01", "1998-06-07"),
@@ -141,8 +141,8 @@ SHOP: dict[str, Query] = {
     "m36b_favs_or_purchases": lambda r: shop.favs_and_purchases(
         r.order_detail(), r.favor(), "1998-06-01", "1998-06-30", how="full"
     ),
-    "m37_user_levels": lambda r: activity.user_levels(r.event_day("purchase"), "create_date", 2, 10, LEVELS),
-    "m38_checkin_coins": lambda r: activity.checkin_coins(r.event_day(), "create_date"),
+    "m37_user_levels": lambda r: activity.user_levels(r.login_day(), "create_date", 0, 2, LEVELS),
+    "m38_checkin_coins": lambda r: activity.checkin_coins(r.login_day(), "create_date"),
     "m39_sell_through": lambda r: shop.sell_through(r.order_detail(), r.sku(), "1998-06-01"),
     "m40_peak_online": lambda r: activity.peak_online(r.login()),
 }
@@ -155,12 +155,6 @@ ACTIVITY: dict[str, Query] = {
 }
 
 
-def _not_all_courses(r: Roles) -> DataFrame:
-    """Limited to the courses of one teacher, as nobody takes every course there is."""
-    taught = school.courses_of(r.course(), r.teacher(), TEACHER)
-    return school.not_all_courses(r.student(), taught, r.score().join(taught, "course_id", "left_semi"))
-
-
 def _user_overview(r: Roles, how: str) -> DataFrame:
     overview = activity.user_overview(r.login(), "login_ts", r.order_info(), 2024, 1998, how)
     return _in_money(overview, "order_amount_year")

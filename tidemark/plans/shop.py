@@ -54,18 +54,14 @@ def nth_best_seller(lines: DataFrame, n: int = 2, ties: str = "dense_rank", or_n
 
 
 def category_best_and_kinds(lines: DataFrame, sku: DataFrame, category: DataFrame) -> DataFrame:
-    """Best seller of every category and the number of items sold in it, in one aggregate."""
-    sold = pieces(lines).join(sku.select("sku_id", "name", "category_id"), "sku_id")
-    best = F.min_by(F.struct("sku_id", "name", "sum_num"), F.struct(-F.col("sum_num"), F.col("sku_id")))
-    per_category = sold.groupBy("category_id").agg(best.alias("best"), F.count("sku_id").alias("order_cnt"))
-    return per_category.join(category, "category_id").select(
-        "category_id",
-        "category_name",
-        F.col("best.sku_id").alias("sku_id"),
-        F.col("best.name").alias("name"),
-        F.col("best.sum_num").alias("order_num"),
-        "order_cnt",
+    """Best seller of every category, the lowest id of equals, and the number of items sold in it."""
+    sold = pieces(lines).join(sku.select("sku_id", "category_id"), "sku_id")
+    equals = sold.groupBy("category_id", "sum_num").agg(F.min("sku_id").alias("sku_id"), F.count("sku_id").alias("n"))
+    best = equals.groupBy("category_id").agg(
+        F.max_by("sku_id", "sum_num").alias("sku_id"), F.max("sum_num").alias("order_num"), F.sum("n").alias("order_cnt")
     )
+    named = best.join(sku.select("sku_id", "name"), "sku_id").join(category, "category_id")
+    return named.select("category_id", "category_name", "sku_id", "name", "order_num", "order_cnt")
 
 
 def top_per_category(lines: DataFrame, sku: DataFrame, k: int = 3) -> DataFrame:
@@ -74,6 +70,14 @@ def top_per_category(lines: DataFrame, sku: DataFrame, k: int = 3) -> DataFrame:
     return best.select("sku_id", "category_id")
 
 
+def most_ordered_per_category(lines: DataFrame, sku: DataFrame, k: int = 3, ties: str = "rank") -> DataFrame:
+    """Items on the first k ranks of their category by order lines; equal counts share a rank."""
+    ordered = lines.groupBy("sku_id").agg(F.count("*").alias("order_cnt"))
+    counted = ordered.join(sku.select("sku_id", "category_id"), "sku_id")
+    best = groups.top_k(counted, "category_id", [F.desc("order_cnt")], k, ties)
+    return best.select("category_id", "sku_id", "order_cnt", "rk")
+
+
 def above_category_average(lines: DataFrame, sku: DataFrame) -> DataFrame:
     sold = pieces(lines).join(sku.select("sku_id", "name", "category_id"), "sku_id")
     rows = groups.with_group_avg(sold, "category_id", "sum_num", "cate_avg_num")
@@ -161,13 +165,13 @@ def same_month_two_years(lines: DataFrame, y1: int, y2: int) -> DataFrame:
     return sums.withColumnsRenamed({"a": "y1_skusum", "b": "y2_skusum"})
 
 
-def target_two_months(lines: DataFrame, item: str, target: Column, months: int = 2) -> DataFrame:
+def target_two_months(lines: DataFrame, targets: DataFrame, item: str, months: int = 2) -> DataFrame:
     """Items whose monthly amount meets their target in consecutive months.
 
-    ``target`` is a column of the item; an item without target never qualifies.
+    ``targets`` has an item and its target; an item without target never qualifies.
     """
     monthly = lines.groupBy(item, month_start(F.col("create_date")).alias("month")).agg(F.sum("amount").alias("amount"))
-    met = monthly.filter(F.col("amount") >= target)
+    met = monthly.join(targets, item).filter(F.col("amount") >= F.col("target"))
     runs = days.islands(met, item, "month", unit="month")
     return runs.filter(F.col("n_points") >= months).select(item).distinct()
 
@@ -226,10 +230,13 @@ def next_day_repeat_rate(orders: DataFrame) -> DataFrame:
 
 
 def first_order_share(delivery: DataFrame, condition: Column, digits: int = 2) -> DataFrame:
-    """Share of users whose first order satisfies a condition; equal days are split by order id."""
-    first = delivery.groupBy("user_id").agg(
-        F.min_by(F.coalesce(condition, F.lit(False)), F.struct("order_date", "order_id")).alias("met")
-    )
+    """Share of users whose first order satisfies a condition; equal days are split by order id.
+
+    First the lowest order id of a day, then the first day: both aggregates hash.
+    """
+    met = delivery.select("user_id", "order_date", "order_id", F.coalesce(condition, F.lit(False)).alias("met"))
+    daily = met.groupBy("user_id", "order_date").agg(F.min_by("met", "order_id").alias("met"))
+    first = daily.groupBy("user_id").agg(F.min_by("met", "order_date").alias("met"))
     return first.agg(F.round(share(F.col("met")), digits).alias("percentage"))
 
 
@@ -268,7 +275,7 @@ def last_price_change(price_change: DataFrame) -> DataFrame:
 def median_price(sku: DataFrame, digits: int = 1) -> DataFrame:
     """Exact median of the list price per category; cents keep the middle exact."""
     priced = sku.select("category_id", F.col("price").cast("decimal(16,2)").alias("price"))
-    middle = groups.median(priced, "category_id", "price")
+    middle = groups.median(priced, "category_id", "price", width=1.0)
     return middle.select("category_id", F.round("median", digits).cast("double").alias("medprice"))
 
 

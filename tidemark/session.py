@@ -18,13 +18,6 @@ SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to a session that somebody else created."""
-    for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
-    return spark
-
-
 def local_session(cores: str = "8", shuffle_partitions: int = 8, name: str = "tidemark") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -106,6 +106,12 @@ class Roles:
             F.col("l_partkey").alias("sku_id"), F.col("l_shipdate").cast("date").alias("change_date")
         ).agg(F.max(cents(F.col("l_extendedprice"))).alias("new_price"))
 
+    def target(self) -> DataFrame:
+        """Monthly targets of shops in cents, of three amounts; every third shop has none."""
+        shop = F.col("s_suppkey")
+        amount = (60_000_000 + shop % 3 * 5_000_000).cast("long")
+        return self.table("supplier").filter(shop % 3 != F.lit(1)).select(shop.alias("shop_id"), amount.alias("target"))
+
     def delivery(self) -> DataFrame:
         return self.table("orders").select(
             F.col("o_orderkey").alias("order_id"),
@@ -151,12 +157,14 @@ class Roles:
             {"ip_address": "live_id", "login_ts": "in_datetime", "logout_ts": "out_datetime"}
         )
 
-    def event_day(self, kind: str | None = None) -> DataFrame:
-        """One row per event with its user and day, of one kind or of all."""
-        events = self.table("events")
-        if kind is not None:
-            events = events.filter(F.col("event_type") == kind)
-        return events.select("user_id", F.col("ts").cast("date").alias("create_date"))
+    def login_day(self) -> DataFrame:
+        """User and day of every login, which is every event as in `login`."""
+        return self.table("events").select("user_id", F.col("ts").cast("date").alias("create_date"))
+
+    def purchase_day(self) -> DataFrame:
+        """User and day of every purchase, the orders of the activity tables."""
+        bought = self.table("events").filter(F.col("event_type") == "purchase")
+        return bought.select("user_id", F.col("ts").cast("date").alias("create_date"))
 
     def page_view(self) -> DataFrame:
         return self.table("events").select(
