@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from tidemark.llm import sentences
 
 
@@ -7,27 +9,31 @@ def plain(rows: list[tuple], several: int = 2, enough: int = 12) -> list[tuple]:
     """(doc_id, n_sentences, n_removed, text): repeated runs found in a dictionary of all."""
     parsed = []
     for doc, text in rows:
-        ends, counts, words = sentences.sentences((text or "").encode())
+        raw = (text or "").encode()
+        cuts = sentences.Sentences(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        words = [raw[a:b].lower().split() for a, b in zip(cuts.begins, cuts.ends, strict=True)]
+        assert sum(words, []) == raw.lower().split()
         runs = []
-        for i in range(len(counts)):
-            for j in range(i + several, len(counts) + 1):
-                if sum(counts[i:j]) >= enough:
-                    runs.append((i, j, tuple(words[i:j])))
+        for i in range(len(words)):
+            for j in range(i + several, len(words) + 1):
+                if sum(map(len, words[i:j])) >= enough:
+                    runs.append((i, j, tuple(sum(words[i:j], []))))
                     break
-        parsed.append((doc, text, ends, counts, runs))
+        parsed.append((doc, text, list(zip(cuts.begins, cuts.ends, strict=True)), words, runs))
     first: dict[tuple, float] = {}
     for doc, _, _, _, runs in parsed:
         for _, _, run in runs:
             first[run] = min(first.get(run, 1e300), 1e299 if doc is None else doc)
     out = []
-    for doc, text, ends, counts, runs in parsed:
+    for doc, text, places, counts, runs in parsed:
         gone, seen = set(), set()
         for i, j, run in runs:
             if run in seen or (1e299 if doc is None else doc) > first[run]:
                 gone.update(range(i, j))
             seen.add(run)
-        raw, begins = (text or "").encode(), [0, *ends[:-1]]
-        kept = b"".join(raw[a:b] for k, (a, b) in enumerate(zip(begins, ends, strict=True)) if k not in gone) if gone else raw
+        raw = (text or "").encode()
+        lead = raw[: places[0][0]] if places else raw
+        kept = lead + b"".join(raw[a:b] for k, (a, b) in enumerate(places) if k not in gone)
         out.append((doc, len(counts), len(gone), None if text is None else kept.decode()))
     return sorted(out, key=repr)
 
@@ -67,6 +73,13 @@ def test_long_passages_stay_once_and_other_text_stays(spark):
     assert all(found[d] == t for d, t in untouched)
 
 
+def test_sentences_end_where_they_should():
+    text = b" One two.  Three? four\n\nfive six!\nU.S. army a.b\x00c"
+    cuts = sentences.Sentences(np.frombuffer(text, np.uint8), np.array([0, 24, len(text)]))
+    assert [text[a:b] for a, b in zip(cuts.begins, cuts.ends, strict=True)] == [b"One two.  ", b"Three? ", b"four\n\n", b"five six!\n", b"U.S. ", b"army a.b\x00c"]
+    assert cuts.of_row.tolist() == [0, 3, 6]
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert sentences.dedup(empty).collect() == []

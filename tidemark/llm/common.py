@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -100,6 +101,76 @@ def shards(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[
         yield pa.Table.from_batches(held)
 
 
+def powers(base: int, count: int) -> np.ndarray:
+    """base**0 .. base**(count - 1) modulo 2**64."""
+    out = np.ones(max(1, count), np.uint64)
+    done, step = 1, base % (1 << 64)
+    while done < len(out):
+        more = min(done, len(out) - done)
+        out[done : done + more] = out[:more] * np.uint64(step)
+        done, step = done + more, step * step % (1 << 64)
+    return out
+
+
+_RANDOM = np.random.default_rng(8)
+VALUES = _RANDOM.integers(1, 1 << 63, 256, np.uint64)
+FACTOR = int(_RANDOM.integers(1 << 40, 1 << 62)) * 2 + 1
+
+
+def run_hashes(values: np.ndarray, first: np.ndarray, behind: np.ndarray, factor: int = FACTOR) -> np.ndarray:
+    """Polynomial hashes modulo 2**64 of runs of values; equal runs have equal hashes."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(factor, len(values))[: len(values)], out=sums[1:])
+    back = powers(pow(factor, -1, 1 << 64), len(values))
+    return (sums[behind] - sums[first]) * back[np.minimum(first, len(back) - 1)]
+
+
+def hashed_words(data: np.ndarray, rows: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Folded bytes, where each word begins and ends, and a hash of each word.
+
+    `letters` folds bytes, those that separate words to 0. `rows` has the start of each text
+    and the end of the last; no word crosses a start.
+    """
+    folded = letters[data]
+    inside = np.concatenate([[False], folded > 0, [False]])
+    change = inside[1:] != inside[:-1]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[rows] = True
+    begins = np.flatnonzero(inside[1:] & (change | edge))
+    ends = np.flatnonzero(inside[:-1] & (change | edge))
+    return folded, begins, ends, run_hashes(VALUES[folded], begins, ends)
+
+
+def bitmap(keys: DataFrame, column: str, most: int = 1 << 28) -> np.ndarray:
+    """A bit for the low part of each key, in words of 64: a filter that lets all keys through.
+
+    16 bits a key, `most` at most (32 MB): beyond it lets more other rows through, no fewer.
+    """
+    bits = min(most, 1 << max(20, (16 * keys.count()).bit_length()))
+    low = keys.select(F.col(column).bitwiseAND(bits - 1).alias("low"))
+    words = low.groupBy(F.expr("shiftright(low, 6) AS word")).agg(F.expr("bit_or(shiftleft(1L, cast(low & 63 AS int))) AS set"))
+    out = np.zeros(bits // 64, np.uint64)
+    found = words.toPandas()
+    out[found["word"].to_numpy(np.int64)] = found["set"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def among(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a key's bit is set: always if it was given."""
+    low = keys & (len(words) * 64 - 1)
+    return ((words[low >> 6] >> (low & 63).astype(np.uint64)) & np.uint64(1)) == 1
+
+
+def some(df: DataFrame, column: str, bits: Broadcast, chosen: bool = True) -> DataFrame:
+    """The rows of `df` whose key has its bit set, or those whose key has not."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(among(bits.value, batch.column(column).to_numpy(zero_copy_only=False)) == chosen))
+
+    return in_tasks(df, task, df.schema)
+
+
 def buckets_for(rows: int, each: int = 4096) -> int:
     """How many hash buckets leave about `each` of `rows` rows in one, or fewer."""
     return max(512, -(-rows // each))

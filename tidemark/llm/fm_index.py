@@ -18,49 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_tasks, shards, table, utf8
+from tidemark.llm.common import hashed_words, in_tasks, shards, table, utf8
 
 #: A word's bytes after A-Z became a-z: digits, a-z and everything outside ASCII; others are 0.
 LETTERS = np.zeros(256, np.uint8)
 for _byte in [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]:
     LETTERS[_byte] = _byte
 LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B]
-_RANDOM = np.random.default_rng(8)
-VALUES = _RANDOM.integers(1, 1 << 63, 256, np.uint64) * (LETTERS > 0)
-FACTOR = int(_RANDOM.integers(1 << 40, 1 << 62)) * 2 + 1
-
-
-def powers(base: int, count: int) -> np.ndarray:
-    """base**0 .. base**(count - 1) modulo 2**64."""
-    out = np.ones(max(1, count), np.uint64)
-    done, step = 1, base % (1 << 64)
-    while done < len(out):
-        more = min(done, len(out) - done)
-        out[done : done + more] = out[:more] * np.uint64(step)
-        done, step = done + more, step * step % (1 << 64)
-    return out
-
 
 def words_of(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased bytes, where each word begins and ends, and a hash of each word.
-
-    `rows` has the start of each text and the end of the last; no word crosses a start.
-    Equal words have equal hashes; the reverse is checked where it matters.
-    """
-    lower = LETTERS[data]
-    inside = np.concatenate([[False], lower > 0, [False]])
-    change = inside[1:] != inside[:-1]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[rows] = True
-    begins = np.flatnonzero(inside[1:] & (change | edge))
-    ends = np.flatnonzero(inside[:-1] & (change | edge))
-    if not len(begins):
-        return lower, begins, ends, np.zeros(0, np.uint64)
-    scale = powers(FACTOR, len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(VALUES[lower] * scale, out=sums[1:])
-    back = powers(pow(FACTOR, -1, 1 << 64), len(data))
-    return lower, begins, ends, (sums[ends] - sums[begins]) * back[begins]
+    """Lower-cased bytes, where each word begins and ends, and a hash of each word."""
+    return hashed_words(data, rows, LETTERS)
 
 
 def suffix_array(text: np.ndarray, bits: int) -> np.ndarray:

@@ -5,97 +5,120 @@ chosen by their hash, so that equal passages have equal cuts wherever they begin
 sentence on, the shortest run of several consecutive sentences with enough words is hashed.
 A join over all documents finds the runs that occur again. The first occurrence, by doc_id
 and place, stays; sentences that any other occurrence covers are removed.
+
+What is shuffled for all texts is a count per hash; runs and texts move only where a bitmap
+of the hashes that occur again (or of the texts with such runs) has their bit set.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, in_tasks, pieces, table
+from tidemark.llm.common import FACTOR, among, bitmap, cut, hashed_words, in_tasks, pieces, run_hashes, some, table, utf8
 
-END = re.compile(rb"[.!?]+(?=[ \t\r\n\x0b\f])|\n+")
-WORD = re.compile(rb"[^ \t\r\n\x0b\f]+")
+#: A-Z lower-cased; white space separates words.
+PRINT = np.arange(256, dtype=np.uint8)
+PRINT[0x41:0x5B] = PRINT[0x61:0x7B]
+PRINT[[0x20, *range(0x09, 0x0E)]] = 0
+PRINT[0] = 1  # a zero byte is part of a word like any other
+STOPS = np.isin(np.arange(256), [ord(x) for x in ".!?"])
 LAST = (1 << 63) - 1
 
 
-def sentences(text: bytes, long: int = 16, one_in: int = 5) -> tuple[list[int], list[int], list[bytes]]:
-    """Where each sentence ends, its words, and its words lower-cased (A-Z) and joined."""
-    ends, counts, plain = [], [], []
-    start = 0
-    for end in [*(m.end() for m in END.finditer(text)), len(text)]:
-        if end <= start:
-            continue
-        words = text[start:end].lower().split()
-        if not words:
-            if ends:  # white space belongs to the sentence before it
-                ends[-1] = end
-                start = end
-            continue
-        if len(words) > long:
-            first = 0
-            for k, m in enumerate(WORD.finditer(text, start, end)):
-                if crc32(words[k]) % one_in == 0 and k + 1 < len(words):
-                    ends.append(m.end())
-                    counts.append(k + 1 - first)
-                    plain.append(b" ".join(words[first : k + 1]))
-                    first = k + 1
-            words = words[first:]
-        ends.append(end)
-        counts.append(len(words))
-        plain.append(b" ".join(words))
-        start = end
-    return ends, counts, plain
-
-
-def runs(counts: list[int], plain: list[bytes], several: int, enough: int) -> Iterator[tuple[int, int, bytes]]:
-    """(first, behind, hash) of the shortest run from each sentence with several sentences and enough words."""
-    digests = [xxhash.xxh3_128_digest(x) for x in plain]
-    behind, words = 0, 0
-    for first in range(len(counts)):
-        while behind < len(counts) and (words < enough or behind - first < several):
-            words += counts[behind]
-            behind += 1
-        if words < enough or behind - first < several:
-            return
-        yield first, behind, xxhash.xxh3_128_digest(b"".join(digests[first:behind]))
-        words -= counts[first]
-
-
-def spans(docs: DataFrame, several: int = 2, enough: int = 12) -> DataFrame:
-    """(doc_id, text_hash, first, behind, again, a, b): the runs of each text and their hashes.
-
-    `again`: the text has the run before already.
+class Sentences:
+    """The sentences of texts that lie one after another.
+
+    `row` of each sentence, its words [first, behind) and its bytes [begins, ends): those up to
+    the next sentence's first word, so white space goes with the sentence before it.
     """
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, data: np.ndarray, rows: np.ndarray, long: int = 16, one_in: int = 5):
+        _, begins, ends, self.hashes = hashed_words(data, rows, PRINT)
+        n = len(begins)
+        owner = np.searchsorted(rows, begins, side="right") - 1 if n else np.zeros(0, np.int64)
+        lines = np.concatenate([[0], np.cumsum(data == 0x0A)])
+        after = np.append(begins[1:], len(data))[:n]
+        over = np.append(owner[1:] != owner[:-1], True)[:n]
+        end = STOPS[data[ends - 1]] | (lines[after] > lines[ends]) | over
+        # long sentences
+        of = np.cumsum(np.concatenate([[0], end[:-1]])[:n]).astype(np.int64)
+        end |= (np.bincount(of)[of] > long) & ((self.hashes >> np.uint64(33)) % np.uint64(one_in) == 0) if n else end
+        self.behind = np.flatnonzero(end) + 1
+        self.first = np.concatenate([[0], self.behind[:-1]])[: len(self.behind)].astype(np.int64)
+        self.row = owner[self.first]
+        self.begins = begins[self.first]
+        self.ends = np.append(self.begins[1:], len(data))[: len(self.first)]
+        last = np.append(self.row[1:] != self.row[:-1], True)[: len(self.row)]
+        self.ends[last] = rows[self.row[last] + 1]
+        #: The first sentence of each row, and the number of all.
+        self.of_row = np.searchsorted(self.row, np.arange(len(rows)))
+
+    def runs(self, several: int, enough: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first, behind, a, b, again) of the shortest run from each sentence with enough words.
+
+        `a` and `b` hash its words; `again` if the text has the run before already.
+        """
+        at = np.arange(len(self.first))
+        behind = np.maximum(at + several, np.searchsorted(self.behind, self.first + enough) + 1)
+        whole = behind <= self.of_row[self.row + 1] if len(at) else np.zeros(0, bool)
+        first, behind = at[whole], behind[whole]
+        words = self.first[first], self.behind[behind - 1]
+        other = (self.hashes ^ (self.hashes >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+        a, b = run_hashes(self.hashes, *words), run_hashes(other, *words, factor=FACTOR ^ 0x5DEECE66C)
+        row = self.row[first]
+        order = np.lexsort((a, row))
+        again = np.zeros(len(first), bool)
+        if len(order):
+            again[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
+        return first, behind, a.view(np.int64), b.view(np.int64), again
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """Texts named by doc_id, null as the last, and a hash."""
+    return docs.select(
+        "doc_id",
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+        F.xxhash64(F.col("text").cast("string")).alias("hash"),
+        F.col("text").cast("string").alias("text"),
+    )
+
+
+def _repeated(texts: DataFrame, several: int, enough: int) -> DataFrame:
+    """(doc, hash, runs): of each text with any, the runs that are not the first of their kind."""
+    send = texts.sparkSession.sparkContext.broadcast
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", 1 << 20):
-            owner, places, hashes, again = [], [], [], []
-            for row, text in enumerate(piece.column("text").cast(pa.binary()).to_pylist()):
-                _, counts, plain = sentences(text or b"")
-                seen: set[bytes] = set()
-                for first, behind, digest in runs(counts, plain, several, enough):
-                    owner.append(row)
-                    places.append((first, behind))
-                    hashes.append(digest)
-                    again.append(digest in seen)
-                    seen.add(digest)
-            place = np.array(places, np.int32).reshape(-1, 2)
-            digest = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
-            columns = [*(piece.column(name).take(pa.array(owner, pa.int64())) for name in ("doc_id", "text_hash"))]
-            columns += [pa.array(np.ascontiguousarray(x)) for x in (place[:, 0], place[:, 1])] + [pa.array(again, pa.bool_())]
-            columns += [pa.array(np.ascontiguousarray(x)) for x in (digest[:, 0], digest[:, 1])]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "first", "behind", "again", "a", "b"])
-
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
-    return in_tasks(rows, task, "doc_id long, text_hash long, first int, behind int, again boolean, a long, b long")
+            _, _, a, _, again = Sentences(*utf8(piece.column("text"))).runs(several, enough)
+            keys, n = np.unique(a[~again], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["a", "n"])
+
+    counts = in_tasks(texts.select("text"), count, "a long, n long").groupBy("a").agg(F.sum("n").alias("n"))
+    wanted = send(bitmap(cut(counts.filter("n > 1").select("a")), "a"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text", 1 << 20):
+            found = Sentences(*utf8(piece.column("text")))
+            first, behind, a, b, again = found.runs(several, enough)
+            chosen = np.flatnonzero(again | among(wanted.value, a))
+            row = found.row[first[chosen]]
+            start = found.of_row[row]
+            columns = [piece.column(name).take(pa.array(row)) for name in ("doc", "hash")]
+            columns += [pa.array(x) for x in ((first[chosen] - start).astype(np.int32), (behind[chosen] - start).astype(np.int32), again[chosen], a[chosen], b[chosen])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "hash", "first", "behind", "again", "a", "b"])
+
+    where = "doc long, hash long, first int, behind int, again boolean, a long, b long"
+    places = cut(in_tasks(texts.select("doc", "hash", "text"), place, where))
+    least = places.groupBy("a", "b").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    # written, so that the join deals both sides anew and can split a run that many texts share
+    known = cut(least.filter("most > least").select(F.col("a").alias("_a"), F.col("b").alias("_b"), "least"))
+    met = places.join(known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left").filter("again or doc > least")
+    return met.groupBy("doc", "hash").agg(F.collect_set(F.struct("first", "behind")).alias("runs"))
 
 
 def dedup(docs: DataFrame, several: int = 2, enough: int = 12) -> DataFrame:
@@ -105,36 +128,40 @@ def dedup(docs: DataFrame, several: int = 2, enough: int = 12) -> DataFrame:
     share a doc_id do not count as repeats of each other; a null doc_id comes last. White
     space goes with the sentence before it. Null texts stay null and have no sentences.
     """
-    found = spans(docs, several, enough)
-    least = found.filter("not again").groupBy("a", "b").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    repeated = cut(least.filter("most > least").select(F.col("a").alias("_a"), F.col("b").alias("_b"), "least"))
-    elsewhere = found.join(repeated, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))).filter("doc_id > least")
-    covered = elsewhere.select("doc_id", "text_hash", "first", "behind").union(found.filter("again").select("doc_id", "text_hash", "first", "behind"))
-    lists = covered.groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).agg(F.collect_set(F.struct("first", "behind")).alias("runs"))
-    rows = docs.select("doc_id", F.col("text").cast("string"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_of"), F.xxhash64("text").alias("_text"))
-    joined = rows.join(lists, (F.col("_of") == F.col("_doc")) & (F.col("_text") == F.col("_hash")), "left")
+    texts = _named(docs)
+    lists = cut(_repeated(texts, several, enough))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(lists, "hash"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    out = f"doc_id {kind}, n_sentences long, n_removed long, text string"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", 1 << 20):
-            texts, total, removed = [], [], []
-            for text, covered in zip(piece.column("text").cast(pa.binary()).to_pylist(), piece.column("runs").to_pylist(), strict=True):
-                ends, counts, _ = sentences(text or b"")
-                gone = np.zeros(len(counts) + 1, np.int64)
-                for run in covered or ():
-                    gone[run["first"]] += 1
-                    gone[run["behind"]] -= 1
-                gone = np.cumsum(gone[:-1]) > 0
-                if gone.any():
-                    begins = [0, *ends[:-1]]
-                    text = b"".join(text[a:b] for a, b, x in zip(begins, ends, gone.tolist(), strict=True) if not x)
-                texts.append(text)
-                total.append(len(counts))
-                removed.append(int(gone.sum()))
-            columns = [piece.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_sentences", "n_removed", "text"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_tasks(joined.select("doc_id", "text", "runs"), task, f"doc_id {kind}, n_sentences long, n_removed long, text string")
+            data, rows = utf8(piece.column("text"))
+            found = Sentences(data, rows)
+            total = np.diff(found.of_row)
+            removed, kept = np.zeros(piece.num_rows, np.int64), piece.column("text")
+            runs = piece.column("runs").to_pylist() if "runs" in piece.schema.names else []
+            if any(runs):
+                change = np.zeros(len(found.first) + 1, np.int64)
+                for start, own in zip(found.of_row.tolist(), runs, strict=False):
+                    for run in own or ():
+                        change[start + run["first"]] += 1
+                        change[start + run["behind"]] -= 1
+                gone = np.cumsum(change[:-1]) > 0
+                removed = np.bincount(found.row[gone], minlength=piece.num_rows)
+                cover = np.zeros(len(data) + 1, np.int64)
+                np.add.at(cover, found.begins[gone], 1)
+                np.add.at(cover, found.ends[gone], -1)
+                left = np.cumsum(cover[:-1]) == 0
+                edges = np.concatenate([[0], np.cumsum(left)])[rows]
+                missing = pa.array(kept.is_null().to_numpy(zero_copy_only=False))
+                joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), piece.num_rows, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data[left].tobytes())])
+                kept = pa.compute.if_else(missing, pa.scalar(None, pa.string()), joined.cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(total), pa.array(removed), kept], ["doc_id", "n_sentences", "n_removed", "text"])
+
+    touched = some(texts, "hash", bits).join(lists, ["doc", "hash"], "left").select("doc_id", "text", "runs")
+    others = some(texts, "hash", bits, chosen=False).select("doc_id", "text")
+    return in_tasks(touched, task, out).union(in_tasks(others, task, out))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
