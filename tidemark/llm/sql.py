@@ -1,23 +1,66 @@
-"""Queries of this package in SQL for DuckDB."""
+"""Queries of this package in SQL for DuckDB, by other means than the operators."""
 
 from __future__ import annotations
 
+TOP_K = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+        SELECT q.vec_id AS query_id, v.vec_id,
+            CAST(coalesce(list_sum(list_transform(list_zip(q.parts, v.parts), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+        FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.parts) = len(v.parts) WHERE q.vec_id % 100 = 0)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id, score
+    FROM pairs QUALIFY rank <= 10
+"""
 
-def _shard(count: int) -> str:
-    draw = f"(('0x' || left(md5(coalesce('k' || doc_id, 'null') || ':' || s), 13))::BIGINT::DOUBLE + 1) / (pow(16, 13) + 1)"
-    return f"(SELECT arg_min(s, (-ln({draw}), s)) FROM range({count}) AS t(s))"
+_FIVE_BYTES = ", ".join(f"to_base(CAST('0x' || substr(digest, {1 + 10 * k}, 10) AS BIGINT), 32, 8)" for k in range(4))
 
+WARC = f"""
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest,
+            max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+        FROM pages)
+    SELECT page_id, strlen(payload) AS payload_bytes,
+        translate(concat({_FIVE_BYTES}), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM p
+"""
 
-def _sharding() -> str:
-    return f"""
-        SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
-            row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard::INTEGER AS grown_shard
-        FROM (
-            SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size, {_shard(16)} AS shard, {_shard(17)} AS grown_shard
-            FROM documents
-        )
-    """
+_WORDS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
+
+DECONTAMINATION = f"""
+    WITH d AS (SELECT row_number() OVER () AS place, doc_id, {_WORDS} AS w FROM documents),
+    i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+    sized AS (SELECT item, w, least(13, len(w)) AS size FROM i WHERE len(w) > 0),
+    item_windows AS (
+        SELECT DISTINCT item, size, array_to_string(w[k : k + size - 1], ' ') AS phrase
+        FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM sized)),
+    doc_windows AS (
+        SELECT place, k, size, array_to_string(w[k : k + size - 1], ' ') AS phrase
+        FROM (SELECT place, w, size, unnest(range(1, len(w) - size + 2)) AS k
+            FROM d CROSS JOIN (SELECT DISTINCT size FROM sized))),
+    met AS (SELECT place, k, size, item FROM doc_windows JOIN item_windows USING (size, phrase)),
+    hit AS (
+        SELECT place, count(DISTINCT word) AS n_hit
+        FROM (SELECT place, unnest(range(k, k + size)) AS word FROM met) GROUP BY place),
+    found AS (
+        SELECT place, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT place, item FROM met) GROUP BY place)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN hit USING (place) LEFT JOIN found USING (place)
+"""
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op1_bit_sliced_top_k": TOP_K,
+        "op7_warc_round_trip": WARC,
+        "op8_fm_index_decontamination": DECONTAMINATION,
+    }
