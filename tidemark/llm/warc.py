@@ -71,7 +71,7 @@ def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", few:
     joined.select(F.concat(header, block).alias("value")).write.option("lineSep", GAP).text(path)
 
 
-def chunks(spark: SparkSession, path: str) -> DataFrame:
+def chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """What lies between magics, in splits: (file, split, id, value); ids grow along a split."""
     text = spark.read.option("lineSep", MAGIC).text(path)
     return text.select(
@@ -191,7 +191,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     columns = ["file", "at", "type", "name", "url", "refers", "digest", "told", "payload_bytes", "payload_digest"]
     if good.filter("not whole").isEmpty():
         return good.select(columns)
-    return good.filter("whole").select(columns).union(_joined(spark, path, known, marks).select(columns))
+    return good.filter("whole").select(columns).union(_joined(spark, known, marks).select(columns))
 
 
 def _payload(block: Column) -> Column:
@@ -200,7 +200,7 @@ def _payload(block: Column) -> Column:
     return F.substring(block, head + 1, F.greatest(F.octet_length(block) - head, F.lit(0)))
 
 
-def _joined(spark: SparkSession, path: str, known: DataFrame, marks: DataFrame) -> DataFrame:
+def _joined(spark: SparkSession, known: DataFrame, marks: DataFrame) -> DataFrame:
     """Records whose payload has the magic inside: their chunks, read again and joined."""
     splits = marks.groupBy(F.col("file").alias("_file"), F.col("split").alias("_split")).agg(F.max("inside").alias("_last"))
     earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
@@ -208,8 +208,12 @@ def _joined(spark: SparkSession, path: str, known: DataFrame, marks: DataFrame)
     own = known.join(carried, (F.col("file") == F.col("_file")) & (F.col("split") == F.col("_split")))
     own = own.withColumn("of", F.when(F.col("inside") >= 0, F.col("inside")).otherwise(F.col("_carried"))).drop("_file", "_split", "_carried")
     torn = own.filter("record and not whole").select(F.col("file").alias("_file"), F.col("at").alias("_at"))
-    parts = cut(own.join(torn, (F.col("file") == F.col("_file")) & (F.col("of") == F.col("_at")), "left_semi"))
-    values = chunks(spark, path).join(parts.select("file", "split", "id", "at", "of"), ["file", "split", "id"])
+    parts = cut(own.join(torn, (F.col("file") == F.col("_file")) & (F.col("of") == F.col("_at")), "left_semi").drop("split", "id"))
+    # another scan may split the files in another way, so places in a file name the chunks
+    files = [row["file"] for row in parts.select("file").distinct().collect()]  # archives, not records
+    again = cut(chunks(spark, files))
+    spots = _placed(again.select("file", "split", "id", F.octet_length("value").alias("size"))).drop("size")
+    values = again.join(spots.join(parts.select("file", "at", "of"), ["file", "at"]), ["file", "split", "id"])
     whole = values.groupBy(F.col("file").alias("_file"), F.col("of").alias("_of")).agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts"))
     whole = whole.select("_file", "_of", F.array_join(F.transform("parts", lambda x: x["value"]), MAGIC).alias("value"))
     met = parts.filter("record").drop("payload_bytes", "payload_digest").join(whole, (F.col("file") == F.col("_file")) & (F.col("at") == F.col("_of")))
