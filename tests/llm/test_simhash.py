@@ -36,10 +36,10 @@ def test_links_of_random_neighbours(spark):
     frame = spark.createDataFrame([(x,) for x in bits], "bits long")
     expected = brute.groups(len(bits), lambda i, j: ((bits[i] ^ bits[j]) & ((1 << 64) - 1)).bit_count() <= 4)
     place = {x: k for k, x in enumerate(bits)}
-    for node in (1024, 4):
-        pairs = {(place[a], place[b]) for a, b in simhash.near(frame, node=node).collect()}
+    for node, size in ((1024, None), (4, None), (8, 1 << 27), (8, 1 << 34)):
+        pairs = {(place[a], place[b]) for a, b in simhash.near(frame, node=node, size=size).collect()}
         assert brute.groups(len(bits), lambda i, j: (i, j) in pairs or (j, i) in pairs) == expected
-        assert all(((bits[a] ^ bits[b]) & ((1 << 64) - 1)).bit_count() <= 64 for a, b in pairs)
+    assert [len(simhash._blocks(4, n)[0]) for n in (10, 1 << 22, 1 << 27, 1 << 33)] == [6, 6, 7, 8]
 
 
 def test_one_document_of_a_group_stays(spark):

@@ -1,9 +1,9 @@
 """SimHash near-dedup by a self-join of binary tries over the fingerprints.
 
 Two fingerprints that differ in at most `most` bits agree in at least 2 of `most + 2` blocks
-of their bits. Each fingerprint goes to one trie for every choice of two blocks, under the
-node that those blocks' bits lead to; whatever lies below other nodes has spent its errors
-on bits that must agree. Below a node, pairs of nodes are traversed together: a pair splits
+of their bits (3 of `most + 3`, and so on, for more fingerprints). Each fingerprint goes to
+one trie for every choice of so many blocks, under the node that those blocks' bits lead to;
+whatever lies below other nodes has spent its errors on bits that must agree. Below a node, pairs of nodes are traversed together: a pair splits
 into the pairs of its children, differing bits add up, and a pair over the budget is dropped.
 A node with many fingerprints is first split into pairs of its descendants by DataFrame
 joins under the same rule, so that no task takes more than a pair of small nodes at a time.
@@ -174,23 +174,31 @@ def _join(most: int, chunk: int):
     return task
 
 
-def _blocks(most: int) -> list[tuple[int, int]]:
-    """(lowest bit, bits) of most + 2 blocks of nearly equal size."""
-    count = most + 2
-    edges = [BITS * k // count for k in range(count + 1)]
-    return [(low, high - low) for low, high in zip(edges, edges[1:], strict=False)]
+def _blocks(most: int, rows: int) -> tuple[list[tuple[int, int]], int]:
+    """(lowest bit, bits) of blocks of nearly equal size, and how many of them agree.
+
+    So many that a node under the agreeing blocks has a few of `rows` random fingerprints.
+    """
+    agree = 2
+    while BITS * agree // (most + agree) < min(rows, 1 << 40).bit_length() - 2 and most + agree < BITS // 2:
+        agree += 1
+    edges = [BITS * k // (most + agree) for k in range(most + agree + 1)]
+    return [(low, high - low) for low, high in zip(edges, edges[1:], strict=False)], agree
 
 
-def near(distinct: DataFrame, most: int = 4, node: int = 1024, step: int = 4, chunk: int = 1 << 18) -> DataFrame:
+def near(distinct: DataFrame, most: int = 4, node: int = 1024, step: int = 4, chunk: int = 1 << 18, size: int | None = None) -> DataFrame:
     """(a, b): links that connect all of the distinct `bits` at most `most` apart.
 
     Nodes with over `node` fingerprints are split `step` bits deeper until none is larger.
+    `size` is the number of fingerprints to lay the blocks out for, by default their count.
     """
-    blocks = _blocks(most)
+    blocks, agree = _blocks(most, distinct.count() if size is None else size)
     roots = []
-    for k, (x, y) in enumerate(combinations(blocks, 2)):
-        part = lambda low, wide: F.shiftrightunsigned("bits", low).bitwiseAND((1 << wide) - 1)
-        roots.append(F.lit(k).cast("long") * (1 << (x[1] + y[1])) + part(*x) * (1 << y[1]) + part(*y))
+    for k, chosen in enumerate(combinations(blocks, agree)):
+        root = F.lit(k).cast("long")
+        for low, wide in chosen:
+            root = root * (1 << wide) + F.shiftrightunsigned("bits", low).bitwiseAND((1 << wide) - 1)
+        roots.append(root)
     rows = distinct.select("bits", F.explode(F.array(*roots)).alias("root"))
     sizes = rows.groupBy("root").count()
     large = cut(sizes.filter(F.col("count") > node).select("root"))
