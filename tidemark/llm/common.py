@@ -46,16 +46,6 @@ def in_tasks(df: DataFrame, task: Callable, schema: StructType | str, rows: int
     return df.mapInArrow(task, schema)
 
 
-def without(df: DataFrame, keys: DataFrame, key: str, most: int = 10_000) -> DataFrame:
-    """The rows of `df` whose key is not among `keys`.
-
-    At most `most` keys are broadcast, which spares a shuffle of `df`; more are joined.
-    """
-    listed = cut(keys.select(F.col(key).alias("_gone")))
-    few = listed.limit(most + 1).count() <= most
-    return df.join(F.broadcast(listed) if few else listed, F.col(key) == F.col("_gone"), "left_anti")
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column one after another, and where each row starts.
 
@@ -171,6 +161,20 @@ def some(df: DataFrame, column: str, bits: Broadcast, chosen: bool = True) -> Da
     return in_tasks(df, task, df.schema)
 
 
+def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of `df` whose key is not among `keys`; a null key is not.
+
+    Rows whose key has no bit in a bitmap of the keys stay where they are; only the others are
+    shuffled to be compared with the keys themselves.
+    """
+    named = F.xxhash64(F.col(key).cast("string"))
+    gone = cut(keys.filter(F.col(key).isNotNull()).select(F.col(key).alias("_gone"), named.alias("_hash")).distinct())
+    bits = df.sparkSession.sparkContext.broadcast(bitmap(gone, "_hash"))
+    hashed = df.withColumn("_hash", named)
+    maybe = some(hashed, "_hash", bits).drop("_hash")
+    return some(hashed, "_hash", bits, chosen=False).drop("_hash").union(maybe.join(gone.select("_gone"), F.col(key) == F.col("_gone"), "left_anti"))
+
+
 def buckets_for(rows: int, each: int = 4096) -> int:
     """How many hash buckets leave about `each` of `rows` rows in one, or fewer."""
     return max(512, -(-rows // each))
