@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -167,18 +168,18 @@ class Phrases:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
 
-    def symbols_of(self, hashes: np.ndarray) -> np.ndarray:
-        """A symbol for each word: 1 if no phrase has it."""
-        out = np.ones(len(hashes), np.int64)
-        some = np.flatnonzero(self.maybe[(hashes >> np.uint64(44)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.hashes, hashes[some]), len(self.hashes) - 1)
-        out[some] = np.where(self.hashes[at] == hashes[some], at + 2, 1)
-        return out
+def symbols_of(phrases: Phrases, hashes: np.ndarray) -> np.ndarray:
+    """A symbol for each word: 1 if no phrase has it."""
+    out = np.ones(len(hashes), np.int64)
+    some = np.flatnonzero(phrases.maybe[(hashes >> np.uint64(44)).astype(np.int64)])
+    at = np.minimum(np.searchsorted(phrases.hashes, hashes[some]), len(phrases.hashes) - 1)
+    out[some] = np.where(phrases.hashes[at] == hashes[some], at + 2, 1)
+    return out
 
 
 def occurrences(phrases: Phrases, lower: np.ndarray, begins: np.ndarray, ends: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(phrase, word) of all occurrences in a shard; `first` has each document's first word."""
-    symbols = phrases.symbols_of(hashes)
+    symbols = symbols_of(phrases, hashes)
     cuts = np.zeros(len(symbols), bool)
     cuts[first[first < len(symbols)]] = True
     # a separator goes before each document; of separators in a row one stays
@@ -218,8 +219,9 @@ def _blocks(benchmark: DataFrame, window: int, most: int) -> Iterator[Phrases]:
 
 
 def _sent(docs: DataFrame, benchmark: DataFrame, window: int, most: int) -> list:
+    """Blocks of phrases as plain data, which executors can read without this package."""
     context = docs.sparkSession.sparkContext
-    return [context.broadcast(block) for block in _blocks(benchmark, window, most) if block.words]
+    return [context.broadcast(SimpleNamespace(**vars(block))) for block in _blocks(benchmark, window, most) if block.words]
 
 
 def _search(shard: pa.Table, blocks: list) -> pa.RecordBatch:

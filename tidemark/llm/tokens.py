@@ -86,10 +86,13 @@ def count_tokens(docs: DataFrame, scores: dict[bytes, float], shard_bytes: int =
     A null or empty text has none. A task remembers the counts of `most_known` pre-tokens and
     then begins anew, so its memory is bounded and no count is lost.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(Segmenter(scores))
+    # plain data, which executors can read without this package
+    whole = Segmenter(scores)
+    sent = docs.sparkSession.sparkContext.broadcast((whole.endings, whole.byte))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter, known = sent.value, {}
+        segmenter, known = Segmenter({}), {}
+        segmenter.endings, segmenter.byte = sent.value
         for piece in pieces(batches, "text", shard_bytes):
             texts = [text or b"" for text in piece.column("text").cast(pa.binary()).to_pylist()]
             split = [text.split() for text in texts]
