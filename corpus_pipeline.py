@@ -24,8 +24,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the mix of sources, each source weighted by the root of its rows."""
-    return mixing.mix(docs, mixing.tempered(docs))
+    """All documents in the order of a mix of sources, each source weighted by the root of its rows."""
+    return mixing.arranged(docs, mixing.tempered(docs))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

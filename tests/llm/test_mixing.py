@@ -2,6 +2,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from tidemark.llm import mixing
 
 
@@ -69,3 +70,30 @@ def test_edges(spark):
     assert mixing.schedule(docs.limit(0), {"=cold": 1.0}).collect() == []
     with pytest.raises(ValueError):
         mixing.whole_weights({str(k): 1.0 for k in range(9)}, 8)
+
+
+def uneven(spark):
+    rows = [(k, f"s{k % 5}") for k in range(300)] + [(k, "hot") for k in range(300, 700)] + [(700, "rare"), (701, None), (None, "s1")]
+    return spark.createDataFrame([(d, s, "t") for d, s in rows], "doc_id long, source string, slot string").repartition(4)
+
+
+def test_a_source_that_runs_out_leaves_and_all_rows_stay(spark):
+    docs = uneven(spark)
+    weights = mixing.tempered(docs)
+    out = mixing.arranged(docs, weights)
+    assert out.schema == docs.schema
+    assert Counter(map(tuple, out.collect())) == Counter(map(tuple, docs.collect()))
+    rows = mixing.interleave(docs, weights).collect()
+    assert len(rows) == docs.count()
+    slots = {r["slot"]: (r["source"], r["block"], r["phase"], r["release"], r["deadline"]) for r in rows}
+    assert sorted(slots) == list(range(len(slots))) and len(slots) == len({(r["source"], r["block"]) for r in rows})
+    assert {r["phase"] for r in rows if r["mixed"]} == {0} and not all(r["mixed"] for r in rows)
+    # the order of the rows that come out is that of their slots
+    place = {(r["doc_id"], r["source"]): (r["slot"], r["place"]) for r in rows}
+    order = [place[r["doc_id"], r["source"]] for r in out.collect()]
+    assert order == sorted(order)
+
+
+def test_the_pipeline_keeps_all_rows_of_uneven_sources(spark):
+    docs = uneven(spark)
+    assert dict(corpus_pipeline.STAGES)["mixing"](spark, docs, "").count() == docs.count()

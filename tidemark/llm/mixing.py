@@ -4,22 +4,33 @@ A source with weight w gets its block i (from 0) a release time floor(i / w) and
 ceil((i + 1) / w), in slots. In each slot the released block with the earliest deadline goes
 out, so at any slot a source is less than one block away from its target share.
 
-Weights are whole numbers of slots in a period, so a schedule is the same in every period:
-after a period each source has had exactly its number of blocks. Only that one period, whose
-length is a parameter, is laid out ahead; the place of every block of any size of input
-follows from it by arithmetic in the join below.
+`interleave` takes the weights as they are, as exact fractions, and places every row: a source
+that has run out leaves, and the others go on in a new phase with their weights renormalised.
+One count per source decides all. The driver lays the slots out in their order (one for each
+block of rows) and hands them to Spark a part at a time.
+
+`schedule` rounds weights to whole numbers of slots in a period, so that a schedule is the
+same in every period, and ends the mix with the first source. Only one period is laid out; the
+place of every block follows from it by arithmetic in the join below.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import buckets_for, cut, numbered, table
 
+#: What `phases` gives for a block.
+TIMES = pa.schema([("_named", pa.string()), ("_turn", pa.int64()), ("phase", pa.int64()), ("release", pa.int64()), ("deadline", pa.int64()), ("slot", pa.int64())])
+
 
 def whole_weights(weights: dict[str, float], period: int) -> dict[str, int]:
     """Weights as numbers of slots that add up to `period`, by largest remainder, 1 at least."""
@@ -51,6 +62,45 @@ def one_period(slots: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
     return out
 
 
+def phases(weights: dict[str, float], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int, int]]:
+    """(source, block, phase, release, deadline, slot) of all blocks of sources with a weight.
+
+    A phase ends before the slot that is due to a source without a block left; all such sources
+    leave. In the next one the windows of the others begin anew at that slot, under their share
+    of the weights that are left. Fractions are exact, so no error grows with the slots.
+    """
+    exact = {name: Fraction(weight) for name, weight in weights.items() if weight > 0}
+    whole = math.lcm(*(x.denominator for x in exact.values()))
+    parts = {name: int(x * whole) for name, x in exact.items()}
+    done, active, slot, phase = dict.fromkeys(parts, 0), sorted(parts), 0, 0
+    while active:
+        start, total = slot, sum(parts[name] for name in active)
+        ready = [(-(-total // parts[name]), name, 0, 0) for name in active]
+        heapq.heapify(ready)
+        coming: list[tuple[int, int, str, int]] = []
+        while True:
+            while coming and coming[0][0] <= slot - start:
+                release, deadline, name, i = heapq.heappop(coming)
+                heapq.heappush(ready, (deadline, name, i, release))
+            deadline, name, i, release = heapq.heappop(ready)
+            if done[name] >= blocks.get(name, 0):
+                break
+            yield name, done[name], phase, start + release, start + deadline, slot
+            done[name] += 1
+            slot += 1
+            heapq.heappush(coming, ((i + 1) * total // parts[name], -(-(i + 2) * total // parts[name]), name, i + 1))
+        active = [name for name in active if done[name] < blocks.get(name, 0)]
+        phase += 1
+
+
+def _laid_out(spark: SparkSession, weights: dict[str, float], blocks: dict[str, int], part: int = 1 << 18) -> DataFrame:
+    """The rows of `phases`, of which the driver holds `part` at a time."""
+    rows, out = phases(weights, blocks), spark.createDataFrame(TIMES.empty_table())
+    while some := list(islice(rows, part)):
+        out = out.union(cut(spark.createDataFrame(pa.table(list(map(list, zip(*some, strict=True))), schema=TIMES))))
+    return out
+
+
 def source_key(column: str = "source"):
     """A source as a text without nulls: a null source is a source of its own."""
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
@@ -108,6 +158,30 @@ def mix(docs: DataFrame, weights: dict[str, float], **settings) -> DataFrame:
     return kept.select(*(F.col(k).alias(name) for k, name in own.items()))
 
 
+def interleave(docs: DataFrame, weights: dict[str, float], block: int = 8, order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """`docs` with phase, release, deadline and slot of its block, block, its place in it, and `mixed`.
+
+    Blocks are those of `schedule`. Every row is returned once and every row of a source with a
+    weight has a slot; each slot up to the last has one block. In a phase a source is less than
+    one block away from its share of the phase's slots. `mixed` is true in phase 0, in which no
+    source has run out and the weights hold as given. Sources without a weight have null times.
+    """
+    keyed = docs.drop("block", "place", *TIMES.names[2:], "mixed").withColumn("_key", source_key())
+    sizes = {row["_key"]: row["count"] for row in keyed.groupBy("_key").count().toLocalIterator()}  # one row per source
+    times = _laid_out(docs.sparkSession, weights, {name: -(-n // block) for name, n in sizes.items()})
+    rows = numbered(keyed, "_key", list(order), buckets_for(max(sizes.values(), default=0)))
+    rows = rows.withColumn("block", F.expr(f"number div {block}")).withColumn("place", F.expr(f"number % {block}"))
+    met = rows.join(times, (F.col("_key") == F.col("_named")) & (F.col("block") == F.col("_turn")), "left")
+    return met.withColumn("mixed", F.coalesce(F.col("phase") == 0, F.lit(False))).drop("_key", "number", "_named", "_turn")
+
+
+def arranged(docs: DataFrame, weights: dict[str, float], **settings) -> DataFrame:
+    """All rows of `docs` with its columns, in the order of their slots; sources without a weight come last."""
+    own = {f"_own{k}": name for k, name in enumerate(docs.columns)}
+    placed = interleave(docs.withColumns({k: F.col(name) for k, name in own.items()}), weights, **settings)
+    return placed.orderBy(F.col("slot").asc_nulls_last(), "place").select(*(F.col(k).alias(name) for k, name in own.items()))
+
+
 def op6(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return schedule(docs, tempered(docs))
