@@ -1,4 +1,5 @@
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 
@@ -97,3 +98,45 @@ def test_a_source_that_runs_out_leaves_and_all_rows_stay(spark):
 def test_the_pipeline_keeps_all_rows_of_uneven_sources(spark):
     docs = uneven(spark)
     assert dict(corpus_pipeline.STAGES)["mixing"](spark, docs, "").count() == docs.count()
+
+
+@pytest.mark.parametrize("weights", [{"hot": 0.5} | {f"s{k}": 0.5 / 19 for k in range(19)}, {"most": 1.0, "thin": 1e-5}, {f"s{k}": (k + 1) ** 0.5 for k in range(7)}])
+def test_the_given_weights_hold_over_many_periods(weights):
+    slots = 100_000
+    exact = {n: Fraction(w) for n, w in weights.items()}
+    total = sum(exact.values())
+    done, last = Counter(), None
+    for name, block, phase, release, deadline, slot in mixing.phases(weights, dict.fromkeys(weights, slots)):
+        if slot == slots:
+            break
+        assert phase == 0 and block == done[name] and release <= slot < deadline
+        done[name] += 1
+        last = slot
+        if slot % 97 == 0 or slot == slots - 1:
+            assert all(abs(done[n] - (slot + 1) * w / total) < 1 for n, w in exact.items())
+    assert last == slots - 1
+
+
+def test_each_phase_has_the_weights_of_the_sources_that_are_left():
+    weights, blocks = {"a": 3.0, "b": 1.0, "c": 0.5, "d": 2.0}, {"a": 300, "b": 500, "c": 7}
+    rows = list(mixing.phases(weights, blocks))
+    assert Counter(r[0] for r in rows) == blocks and [r[5] for r in rows] == list(range(807))
+    for phase in {r[2] for r in rows}:
+        own = [r for r in rows if r[2] == phase]
+        left = {r[0] for r in rows if r[2] >= phase} | ({"d"} if phase == 0 else set())
+        total, done = sum(weights[n] for n in left), Counter()
+        for t, (name, _, _, release, deadline, slot) in enumerate(own):
+            assert slot == own[0][5] + t and release <= slot < deadline
+            done[name] += 1
+            assert all(abs(done[n] - (t + 1) * weights[n] / total) < 1 for n in left)
+
+
+def test_op6_follows_the_exact_weights(spark):
+    found = mixing.op6(spark, "/root/testdata/sf0.001")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sizes = {name: round(w * w) for name, w in mixing.tempered(docs).items()}
+    times = {(n, b): (r, d, s) for n, b, _, r, d, s in mixing.phases(mixing.tempered(docs), {n: -(-k // 8) for n, k in sizes.items()})}
+    rows = found.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert times["" if r["source"] is None else "=" + r["source"], r["block"]] == (r["release"], r["deadline"], r["slot"])

@@ -184,4 +184,4 @@ def arranged(docs: DataFrame, weights: dict[str, float], **settings) -> DataFram
 
 def op6(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return schedule(docs, tempered(docs))
+    return interleave(docs, tempered(docs))
