@@ -90,3 +90,45 @@ def test_edges(spark):
     assert found[2]["text"] == rows[1][1] and found[3]["n_removed"] == 0
     twice = spark.createDataFrame([(1, line * 2 + "a b c d."), (1, line * 2 + "a b c d.")], "doc_id long, text string")
     assert len(sentences.dedup(twice).collect()) == 2
+
+
+def all_runs(rows: list[tuple], several: int = 2, enough: int = 12) -> dict:
+    """The sentences that go from each doc_id, by every run (i, j) of each text."""
+    parsed, first, gone = [], {}, {}
+    for doc, text in rows:
+        raw = (text or "").encode()
+        cuts = sentences.Sentences(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        words = [tuple(raw[a:b].lower().split()) for a, b in zip(cuts.begins, cuts.ends, strict=True)]
+        runs = [(i, j, tuple(words[i:j])) for i in range(len(words)) for j in range(i + several, len(words) + 1) if sum(map(len, words[i:j])) >= enough]
+        parsed.append((1e299 if doc is None else doc, doc, runs))
+    for name, _, runs in parsed:
+        for _, _, run in runs:
+            first[run] = min(first.get(run, 1e300), name)
+    for name, doc, runs in parsed:
+        seen, out = set(), gone.setdefault(doc, set())
+        for i, j, run in runs:
+            if run in seen or name > first[run]:
+                out.update(range(i, j))
+            seen.add(run)
+    return gone
+
+
+def test_tails_against_every_run(spark):
+    rows, _ = corpus(3)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["n_removed"] for r in sentences.dedup(frame, tails=True).collect()}
+    without = {r["doc_id"]: r["n_removed"] for r in sentences.dedup(frame).collect()}
+    assert found == {doc: len(gone) for doc, gone in all_runs(rows).items()}
+    assert sum(found.values()) > sum(without.values())
+
+
+def test_op5_takes_a_short_last_sentence(spark, tmp_path):
+    words = lambda n, k: " ".join(f"w{k}x{i}" for i in range(n)) + ". "
+    text = words(16, 1) + words(5, 2) + words(3, 3)
+    han = "今天天气很好我们去公园。" * 1 + "花都开了。" + "真美！"
+    rows = [(1, text + words(9, 4)), (2, words(7, 5) + text + words(14, 6)), (3, text), (4, han), (5, han)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in sentences.op5(spark, str(tmp_path)).collect()}
+    assert found[1]["text"] == rows[0][1] and found[4]["text"] == han
+    assert found[2]["text"] == words(7, 5) + words(14, 6)
+    assert found[3]["text"] == "" and found[5]["text"] == ""

@@ -2,7 +2,10 @@
 
 A text is cut behind sentence ends and line ends; a long sentence is also cut behind words
 chosen by their hash, so that equal passages have equal cuts wherever they begin. From each
-sentence on, the shortest run of several consecutive sentences with enough words is hashed.
+sentence on, the shortest run of several consecutive sentences with enough words is hashed,
+and, for the tails of passages, the shortest such run back from each sentence: together they
+cover every sentence of every run that occurs again. In scripts without spaces a character is
+a word.
 A join over all documents finds the runs that occur again. The first occurrence, by doc_id
 and place, stays; sentences that any other occurrence covers are removed.
 
@@ -28,6 +31,24 @@ PRINT[[0x20, *range(0x09, 0x0E)]] = 0
 PRINT[0] = 1  # a zero byte is part of a word like any other
 STOPS = np.isin(np.arange(256), [ord(x) for x in ".!?"])
 LAST = (1 << 63) - 1
+#: Full-width stops, and the scripts written without spaces (Thai to Khmer, kana, Han).
+WIDE_STOPS = np.array([ord(x) for x in "。！？｡"])
+SPACELESS = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)]
+
+
+def _spaceless(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words are cut without a space, and where full-width stops end."""
+    at = np.flatnonzero(data >= 0xE0)
+    at = at[at + 2 + (data[at] >= 0xF0) < len(data)]
+    b = [data[np.minimum(at + k, len(data) - 1)].astype(np.int64) & 0x3F for k in range(4)]
+    wide = data[at] >= 0xF0
+    code = np.where(wide, (b[0] & 7) << 18 | b[1] << 12 | b[2] << 6 | b[3], (b[0] & 15) << 12 | b[1] << 6 | b[2])
+    stop, own = np.isin(code, WIDE_STOPS), np.zeros(len(at), bool)
+    for low, high in SPACELESS:
+        own |= (code >= low) & (code <= high)
+    behind = at + 3 + wide
+    # a stop stays with the word before it
+    return np.setdiff1d(np.concatenate([at[own], behind[own | stop]]), at[stop]), behind[stop]
 
 
 class Sentences:
@@ -38,13 +59,14 @@ class Sentences:
     """
 
     def __init__(self, data: np.ndarray, rows: np.ndarray, long: int = 16, one_in: int = 5):
-        _, begins, ends, self.hashes = hashed_words(data, rows, PRINT)
+        cuts, stops = _spaceless(data)
+        _, begins, ends, self.hashes = hashed_words(data, np.concatenate([rows, cuts]), PRINT)
         n = len(begins)
         owner = np.searchsorted(rows, begins, side="right") - 1 if n else np.zeros(0, np.int64)
         lines = np.concatenate([[0], np.cumsum(data == 0x0A)])
         after = np.append(begins[1:], len(data))[:n]
         over = np.append(owner[1:] != owner[:-1], True)[:n]
-        end = STOPS[data[ends - 1]] | (lines[after] > lines[ends]) | over
+        end = STOPS[data[ends - 1]] | np.isin(ends, stops) | (lines[after] > lines[ends]) | over
         # long sentences
         of = np.cumsum(np.concatenate([[0], end[:-1]])[:n]).astype(np.int64)
         end |= (np.bincount(of)[of] > long) & ((self.hashes >> np.uint64(33)) % np.uint64(one_in) == 0) if n else end
@@ -58,15 +80,25 @@ class Sentences:
         #: The first sentence of each row, and the number of all.
         self.of_row = np.searchsorted(self.row, np.arange(len(rows)))
 
-    def runs(self, several: int, enough: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def runs(self, several: int, enough: int, tails: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(first, behind, a, b, again) of the shortest run from each sentence with enough words.
 
-        `a` and `b` hash its words; `again` if the text has the run before already.
+        `a` and `b` hash its words; `again` if the text has the run before already. With `tails`
+        also the shortest run back from each sentence at which no other ends, behind the run
+        from the same first sentence.
         """
         at = np.arange(len(self.first))
         behind = np.maximum(at + several, np.searchsorted(self.behind, self.first + enough) + 1)
         whole = behind <= self.of_row[self.row + 1] if len(at) else np.zeros(0, bool)
         first, behind = at[whole], behind[whole]
+        if tails and len(at):
+            ended = np.zeros(len(at) + 1, bool)
+            ended[behind] = True
+            start = np.minimum(at + 1 - several, np.searchsorted(self.first, self.behind - enough, side="right") - 1)
+            more = (start >= self.of_row[self.row]) & ~ended[at + 1]
+            first, behind = np.concatenate([first, start[more]]), np.concatenate([behind, at[more] + 1])
+            order = np.lexsort((behind, first))
+            first, behind = first[order], behind[order]
         words = self.first[first], self.behind[behind - 1]
         other = (self.hashes ^ (self.hashes >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
         a, b = run_hashes(self.hashes, *words), run_hashes(other, *words, factor=FACTOR ^ 0x5DEECE66C)
@@ -88,8 +120,12 @@ def _named(docs: DataFrame) -> DataFrame:
     )
 
 
-def _repeated(texts: DataFrame, several: int, enough: int) -> DataFrame:
-    """(doc, hash, runs): of each text with any, the runs that are not the first of their kind."""
+def _repeated(texts: DataFrame, several: int, enough: int, tails: bool) -> DataFrame:
+    """(doc, hash, runs): of each text with any, the runs that are not the first of their kind.
+
+    A tail can occur again only if the run from its first sentence does, so tails are not
+    counted but placed beside such runs.
+    """
     send = texts.sparkSession.sparkContext.broadcast
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,8 +140,9 @@ def _repeated(texts: DataFrame, several: int, enough: int) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", 1 << 20):
             found = Sentences(*utf8(piece.column("text")))
-            first, behind, a, b, again = found.runs(several, enough)
-            chosen = np.flatnonzero(again | among(wanted.value, a))
+            first, behind, a, b, again = found.runs(several, enough, tails)
+            occurs = again | among(wanted.value, a)
+            chosen = np.flatnonzero(occurs[np.searchsorted(first, first)])
             row = found.row[first[chosen]]
             start = found.of_row[row]
             columns = [piece.column(name).take(pa.array(row)) for name in ("doc", "hash")]
@@ -121,15 +158,16 @@ def _repeated(texts: DataFrame, several: int, enough: int) -> DataFrame:
     return met.groupBy("doc", "hash").agg(F.collect_set(F.struct("first", "behind")).alias("runs"))
 
 
-def dedup(docs: DataFrame, several: int = 2, enough: int = 12) -> DataFrame:
+def dedup(docs: DataFrame, several: int = 2, enough: int = 12, tails: bool = False) -> DataFrame:
     """Per row of `docs`: doc_id, n_sentences, n_removed and the text that is left.
 
     Of equal runs the one with the smallest doc_id, and in it the first, stays. Rows that
     share a doc_id do not count as repeats of each other; a null doc_id comes last. White
     space goes with the sentence before it. Null texts stay null and have no sentences.
+    With `tails` every run of sentences counts, else the shortest from each sentence.
     """
     texts = _named(docs)
-    lists = cut(_repeated(texts, several, enough))
+    lists = cut(_repeated(texts, several, enough, tails))
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(lists, "hash"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, n_sentences long, n_removed long, text string"
@@ -165,4 +203,4 @@ def dedup(docs: DataFrame, several: int = 2, enough: int = 12) -> DataFrame:
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
-    return dedup(table(spark, sf_dir, "documents"))
+    return dedup(table(spark, sf_dir, "documents"), tails=True)
