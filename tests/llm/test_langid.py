@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tidemark.llm import langid
@@ -58,3 +60,18 @@ def test_edges(spark):
     assert [r["language"] for r in langid.identify(langid.of_documents(undeclared), ["doc_id"]).collect()] == ["und", "und"]
     long = spark.createDataFrame([(1, "the of and " * 200_000, "en", "a"), (2, "der die und " * 9, "de", "a")], "doc_id long, text string, lang string, source string")
     assert {r["doc_id"]: r["language"] for r in langid.identify(langid.of_documents(long), ["doc_id"]).collect()} == {1: "en", 2: "de"}
+
+
+def test_every_declared_language_is_a_class(spark):
+    """80 languages of their own words, of which the later ones are declared less often."""
+    draw = random.Random(4)
+    words = [["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for _ in range(80)]
+    tag = lambda k: f"{chr(97 + k // 26)}{chr(97 + k % 26)}x"
+    text = lambda k: " ".join(draw.choice(words[k]) for _ in range(60))
+    rows = [(k * 100 + i, text(k), tag(k) if i else None, "one", tag(k)) for k in range(80) for i in range(9 - k // 16)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, truth string")
+    found = langid.identify(langid.of_documents(docs), ["doc_id", "truth"]).collect()
+    assert len(found) == len(rows) and all(r["language"] == r["truth"] and r["accepted"] for r in found)
+    assert langid.accepted(docs).count() == len(rows)
+    few = langid.identify(langid.of_documents(docs), ["doc_id", "truth"], least=8).collect()
+    assert {r["language"] for r in few if r["accepted"]} <= {tag(k) for k in range(16)}

@@ -60,13 +60,14 @@ def evidence(rows: DataFrame, text: str, declared: str | None = None, host: str
     )
 
 
-def fit(rows: DataFrame, sample: int = 4000, most_languages: int = 64) -> tuple[list[str], np.ndarray]:
+def fit(rows: DataFrame, sample: int = 4000, least: int = 1) -> tuple[list[str], np.ndarray]:
     """Languages and the log chance of each cell in each; the last class is `und`.
 
-    About `sample` rows of a language, chosen by a hash of their text, and the most declared
-    `most_languages` languages bound what is fitted; everything else covers all rows.
+    Every language that at least `least` rows declare is a class, of CELLS cells. About `sample`
+    rows of a language, chosen by a hash of their text, are fitted; everything else covers all
+    rows. One row per language reaches the driver.
     """
-    counts = rows.filter("_declared is not null").groupBy("_declared").count().orderBy(F.desc("count"), "_declared").limit(most_languages).collect()
+    counts = rows.filter(F.col("_declared") != UNKNOWN).groupBy("_declared").count().filter(F.col("count") >= least).collect()
     names = sorted(row["_declared"] for row in counts)
     if not names:
         return [UNKNOWN], np.full((1, CELLS), -math.log(CELLS))
@@ -76,29 +77,41 @@ def fit(rows: DataFrame, sample: int = 4000, most_languages: int = 64) -> tuple[
     place = {name: k for k, name in enumerate(names)}
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(place) + 1, max(CELLS, 256)), np.int64)  # the last row counts bytes
+        sums: dict[int, np.ndarray] = {}
+
+        def found() -> pa.RecordBatch:
+            parts = [(k, np.flatnonzero(n), n[n > 0]) for k, n in sums.items()]
+            sums.clear()
+            k = np.repeat([k for k, _, _ in parts], [len(n) for _, _, n in parts]).astype(np.int64)
+            columns = (k, *(np.concatenate([x[i] for x in parts] or [[]]).astype(np.int64) for i in (1, 2)))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["k", "cell", "n"])
+
         for piece in pieces(batches, "_text", 1 << 20):
             data, at = utf8(piece.column("_text"))
             of = [place[x] for x in piece.column("_declared").to_pylist()]
             for k, a, b in zip(of, at[:-1], at[1:], strict=True):
                 if b - a > 2:
-                    sums[k] += np.bincount(_cells(data[a:b]), minlength=CELLS)
-            sums[-1, :256] += np.bincount(FOLD[data], minlength=256)
-        k, cell = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(cell), pa.array(sums[k, cell])], ["k", "cell", "n"])
+                    if k not in sums and len(sums) > 64:  # what a task holds is bounded
+                        yield found()
+                    sums.setdefault(k, np.zeros(CELLS, np.int64))[:] += np.bincount(_cells(data[a:b]), minlength=CELLS)
+            sums.setdefault(len(place), np.zeros(CELLS, np.int64))[:256] += np.bincount(FOLD[data], minlength=256)
+        yield found()
 
     total = in_tasks(chosen, task, "k long, cell long, n long").groupBy("k", "cell").agg(F.sum("n").alias("n"))
-    found = np.zeros((len(names) + 1, CELLS))
+    found = np.zeros((len(names) + 1, CELLS), np.float32)
     for row in total.toLocalIterator():  # classes x cells at most
         found[row["k"], row["cell"]] = row["n"]
-    byte = found[-1, :256] + 1e-3
+    byte = found[-1, :256].astype(np.float64) + 1e-3
     byte /= byte.sum()
     known = np.unique(FOLD)
     order = np.stack(np.meshgrid(known, known, known, indexing="ij"), axis=-1).reshape(-1, 3)
     cells = _cell(*order.astype(np.uint32).T)
     shuffled = np.bincount(cells, weights=byte[order].prod(axis=1), minlength=CELLS)
-    model = [(found[k] + 0.05) / (found[k].sum() + 0.05 * CELLS) for k in range(len(names))]
-    return [*names, UNKNOWN], np.log(np.array([*model, (shuffled + 1e-9) / (shuffled + 1e-9).sum()]))
+    for k in range(len(names)):
+        own = found[k].astype(np.float64)
+        found[k] = np.log((own + 0.05) / (own.sum() + 0.05 * CELLS))
+    found[-1] = np.log((shuffled + 1e-9) / (shuffled + 1e-9).sum())
+    return [*names, UNKNOWN], found
 
 
 def likelihoods(rows: DataFrame, names: list[str], model: np.ndarray, keep: list[str], most: int = 200) -> DataFrame:
@@ -131,17 +144,21 @@ def likelihoods(rows: DataFrame, names: list[str], model: np.ndarray, keep: list
     return in_tasks(rows.select("_text", *keep), task, schema)
 
 
-def _log_shares(names: list[str], smooth: float, parent: list[Column]) -> list[Column]:
-    """Log prior of each class from counts n0, n1, ... smoothed towards `parent`."""
-    total = sum((F.col(f"n{k}") for k in range(len(names))), F.lit(0.0))
-    return [F.ln((F.col(f"n{k}") + smooth * F.exp(p)) / (total + smooth)) for k, p in enumerate(parent)]
+def _dense(column: pa.ListArray, classes: int) -> np.ndarray:
+    """A row's counts by class, from a list of (k, n)."""
+    out = np.zeros((len(column), classes))
+    pairs = column.flatten()
+    row = np.repeat(np.arange(len(column)), pa.compute.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))
+    out[row, pairs.field("k").to_numpy(zero_copy_only=False)] = pairs.field("n").to_numpy(zero_copy_only=False)
+    return out
 
 
-def _counts(names: list[str]) -> list[Column]:
-    return [F.count(F.when(F.col("_best") == name, 1)).cast("double").alias(f"n{k}") for k, name in enumerate(names)]
+def _log_shares(counts: np.ndarray, smooth: float, parent: np.ndarray) -> np.ndarray:
+    """Log prior of each class from counts smoothed towards `parent`."""
+    return np.log((counts + smooth * np.exp(parent)) / (counts.sum(axis=1, keepdims=True) + smooth))
 
 
-def identify(rows: DataFrame, keep: list[str], sample: int = 4000, smooth_host: float = 20.0, smooth_suffix: float = 50.0, most: int = 200) -> DataFrame:
+def identify(rows: DataFrame, keep: list[str], sample: int = 4000, least: int = 1, smooth_host: float = 20.0, smooth_suffix: float = 50.0, most: int = 200) -> DataFrame:
     """Columns `keep` of `evidence(...)` rows with language, confidence and accepted.
 
     A row is accepted if its text has letters, its likeliest class is a language and that has
@@ -149,41 +166,50 @@ def identify(rows: DataFrame, keep: list[str], sample: int = 4000, smooth_host:
     its host and declaration alone and is not accepted. Hosts, suffixes and declarations that
     are null tell nothing of their own. An empty table gives no rows.
     """
-    names, model = fit(rows, sample)
-    classes = range(len(names))
+    names, model = fit(rows, sample, least)
     scored = cut(likelihoods(rows, names, model, [*keep, "_declared", "_host", "_suffix"], most))
     # of all rows: what the text makes likeliest, and what is declared with it
     known = F.when(F.col("_declared").isin(names[:-1]), F.col("_declared")).when(F.col("_declared").isNotNull(), F.lit(UNKNOWN))
     met = scored.filter("_best is not null").groupBy(known.alias("said"), "_best").count().collect()  # classes x classes
     n = {(row["said"], row["_best"]): row["count"] for row in met}
-    rows_of = [sum(c for (_, best), c in n.items() if best == name) for name in names]
-    everything = [math.log((c + 1) / (sum(rows_of) + len(names))) for c in rows_of]
-    said = [sum(c for (x, best), c in n.items() if best == name and x) for name in names]
-    chance = {x: [math.log((n.get((x, name), 0) + 0.5) / (said[k] + 0.5 * len(names))) for k, name in enumerate(names)] for x in names}
-    declared = F.create_map(*(y for x, logs in chance.items() for y in (F.lit(x), F.array(*map(F.lit, logs)))))
-
-    hosts = scored.groupBy("_host", "_suffix").agg(*_counts(names))
-    suffixes = hosts.groupBy(F.col("_suffix").alias("_of")).agg(*(F.sum(f"n{k}").alias(f"n{k}") for k in classes))
-    wider = suffixes.select("_of", F.array(*_log_shares(names, smooth_suffix, [F.lit(x) for x in everything])).alias("_wider"))
-    met = hosts.join(wider, F.col("_suffix") == F.col("_of")).drop("_of")
+    at = {name: k for k, name in enumerate(names)}
+    pairs = np.zeros((len(names) + 1, len(names)))  # the last row: nothing declared
+    for (x, best), c in n.items():
+        pairs[at[x] if x else -1, at[best]] = c
+    rows_of, said = pairs.sum(axis=0), pairs[:-1].sum(axis=0)
+    everything = np.log((rows_of + 1) / (rows_of.sum() + len(names)))
+    chance = np.log((pairs + 0.5) / (said + 0.5 * len(names)))
+    chance[-1] = 0
+
+    # a host's or suffix's counts are lists of the classes it has
+    k = F.array_position(F.array(*map(F.lit, names)), F.col("_best")).cast("int") - 1
+    some = lambda n: F.collect_list(F.when(F.col("_best").isNotNull(), F.struct(k.alias("k"), F.col(n).alias("n"))))
+    hosts = scored.groupBy("_host", "_suffix", "_best").agg(F.count("*").alias("n"))
+    suffixes = hosts.groupBy("_suffix", "_best").agg(F.sum("n").alias("n")).groupBy(F.col("_suffix").alias("_of")).agg(some("n").alias("_wide"))
+    met = hosts.groupBy("_host", "_suffix").agg(some("n").alias("_own")).join(suffixes, F.col("_suffix") == F.col("_of"))
     # written, so that the join below deals both sides anew and can split a large host
-    smoothed = F.array(*_log_shares(names, smooth_host, [F.col("_wider")[k] for k in classes]))
-    prior = cut(met.select(F.col("_host").alias("_h"), F.col("_suffix").alias("_s"), smoothed.alias("_prior")))
+    prior = cut(met.select(F.col("_host").alias("_h"), F.col("_suffix").alias("_s"), "_own", "_wide"))
     joined = scored.join(prior, (F.col("_host") == F.col("_h")) & (F.col("_suffix") == F.col("_s")))
-    none = F.array(*(F.lit(0.0) for _ in classes))
-    joined = joined.withColumn("_said", F.coalesce(declared[known], none))
-    scores = [F.col("_logs")[k] + F.col("_prior")[k] + F.col("_said")[k] for k in classes]
-    joined = joined.withColumn("_scores", F.array(*scores)).withColumn("_top", F.array_max("_scores"))
-    weight = sum((F.exp(F.col("_scores")[k] - F.col("_top")) for k in classes), F.lit(0.0))
-    found = joined.select(
-        *keep,
-        F.col("_best").alias("text_language"),
-        F.element_at(F.array(*map(F.lit, names)), F.array_position("_scores", F.col("_top")).cast("int")).alias("language"),
-        (1 / weight).alias("confidence"),
-        "_size",
-    )
-    good = (F.col("_size") > 0) & (F.col("language") != UNKNOWN) & (F.col("confidence") > 0.5)
-    return found.withColumn("accepted", good).drop("_size")
+    joined = joined.select(*keep, "_size", "_logs", "_best", known.alias("_said"), "_own", "_wide")
+    sent = rows.sparkSession.sparkContext.broadcast(chance)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, (1 << 20) // len(names))
+        for whole in batches:
+            for first in range(0, whole.num_rows, step):
+                batch = whole.slice(first, step)
+                wider = _log_shares(_dense(batch.column("_wide"), len(names)), smooth_suffix, everything)
+                scores = batch.column("_logs").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(names))
+                scores = scores + _log_shares(_dense(batch.column("_own"), len(names)), smooth_host, wider)
+                scores += sent.value[[at[x] if x else -1 for x in batch.column("_said").to_pylist()]]
+                top = scores.argmax(axis=1)
+                confidence = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
+                good = (batch.column("_size").to_numpy(zero_copy_only=False) > 0) & (top < len(names) - 1) & (confidence > 0.5)
+                columns = [*(batch.column(name) for name in keep), batch.column("_best"), pa.array([names[k] for k in top], pa.string()), pa.array(confidence), pa.array(good)]
+                yield pa.RecordBatch.from_arrays(columns, [*keep, "text_language", "language", "confidence", "accepted"])
+
+    schema = rows.select(*keep).schema.add("text_language", T.StringType()).add("language", T.StringType()).add("confidence", T.DoubleType()).add("accepted", T.BooleanType())
+    return in_tasks(joined, task, schema)
 
 
 def of_documents(docs: DataFrame) -> DataFrame:
