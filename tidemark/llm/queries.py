@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bitslice, fm_index, langid, mixing, sentences, sharding, simhash, sql, suffix_array, tokens, warc
+from tidemark.llm import bitslice, fm_index, jaccard, langid, merkle, mixing, repair, sentences, sharding, simhash, sql, suffix_array, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fm_index_decontamination": fm_index.op8,
         "op9_language_id": langid.op9,
         "op10_suffix_array_dedup": suffix_array.op10,
+        "op11_merkle_manifest": merkle.op11,
+        "op12_ngram_jaccard": jaccard.op12,
+        "op13_conversation_repair": repair.op13,
         "language_id_of_pages": langid.pages,
     }
 
