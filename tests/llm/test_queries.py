@@ -15,7 +15,7 @@ def test_same_rows_as_the_sql(spark, name):
 
 def test_all_are_registered():
     names = [name for name in entry.queries() if name.startswith("op")]
-    assert [int(name[2:].split("_")[0]) for name in names] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in names] == list(range(1, 14))
     assert "pipeline" in entry.queries() and queries.oracle_sql().items() <= entry.oracle_sql().items()
 
 

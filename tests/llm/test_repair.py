@@ -1,0 +1,108 @@
+import hashlib
+import heapq
+import random
+import re
+import zlib
+
+import pytest
+
+from tidemark.llm import repair
+from tidemark.llm.common import table
+
+FOLDER = "/root/testdata/sf0.001"
+LEADS = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+ROLE = {"u": "user", "a": "assistant"}
+
+
+def damaged(rows: list[tuple]) -> dict:
+    out: dict = {}
+    for conv, turn, role, text in rows:
+        held = out.setdefault(conv, [])
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = (" " if x is None else x for x in (role, text))
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        held += [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def plain(rows: list[tuple]) -> list[tuple]:
+    """By the cheapest paths over (rows read, what was said last), least letters first."""
+    out = []
+    for conv, held in damaged(rows).items():
+        held.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1], hashlib.sha256(x[2].encode()).hexdigest()))
+        seen, faults = set(), []
+        for _, role, text in held:
+            end = text.rstrip(repair.SPACES)
+            faults.append("blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else "")
+            seen.add((role, text))
+        turns = [x[0] for x in held if x[0] is not None]
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(held, held[1:]))
+        ways, done = [(0, "", 0, "", ())], set()
+        while True:
+            cost, audit, k, last, said = heapq.heappop(ways)
+            if (k, last) in done:
+                continue
+            done.add((k, last))
+            if k == len(held) and last in ("", "a"):
+                break
+            other = "a" if last == "u" else "u"
+            heapq.heappush(ways, (cost + 2, audit + "I", k, other, (*said, ROLE[other] + ":")))
+            if k == len(held):
+                continue
+            _, role, text = held[k]
+            heapq.heappush(ways, (cost + 3, audit + "D", k + 1, last, said))
+            if faults[k] in ("", "truncated"):
+                extra = int(faults[k] == "truncated")
+                if role[:1] in LEADS[last]:
+                    heapq.heappush(ways, (cost + extra, audit + "K", k + 1, role[:1], (*said, f"{role}:{text}")))
+                heapq.heappush(ways, (cost + 2 + extra, audit + "R", k + 1, other, (*said, f"{ROLE[other]}:{text}")))
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        counts = (faults.count(x) for x in ("blank", "duplicate", "truncated"))
+        out.append((conv, gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(said).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def found(df) -> list[tuple]:
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_the_table(spark):
+    assert found(repair.op13(spark, FOLDER)) == plain([tuple(r) for r in table(spark, FOLDER, "conversations").collect()])
+
+
+@pytest.mark.parametrize("most", [3, 1000])
+def test_odd_rows_in_one_piece_and_in_blocks(spark, most):
+    draw = random.Random(5)
+    texts = ["Hi.", "No", "Yes!", " ", "", "A", "B?", "C. ", "\xa0", None, "x" * 3000 + "."]
+    rows = [(draw.choice([None, 1, 2]), draw.choice([None, *range(40)]), draw.choice(["user", "assistant", "system", "", None, "tool"]), draw.choice(texts)) for _ in range(250)]
+    rows += [(9, 0, "user", "alone."), (10, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS _group", "'x' AS place", "2 AS edit")
+    assert found(repair.summary(repair.repair(repair.damaged(df), most))) == plain(rows)
+
+
+def test_a_conversation_without_rows_left(spark):
+    turn = next(k for k in range(1000) if zlib.crc32(f"5:{k}".encode()) % 20 == 0)
+    df = spark.createDataFrame([(5, turn, "user", "a.")], "conv_id long, turn long, role string, text string")
+    assert found(repair.summary(repair.repair(repair.damaged(df)))) == [(5, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+    assert found(repair.summary(repair.repair(repair.damaged(df.limit(0))))) == []
+
+
+def test_edits_give_the_repaired_turns(spark):
+    df = spark.createDataFrame([(1, 0, "assistant", "Hi."), (1, 1, "user", "No"), (1, 2, "user", ""), (1, 3, "system", "x.")], "conv_id long, turn long, role string, text string")
+    rows = repair.repair(df).orderBy("place", "step").collect()
+    assert "".join(r["edit"] for r in rows) == "IKKDR"
+    assert [(r["role"], r["text"]) for r in rows if r["edit"] != "D"] == [("user", ""), ("assistant", "Hi."), ("user", "No"), ("assistant", "x.")]
+
+
+def test_blocks_compose():
+    """The least cost through a long run is the same in one piece, by checkpoints and by a walk."""
+    draw = random.Random(1)
+    rows = [(draw.choice("suax"), draw.choice(["", "", "blank", "truncated"])) for _ in range(300)]
+    whole = repair.back(rows, repair.END)
+    assert whole == repair.back(rows[:100], repair.back(rows[100:], repair.END))
+    edits, state = repair.walk(rows, repair.END, repair.START, True)
+    price = {"K": 0, "R": 2, "D": 3, "I": 2}
+    assert state in (repair.START, repair.ASSISTANT)
+    assert sum(price[x] + (x in "KR" and rows[k][1] == "truncated") for k, x, _ in edits) == whole[repair.START]
