@@ -104,6 +104,6 @@ def test_members_of_two_sets_are_found_in_any_chunks():
     for step in (7, 100, 500):
         state, out = jaccard._Shared(), []
         for k in range(0, 500, step):
-            out += list(zip(*(x.tolist() for x in state.take(members[k : k + step], sets[k : k + step], sets[k : k + step])), strict=True))
+            out += list(zip(*(x.tolist() for x in state.take(members[k : k + step], sets[k : k + step])), strict=True))
         many = {m: c for m, c in zip(*np.unique(members, return_counts=True))}
-        assert sorted(out) == sorted((int(m), int(s), int(s)) for m, s in zip(members, sets) if many[m] > 1)
+        assert sorted(out) == sorted((int(m), int(s)) for m, s in zip(members, sets) if many[m] > 1)

@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, cut, hashed_words, in_tasks, pieces, table, utf8
+from tidemark.llm.common import among, bitmap, components, cut, hashed_words, in_tasks, pieces, table, utf8
 
 #: Folded bytes: white space is 0, A-Z are lower case, a zero byte is an A, which nothing else is.
 LETTERS = np.arange(256, dtype=np.uint8)
@@ -97,22 +98,27 @@ def _unpacked(packed: bytes) -> np.ndarray:
 POSTINGS = "part int, members binary, owners binary, sets binary"
 
 
-def _postings(text: str, length: int, parts: int, most: int) -> object:
-    """A task that deals each member and the set it is of to the part of its hash, many at a time."""
+def _postings(text: str, length: int, parts: int, most: int, bits: int, chosen: Broadcast | None = None) -> object:
+    """A task that deals the leading `bits` of members, with their sets, to the part of the hash, many at a time.
+
+    With `chosen`, sets whose bit is not set in it are left out.
+    """
 
     def dealt(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         names = np.concatenate([x[2] for x in held])
         sizes = np.concatenate([np.diff(x[0]) for x in held])
-        members = np.concatenate([x[1] for x in held])
-        _, kept = np.unique(names, return_index=True)  # a set once, however many texts have it
-        chosen = np.zeros(len(names), bool)
-        chosen[kept] = True
+        members = np.concatenate([x[1] for x in held]) >> np.uint64(64 - bits)
+        _, first = np.unique(names, return_index=True)  # a set once, however many texts have it
+        kept = np.zeros(len(names), bool)
+        kept[first] = True
+        if chosen is not None:
+            kept &= among(chosen.value, names.view(np.int64))
         owner = np.repeat(np.arange(len(names), dtype=np.uint32), sizes)
-        use = chosen[owner]
+        use = kept[owner]
         members, owner = members[use], owner[use]
         order = np.argsort(members, kind="stable")
         members, owner = members[order], owner[order]
-        part = ((members >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        part = ((members << np.uint64(64 - bits) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         edges = np.searchsorted(part, np.arange(parts + 1))
         out: dict[str, list] = {"part": [], "members": [], "owners": [], "sets": []}
         for k in np.flatnonzero(np.diff(edges)):
@@ -121,7 +127,7 @@ def _postings(text: str, length: int, parts: int, most: int) -> object:
             out["part"].append(int(k))
             out["members"].append(_packed(members[a:b]))
             out["owners"].append(place.astype(np.uint16 if len(seen) <= 1 << 16 else np.uint32).tobytes())
-            out["sets"].append(names[seen].tobytes() + sizes[seen].astype(np.int64).tobytes())
+            out["sets"].append(names[seen].tobytes())
         return pa.RecordBatch.from_arrays([pa.array(out["part"], pa.int32()), *(pa.array(out[c], pa.binary()) for c in ("members", "owners", "sets"))], list(out))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,12 +148,12 @@ class _Shared:
     """Members met so far, each with the set it was first met in and whether a second came."""
 
     def __init__(self) -> None:
-        self.members, self.sets, self.sizes, self.twice = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.members, self.sets, self.twice = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
 
-    def take(self, members: np.ndarray, sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The (member, set, size) that are now known to be shared, of those given and those held back."""
+    def take(self, members: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The (member, set) that are now known to be shared, of those given and those held back."""
         order = np.argsort(members, kind="stable")
-        members, sets, sizes = members[order], sets[order], sizes[order]
+        members, sets = members[order], sets[order]
         starts = np.flatnonzero(np.concatenate([[True], members[1:] != members[:-1]]))
         fresh, many = members[starts], np.diff(np.append(starts, len(members)))
         at = np.searchsorted(self.members, fresh)
@@ -157,47 +163,47 @@ class _Shared:
         late = at[known]
         late = late[~self.twice[late]]
         out = np.repeat(known | (many > 1), many)
-        found = tuple(np.concatenate([x[out], y[late]]) for x, y in ((members, self.members), (sets, self.sets), (sizes, self.sizes)))
+        found = np.concatenate([members[out], self.members[late]]), np.concatenate([sets[out], self.sets[late]])
         self.twice[late] = True
         new = ~known
         where = at[new]
-        self.members, self.sets, self.sizes, self.twice = (
-            np.insert(a, where, b) for a, b in ((self.members, fresh[new]), (self.sets, sets[starts[new]]), (self.sizes, sizes[starts[new]]), (self.twice, many[new] > 1))
+        self.members, self.sets, self.twice = (
+            np.insert(a, where, b) for a, b in ((self.members, fresh[new]), (self.sets, sets[starts[new]]), (self.twice, many[new] > 1))
         )
         return found
 
 
-def _shared(chunk: int) -> object:
-    """A task over postings sorted by part: lists of members that more than one set has, by set."""
+def _shared(chunk: int, listed: bool) -> object:
+    """A task over postings sorted by part: by set, how many members more than one set has, or a list of them."""
 
-    def lists(members: np.ndarray, sets: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def by_set(members: np.ndarray, sets: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.argsort(sets, kind="stable")
-        members, sets, sizes = members[order], sets[order], sizes[order]
-        starts = np.flatnonzero(np.concatenate([[True], (sets[1:] != sets[:-1]) | (sizes[1:] != sizes[:-1])])) if len(sets) else np.zeros(0, np.int64)
+        members, sets = members[order], sets[order]
+        starts = np.flatnonzero(np.concatenate([[True], sets[1:] != sets[:-1]])) if len(sets) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(sets))
+        if not listed:
+            yield pa.RecordBatch.from_arrays([pa.array(sets[starts]), pa.array(ends - starts)], ["set", "many"])
+            return
         for a in range(0, len(starts), 4096):
             b = min(len(starts), a + 4096)
             low, high = starts[a], ends[b - 1]
             offsets = np.append(starts[a:b], high) - low
             held = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(members[low:high].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(sets[starts[a:b]]), pa.array(sizes[starts[a:b]]), held], ["set", "n", "members"])
+            yield pa.RecordBatch.from_arrays([pa.array(sets[starts[a:b]]), held], ["set", "members"])
 
-    def opened(members: bytes, owners: bytes, sets: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = _unpacked(members)
+    def opened(members: bytes, owners: bytes, sets: bytes) -> tuple[np.ndarray, np.ndarray]:
         names = np.frombuffer(sets, np.int64)
-        half = len(names) // 2
-        place = np.frombuffer(owners, np.uint16 if half <= 1 << 16 else np.uint32)
-        return found, names[:half][place], names[half:][place]
+        return _unpacked(members), names[np.frombuffer(owners, np.uint16 if len(names) <= 1 << 16 else np.uint32)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, part = _Shared(), None
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held, size
             if held:
-                yield from lists(*state.take(*(np.concatenate(x) for x in zip(*held, strict=True))))
+                yield from by_set(*state.take(*(np.concatenate(x) for x in zip(*held, strict=True))))
             held, size = [], 0
 
         for batch in batches:
@@ -218,26 +224,38 @@ def _shared(chunk: int) -> object:
 
 def needed(n: Column, percent: int) -> Column:
     """The least number of members that a set of n shares with one that is alike."""
-    return F.expr("0") + F.floor((n * percent + 99) / 100).cast("long")
+    return F.ceil(n * percent / 100).cast("long")
 
 
 def alike(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return 100 * shared >= percent * (a + b - shared)
 
 
-def _cores(docs: DataFrame, text: str, length: int, percent: int, each: int) -> DataFrame:
-    """(set, n, core): sets that could be alike to another, with their shared members as (frequency, member), rare ones first."""
-    words = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    parts = max(1, -(-int(words) // (6 * each)))  # a text has a shingle for each word
-    dealt = in_tasks(docs.select(text), _postings(text, length, parts, 1 << 20), POSTINGS)
-    found = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_shared(1 << 20), "set long, n long, members array<long>")
+def _cores(docs: DataFrame, named: DataFrame, text: str, length: int, percent: int, each: int) -> DataFrame:
+    """(set, n, core): sets that could be alike to another, with their shared members as (frequency, member), rare ones first.
+
+    The shared members of all sets are counted first, by so many leading bits that one in 4,096
+    is taken for shared when it is not. Only sets with enough of them are dealt out whole.
+    """
+    words = -(-int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // 6)  # and so about a shingle each
+    sizes = named.filter("n > 0").groupBy(F.col("set").alias("_set")).agg(F.max("n").alias("n"))
+
+    def dealt(parts: int, bits: int, kind: str, chosen: Broadcast | None = None) -> DataFrame:
+        postings = in_tasks(docs.select(text), _postings(text, length, parts, 1 << 21, bits, chosen), POSTINGS)
+        return postings.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_shared(1 << 19, "members" in kind), kind)
+
     enough = F.size("core") >= needed(F.col("n"), percent)
-    lists = found.groupBy("set", "n").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("core"))
-    lists = cut(lists.filter(enough))
+    counts = dealt(max(1, -(-words // each)), min(64, 13 + words.bit_length()), "set long, many long").groupBy("set").agg(F.sum("many").alias("many"))
+    able = cut(counts.join(sizes, F.col("set") == F.col("_set")).filter(F.col("many") >= needed(F.col("n"), percent)).select("set", "n"))
+    postings = able.agg(F.sum("n")).first()[0] or 0
+    chosen = docs.sparkSession.sparkContext.broadcast(bitmap(able, "set"))
+    lists = dealt(max(1, -(-postings // each)), 64, "set long, members array<long>", chosen)
+    lists = lists.groupBy("set").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("core"))
+    lists = cut(lists.join(sizes, F.col("set") == F.col("_set")).select("set", "n", "core").filter(enough))
     flat = lists.select("set", "n", F.explode("core").alias("member"))
     often = flat.groupBy(F.col("member").alias("_member")).agg(F.count("*").alias("often")).filter("often > 1")
     met = flat.join(often, F.col("member") == F.col("_member"))
-    return met.groupBy("set", "n").agg(F.array_sort(F.collect_list(F.struct("often", "member"))).alias("core")).filter(enough)
+    return met.groupBy("set", "n").agg(F.sort_array(F.collect_list(F.struct("often", "member"))).alias("core")).filter(enough)
 
 
 def _prefix(percent: int, longest: int, weight: float) -> Column:
@@ -314,14 +332,14 @@ def _connected(nodes: DataFrame, postings: DataFrame, percent: int, hot: int, ro
 
 
 def classes(
-    docs: DataFrame, text: str = "text", length: int = 5, percent: int = 80, longest: int = 8, weight: float = 0.05,
-    hot: int = 32, rounds: int = 3, each: int = 1 << 22,
+    docs: DataFrame, named: DataFrame, text: str = "text", length: int = 5, percent: int = 80, longest: int = 8, weight: float = 0.05,
+    hot: int = 32, rounds: int = 3, each: int = 1 << 21,
 ) -> DataFrame:
     """(set, n, label): sets that are linked to another have the same label as that; others are not listed.
 
-    A set is named by a 64-bit hash of its members, which are 64-bit hashes of shingles, and its size.
+    `named` has (set, n) of each text. A set is named by a 64-bit hash of its members, which are 64-bit hashes of shingles, and its size.
     """
-    cores = cut(_cores(docs, text, length, percent, each))
+    cores = cut(_cores(docs, named, text, length, percent, each))
     listed = F.transform("core", lambda x: x["member"])
     keyed = cores.withColumns({"members": listed, "_h": F.xxhash64(listed), "_g": F.hash(listed)})
     same = ["n", "_h", "_g"]
@@ -350,7 +368,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     """
     rows = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
     named = cut(in_tasks(rows, _named("_text", length, 1 << 21), f"_id {docs.schema[key].dataType.simpleString()}, n long, set long"))
-    found = classes(rows, "_text", length, percent, **settings).select(F.col("set").alias("_set"), F.col("n").alias("_n"), "label")
+    found = classes(rows, named, "_text", length, percent, **settings).select(F.col("set").alias("_set"), F.col("n").alias("_n"), "label")
     known = named.join(found, (F.col("set") == F.col("_set")) & (F.col("n") == F.col("_n")), "left")
     # A label is a set's name, and a set without links is a class of its own.
     known = known.select("_id", "n", F.when(F.col("n") > 0, F.coalesce("label", "set")).alias("_class"), F.col("label").isNotNull().alias("_linked"))
