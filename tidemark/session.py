@@ -18,6 +18,20 @@ SETTINGS = {
 }
 
 
+def work_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as the session names it in `spark.checkpoint.dir`.
+
+    Where it is unset a local session gets one of its own; on a cluster nothing would be shared.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, name: str = "tidemark") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

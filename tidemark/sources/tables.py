@@ -69,6 +69,71 @@ def load_files(
     save(read_delimited(spark, files, ddl, sep), table_path, "append" if append else "overwrite")
 
 
+#: What a refused line is kept as, and which rows of a checked table are such lines.
+LINE, REFUSED = "_line", "refused"
+
+
+def load_checked(spark: SparkSession, files: str | list[str], ddl: str, table_path: str, sep: str = ",") -> None:
+    """Load delimited files into a stored table; lines that do not fit the schema are set aside.
+
+    A line with too few or too many fields, or a value that is not of its declared type, goes to the
+    partition ``refused=true`` as it stands, all others to ``refused=false``. One pass over the
+    text writes both, so no line is lost or counted twice.
+    """
+    checked = (
+        spark.read.schema(parse(f"{ddl}, {LINE} STRING"))
+        .option("sep", sep)
+        .option("header", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", LINE)
+        .option("dateFormat", "yyyy-MM-dd")
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+        .csv(files)
+    )
+    checked.withColumn(REFUSED, F.col(LINE).isNotNull()).write.mode("overwrite").partitionBy(REFUSED).parquet(table_path)
+
+
+def loaded(spark: SparkSession, table_path: str, ddl: str) -> DataFrame:
+    """The rows of a checked table that fit."""
+    return _checked(spark, table_path, ddl).filter(~F.col(REFUSED)).drop(LINE, REFUSED)
+
+
+def refused(spark: SparkSession, table_path: str, ddl: str) -> DataFrame:
+    """The lines of a checked table that did not fit, as they were."""
+    return _checked(spark, table_path, ddl).filter(F.col(REFUSED)).select(F.col(LINE).alias("line"))
+
+
+def load_counts(spark: SparkSession, table_path: str, ddl: str) -> DataFrame:
+    """Lines loaded and refused; one row."""
+    sums = {"loaded": F.count_if(~F.col(REFUSED)), "refused": F.count_if(F.col(REFUSED))}
+    return _checked(spark, table_path, ddl).agg(*(total.alias(name) for name, total in sums.items()))
+
+
+def _checked(spark: SparkSession, table_path: str, ddl: str) -> DataFrame:
+    return spark.read.schema(parse(f"{ddl}, {LINE} STRING, {REFUSED} BOOLEAN")).parquet(table_path)
+
+
+def load_batch(df: DataFrame, table_path: str, batch: str) -> None:
+    """Add rows to a stored table by batches: each value of column ``batch`` is a partition.
+
+    The partitions of the batches in ``df`` are replaced and others stay, so a batch that is
+    loaded again, after a failure or by mistake, does not double its rows.
+    """
+    writer = df.repartition(batch, F.spark_partition_id()).write.mode("overwrite").partitionBy(batch)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(table_path)
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store a table in hash buckets of its keys, sorted by them, and read it back.
+
+    Tables with the same buckets of their join keys join without a shuffle, every time. The
+    rows are dealt to the buckets first, so that each is one file.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def preview(df: DataFrame, by: Sequence[str] = (), n: int = 5) -> DataFrame:
     """The first n rows; with ``by`` the same ones on every run."""
     return (df.orderBy(*by) if by else df).limit(n)
