@@ -5,9 +5,10 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import days, groups, intervals, lookup
+from tidemark.operators import days, groups, intervals, lookup, scan
 
 EPOCH = datetime.datetime(2024, 2, 27)
 MICRO = datetime.timedelta(microseconds=1)
@@ -191,13 +192,13 @@ def test_streak_reward(spark):
     assert result(days.streak_reward(df, "k", "d", 7, {3: 2, 7: 6})) == expected
 
 
-@pytest.mark.parametrize("width", [0.5, 1.0, 1000.0])
-def test_median(spark, width):
+@pytest.mark.parametrize("cells, levels", [(2, 1), (3, 2), (64, 2)])
+def test_median(spark, cells, levels):
     rng = random.Random(8)
     data = [(rng.choice([0, 0, 0, *range(60)]), rng.choice([rng.randrange(-5, 5), rng.randrange(200) / 4, 7.0]) * 1.0) for _ in range(1500)]
     df = spark.createDataFrame(data, "k int, v double").repartition(7)
     expected = {key: statistics.median(v for k, v in data if k == key) for key in {k for k, _ in data}}
-    assert result(groups.median(df, "k", "v", width)) == expected
+    assert result(groups.median(df, "k", "v", cells, levels)) == expected
 
 
 def test_equal_scores(spark):
@@ -307,3 +308,95 @@ def test_row_order_does_not_matter(spark):
         df = spark.createDataFrame(data, "k int, at timestamp_ntz").repartition(3)
         answers.append((rows(days.islands(df, "k", "at")), rows(days.retention(df, "k", "at"))))
     assert answers[0] == answers[1]
+
+
+@pytest.mark.parametrize("kind", ["double", "long", "decimal(20,2)"])
+def test_median_of_skewed_and_constant_values(spark, kind):
+    """Values over many scales, one value alone, and half of all rows equal: no width fits them all."""
+    rng = random.Random(3)
+    data = [("wide", int(10 ** rng.uniform(0, 15)) * rng.choice([-1, 1])) for _ in range(901)]
+    data += [("same", 7)] * 300 + [("half", 5)] * 200 + [("half", k * 1000) for k in range(200)] + [("one", -3), ("none", None), (None, 4), (None, 6)]
+    df = spark.createDataFrame(data, "k string, v long").withColumn("v", F.col("v").cast(kind)).repartition(5)
+    expected = {key: statistics.median(v for k, v in data if k == key) for key in {k for k, v in data if v is not None}}
+    assert {k: float(v) for k, v in result(groups.median(df, "k", "v", 4)).items()} == expected
+
+
+def spread(spark, rows=3000, parts=7):
+    """Half of the rows under one key, ties in the place, nulls in key, place and value."""
+    rng = random.Random(11)
+    data = [
+        (n, rng.choice([None, 1, 1, 1, 2, *range(3, 20)]), rng.choice([None, *range(200)]), rng.choice([None, *range(50)]))
+        for n in range(rows)
+    ]
+    return data, spark.createDataFrame(data, "n int, k int, at int, v int").repartition(parts)
+
+
+def in_place(row):
+    return (row[2] is not None, row[2] or 0, row[0])
+
+
+@pytest.mark.parametrize("parts", [1, 2, 40])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_running_values_in_ranges(spark, parts, keyed):
+    data, df = spread(spark)
+    sums, last, number, expected = {}, {}, {}, {}
+    for row in sorted(data, key=in_place):
+        key = row[1] if keyed else 0
+        sums[key] = sums.get(key, 0) + (row[3] or 0)
+        last[key] = last.get(key) if row[3] is None else row[3]
+        number[key] = number.get(key, -1) + 1
+        expected[row[0]] = (sums[key], number[key], last[key])
+    keys = "k" if keyed else []
+    found = scan.running(df, keys, ["at", "n"], {"total": F.col("v")}, parts)
+    assert {r["n"]: r["total"] for r in found.collect()} == {n: x[0] for n, x in expected.items()}
+    found = scan.numbered(df, keys, ["at", "n"], "number", parts)
+    assert {r["n"]: r["number"] for r in found.collect()} == {n: x[1] for n, x in expected.items()}
+    found = scan.carried(df, keys, ["at", "n"], "v", "known", parts)
+    assert {r["n"]: r["known"] for r in found.collect()} == {n: x[2] for n, x in expected.items()}
+    assert scan.running(df.limit(0), keys, ["at", "n"], {"total": F.col("v")}, parts).collect() == []
+
+
+def test_as_of_each_rows_own_day(spark):
+    rng = random.Random(12)
+    first = datetime.date(2024, 1, 28)
+    day = lambda: rng.choice([None, *(first + datetime.timedelta(days=d) for d in range(0, 80, 3))])
+    asked = [(n, rng.choice([None, 1, 1, 1, 2, 3, 4]), day()) for n in range(600)]
+    changes = [(rng.choice([None, 1, 2, 3]), day(), rng.choice([None, *range(100)])) for _ in range(60)]
+    expected = {}
+    for n, key, at in asked:
+        known = [(d, v) for k, d, v in changes if None not in (k, d, v, key, at) and k == key and d <= at]
+        expected[n] = max(known)[1] if known else -1
+    rows = spark.createDataFrame(asked, "n int, k int, at date").repartition(5)
+    prices = spark.createDataFrame(changes, "k int, d date, v int").repartition(3)
+    for cell in ("month", "year", "week"):
+        found = lookup.as_of_each(rows, prices, "k", "at", "d", "v", -1, "price", cell)
+        assert found.columns == ["n", "k", "at", "price"]
+        assert {r["n"]: r["price"] for r in found.collect()} == expected
+
+
+@pytest.mark.parametrize("heavy", [1, 4, 10_000])
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_neighbour_items_as_rows_and_as_bitmaps(spark, heavy, kind):
+    rng = random.Random(13)
+    numbers = [*range(-5, 12), 32767, 32768, 32769, -32768, -32769, 1 << 40]
+    edges = [(rng.choice([None, *range(30)]), rng.choice([None, *range(30)])) for _ in range(80)] + [(0, n) for n in range(30)]
+    items = [(rng.choice([None, *range(30)]), rng.choice([None, *numbers])) for _ in range(200)] + [(0, n) for n in numbers]
+    owned = {x for x in items if None not in x}
+    links = {(a, b) for x, y in edges if None not in (x, y) and x != y for a, b in ((x, y), (y, x))}
+    expected = {(a, item) for a, b in links for user, item in owned if user == b} - owned
+    marked = spark.createDataFrame(items, "user long, item long").withColumn("item", F.col("item").cast(kind))
+    found = lookup.neighbour_items(spark.createDataFrame(edges, "a long, b long"), marked, "a", "b", "user", "item", heavy)
+    assert found.schema["item"].dataType.simpleString() == marked.schema["item"].dataType.simpleString()
+    assert sorted((r[0], int(r[1])) for r in found.collect()) == sorted(expected)
+
+
+@pytest.mark.parametrize("ties", ["row_number", "rank", "dense_rank"])
+def test_top_k_in_salted_parts(spark, ties):
+    """Half of the rows under one key and a k that Spark does not cut before the shuffle."""
+    rows = spark.range(0, 12_000, 1, 6).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 5).alias("k"), (F.col("id") * 7 % 4001).alias("v"), "id")
+    order = [F.desc("v"), F.asc("id")] if ties == "row_number" else [F.desc("v")]
+    wanted = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[ties]().over(Window.partitionBy("k").orderBy(*order))
+    plain = rows.withColumn("rk", wanted).filter("rk <= 1500")
+    found = groups.top_k(rows, "k", order, 1500, ties, salts=8)
+    assert found.columns == plain.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))

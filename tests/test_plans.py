@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import groups, intervals
-from tidemark.plans import registry
+from tidemark.operators import groups, intervals, lookup, scan
+from tidemark.plans import loads, registry
 
 QUERIES = registry.queries()
 
@@ -46,14 +46,14 @@ def test_no_forced_broadcast_no_cross_join_no_python(plans, name):
 
 
 def test_single_partition_windows_only_over_days(plans):
-    """Only daily totals are ordered in one task: the rolling sums and the last level of the overall peak."""
+    """Only totals are ordered in one task: daily ones, the last level of the overall peak, those of ranges."""
     lone = set()
     for name, plan in plans.items():
         for window in re.finditer(r"\n(.*)Window \[.*windowspecdefinition\(([^)]*)", plan):
             after = plan[window.end() :].split("\n", 4)
             if any("SinglePartition" in line for line in after[1:4]):
                 lone.add(name)
-    assert lone <= {"m17_rolling_3", "m17b_rolling_3_calendar", "m40_peak_online"}
+    assert lone <= {"m17_rolling_3", "m17b_rolling_3_calendar", "m40_peak_online", "m40b_running_event_value"}
 
 
 @pytest.mark.parametrize("name", ["m6_first_year_sales", "m9_best_day_per_sku", "m20_latest_3_orders", "m25_top3_per_category", "m33_last_price_change"])
@@ -148,3 +148,76 @@ def test_a_hot_session_key_is_spread(spark, small_pieces):
     found = intervals.sessionize(rows, "k", "ts", 60)
     sizes = [r["count"] for r in found.filter("k = 0").groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) > 100_000 and max(sizes) < 50_000
+
+
+def rows_read(df):
+    """Rows that each task of the last stage before the result read, by a count per partition of it."""
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_a_running_total_without_a_key_is_spread(spark, small_pieces):
+    """The lone task orders the totals of ranges; the rows of a range are ordered in a task of its own."""
+    rows = spark.range(0, 100_000, 1, 8).select("id", F.pmod(F.xxhash64("id"), F.lit(1000)).alias("at"))
+    found = scan.running(rows, [], ["at", "id"], {"total": F.lit(1)})
+    assert max(rows_read(found)) < 30_000
+    assert found.filter("total = 100000").count() == 1
+    before = plan_of(found).split("SinglePartition")
+    assert len(before) == 2 and re.match(r"[^\n]*\n\s*[+:|\- ]*HashAggregate", before[1])
+
+
+def test_a_hot_key_of_a_running_total_is_spread(spark, small_pieces):
+    rows = spark.range(0, 100_000, 1, 8).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 97).alias("k"))
+    assert max(rows_read(scan.numbered(rows, "k", ["id"], "number"))) < 30_000
+
+
+def records_shuffled(df):
+    """Rows that each exchange of the plan as it ran wrote."""
+    df.collect()
+    found, waiting = [], [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            waiting.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            waiting.append(node.plan())
+        elif node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        waiting += [node.children().apply(k) for k in range(node.children().size())]
+    return found
+
+
+def test_the_offers_of_hot_friends_are_bitmaps(spark, small_pieces):
+    """40 users know the same 40, each of whom has the same 2,000 items: not one of 3.2 million offers is shuffled."""
+    edges = spark.range(40).select(F.col("id").alias("a"), F.explode(F.sequence(F.lit(100), F.lit(139))).alias("b"))
+    items = spark.range(100, 140).select(F.col("id").alias("u"), F.explode(F.sequence(F.lit(1), F.lit(2000))).alias("i"))
+    found = lookup.neighbour_items(edges.select("a", F.col("b").cast("long")), items.select("u", F.col("i").cast("long")), "a", "b", "u", "i")
+    assert found.count() == 40 * 2000
+    written = records_shuffled(found.groupBy().count())
+    # The items themselves, and the result once more where it is compared with them; links and bitmaps are far fewer.
+    assert max(written) <= 40 * 2000
+
+
+def test_the_first_thousands_of_a_hot_key_take_two_stages(spark, small_pieces):
+    """Half of the rows under one key and k = 5,000: the key's rows are first cut in parts."""
+    rows = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    found = groups.top_k(rows, "k", [F.desc("id")], 5000)
+    plan = plan_of(found)
+    assert plan.count("Window [row_number") == 2 and re.search(r"hashpartitioning\(k#\d+L, _salt#\d+", plan)
+    assert found.filter("k = 0").agg(F.count("*"), F.min("id"), F.max("rk")).first() == (5000, 199_998 - 2 * 4999, 5000)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, folder, small_pieces):
+    lines, orders = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("lineitem", "orders"))
+    left, right = loads.bucketed(lines, ["l_orderkey"], 4), loads.bucketed(orders, ["o_orderkey"], 4)
+    met = left.join(right, F.col("l_orderkey") == F.col("o_orderkey"))
+    plan = final_plan_of(met)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert met.count() == lines.count()
+
+
+def test_the_price_of_each_line_meets_days_not_lines(plans):
+    """Windows of the as-of join see one row per item and day; the lines only join their day."""
+    plan = plans["m12b_price_on_order_day"]
+    assert plan.count("Window [last") == 2
+    for window in re.finditer(r"Window \[last.*?\n(.*?\n){6}", plan):
+        assert "l_orderkey" not in window.group(0)

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.cells import with_place
+
 Keys = str | Sequence[str]
 
 
@@ -106,14 +108,27 @@ def _only(df: DataFrame, item: str, wanted: DataFrame | Sequence[object]) -> Dat
 # -- ranking ------------------------------------------------------------------
 
 
-def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int, ties: str = "row_number") -> DataFrame:
+#: Up to this k Spark cuts each task to the first k ranks per key before it shuffles (`WindowGroupLimit`).
+FEW = 1000
+
+
+def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int, ties: str = "row_number", salts: int | None = None) -> DataFrame:
     """The first k rows per key with their rank in ``rk``.
 
-    ``ties`` is row_number, rank or dense_rank. Give row_number a total order.
-    Spark cuts each task to the first k ranks per key before it shuffles
-    (`WindowGroupLimit`, for k up to 1000), so a hot key sends k rows per task.
+    ``ties`` is row_number, rank or dense_rank. Give row_number a total order. For a k up to
+    1000 a hot key sends k rows per task. Beyond that a key is first cut into ``salts`` parts
+    (as many as shuffle partitions) by a hash of the row, each with its own first k ranks, and
+    what is left of them is ranked: a rank among fewer rows is never worse, so none is lost,
+    and a task holds a part of a key, or salts * k of its rows.
     """
     rank = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[ties]()
+    names = df.columns
+    if k > FEW:
+        salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = Window.partitionBy(*as_list(keys), "_salt").orderBy(*order)
+        plain = [f.name for f in df.schema if f.dataType.typeName() != "map"]
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)))
+        df = salted.withColumn("_rank", rank.over(parts)).filter(F.col("_rank") <= k).select(*names)
     window = Window.partitionBy(*as_list(keys)).orderBy(*order)
     return df.withColumn("rk", rank.over(window)).filter(F.col("rk") <= k)
 
@@ -166,39 +181,42 @@ def join_on(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
     return left.join(other, same).drop(*(f"_right_{key}" for key in keys))
 
 
-def median(df: DataFrame, key: str, value: str, width: float) -> DataFrame:
+#: Cells that the values of a key, and then those of a cell, are cut into.
+CELLS = 64
+
+
+def median(df: DataFrame, key: str, value: str, cells: int = CELLS, levels: int = 2) -> DataFrame:
     """Exact median per key (mean of the middle two for even counts) as ``median``.
 
-    Equal values are counted first. Counts per cell of ``width`` say which cells
-    hold the middle positions, and only the values of those cells are ordered.
-    Choose a width that leaves few cells in the range of values, and few distinct
-    values in a cell.
-    So a key is never gathered in one task: a group holds the cells of a key, or
-    the distinct values of one cell.
+    Equal values are counted first. A quantile sketch of the distinct values of a key,
+    combined before the shuffle, gives the edges of cells with about as many distinct values
+    each, whatever their scale; counts per cell say which cells hold the middle positions.
+    Those are cut in the same way once more, and only the values of the cells left are
+    ordered: of a key with d distinct values about d / cells**levels in a task. The sketch
+    only lays out cells, so its error costs balance, not exactness.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(key, F.floor(F.col(value) / width).alias("_cell"), F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_n"))
-    )
-    by_cell = Window.partitionBy(key).orderBy("_cell")
-    cells = counts.groupBy(key, "_cell").agg(F.sum("_n").alias("_n"))
-    cells = (
-        cells.withColumn("_upto", F.sum("_n").over(by_cell.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_all", F.sum("_n").over(by_cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        .withColumn("_low", F.expr("(_all + 1) div 2"))
-        .withColumn("_high", F.expr("_all div 2 + 1"))
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .filter((F.col("_before") < F.col("_high")) & (F.col("_upto") >= F.col("_low")))
-        .select(key, "_cell", "_before", "_low", "_high")
-    )
-    by_value = Window.partitionBy(key, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = join_on(counts, cells, [key, "_cell"]).withColumn("_upto", F.col("_before") + F.sum("_n").over(by_value))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(key).alias("_key"), F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    totals = counts.groupBy("_key").agg(F.sum("_n").alias("_all"))
+    totals = totals.select("_key", F.expr("(_all + 1) div 2 AS _low"), F.expr("_all div 2 + 1 AS _high"), F.lit(0).cast("long").alias("_cell"), F.lit(0).cast("long").alias("_before"))
+    rows, middle = counts.withColumn("_cell", F.lit(0).cast("long")), totals
+    for _ in range(levels):
+        edges = rows.groupBy("_key", "_cell").agg(F.array_distinct(F.percentile_approx("_v", [k / cells for k in range(1, cells)], 16 * cells)).alias("_edges"))
+        placed = with_place(join_on(rows, edges, ["_key", "_cell"]), "_edges", "_v", cells - 1, "_part", own=False).drop("_edges")
+        sums = join_on(placed.groupBy("_key", "_cell", "_part").agg(F.sum("_n").alias("_in")), middle, ["_key", "_cell"])
+        inside = Window.partitionBy("_key", "_cell").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+        sums = sums.withColumn("_upto", F.col("_before") + F.sum("_in").over(inside)).withColumn("_before", F.col("_upto") - F.col("_in"))
+        sums = sums.filter((F.col("_before") < F.col("_high")) & (F.col("_upto") >= F.col("_low")))
+        middle = sums.select("_key", "_cell", "_part", "_low", "_high", "_before")
+        rows = join_on(placed, middle.select("_key", "_cell", "_part"), ["_key", "_cell", "_part"])
+        number = (F.col("_cell") * cells + F.col("_part")).alias("_cell")
+        rows, middle = rows.select("_key", number, "_v", "_n"), middle.select("_key", number, "_low", "_high", "_before")
+    by_value = Window.partitionBy("_key", "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    kept = join_on(rows, middle, ["_key", "_cell"]).withColumn("_upto", F.col("_before") + F.sum("_n").over(by_value))
 
     def holds(position: str) -> Column:
         return (F.col("_upto") - F.col("_n") < F.col(position)) & (F.col("_upto") >= F.col(position))
 
-    return placed.groupBy(key).agg(
+    return kept.groupBy(F.col("_key").alias(key)).agg(
         (
             (F.max(F.when(holds("_low"), F.col("_v"))) + F.max(F.when(holds("_high"), F.col("_v")))) / 2
         ).alias("median")

@@ -1,12 +1,14 @@
-"""Lookups: the value as of a day, the last change, what neighbours have."""
+"""Lookups: the value as of a day or of each row's own, the last change, what neighbours have."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.functions.columns import date as day_of
 from tidemark.operators.groups import top_k
+from tidemark.operators.scan import numbered
 
 
 def as_of(dim: DataFrame, changes: DataFrame, key: str, date: str, at: str, value: str, default: object) -> DataFrame:
@@ -23,6 +25,40 @@ def as_of(dim: DataFrame, changes: DataFrame, key: str, date: str, at: str, valu
     )
 
 
+def as_of_each(
+    rows: DataFrame, changes: DataFrame, key: str, at: str, date: str, value: str, default: object, name: str, cell: str = "month",
+) -> DataFrame:
+    """Every row of ``rows`` with the latest value of its key on or before the row's own ``at``, else the default.
+
+    Of two changes on one day the highest value counts. A row without a key or day has the
+    default. The rows themselves are neither windowed nor paired with changes: the answer of
+    a row depends on its key and day only, so the distinct days of a key meet its changes, as
+    one sequence of days in which the last known value is carried on within cells of key and
+    month first and from cell to cell after. A group has at most the days of a month or the
+    months of a key, however many rows a key has; the rows then join their day's value, and
+    AQE splits that join where a key and day is hot.
+    """
+    day = F.col(date).cast("date")
+    known = changes.filter(F.col(key).isNotNull() & day.isNotNull() & F.col(value).isNotNull())
+    daily = known.groupBy(F.col(key).alias("_key"), day.alias("_day")).agg(F.max(value).alias("_set"))
+    asked = rows.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("_key"), F.col(at).cast("date").alias("_day"))
+    points = asked.withColumn("_set", F.lit(None).cast(changes.schema[value].dataType)).withColumn("_asked", F.lit(True))
+    points = points.unionByName(daily.withColumn("_asked", F.lit(False)))
+    # One row for each key and day: most are combined before the shuffle.
+    points = points.groupBy("_key", "_day").agg(F.max("_set").alias("_set"), F.bool_or("_asked").alias("_asked")).withColumn("_cell", F.trunc("_day", cell))
+    within = Window.partitionBy("_key", "_cell").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    points = points.withColumn("_here", F.last("_set", ignorenulls=True).over(within))
+    ends = points.filter(F.col("_set").isNotNull()).groupBy("_key", "_cell").agg(F.max_by("_set", "_day").alias("_end"))
+    cells = points.filter("_asked").select("_key", "_cell", F.lit(None).cast(changes.schema[value].dataType).alias("_end")).distinct().unionByName(ends)
+    cells = cells.groupBy("_key", "_cell").agg(F.max("_end").alias("_end"))
+    before = Window.partitionBy("_key").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(F.col("_key").alias("_of"), F.col("_cell").alias("_in"), F.last("_end", ignorenulls=True).over(before).alias("_before"))
+    found = points.filter("_asked").join(cells, (F.col("_key") == F.col("_of")) & (F.col("_cell") == F.col("_in")))
+    found = found.select("_key", "_day", F.coalesce("_here", "_before").alias("_value"))
+    met = rows.join(found, (F.col(key) == F.col("_key")) & (F.col(at).cast("date") == F.col("_day")), "left")
+    return met.select(*(F.col(c) for c in rows.columns), F.coalesce("_value", F.lit(default).cast(changes.schema[value].dataType)).alias(name))
+
+
 def last_change(changes: DataFrame, key: str, date: str, value: str) -> DataFrame:
     """Latest value less the one before it; a key with one value changes by that value."""
     newest = top_k(changes, key, [F.col(date).desc(), F.col(value).desc()], 2)
@@ -31,11 +67,19 @@ def last_change(changes: DataFrame, key: str, date: str, value: str) -> DataFram
     return newest.groupBy(key).agg((now - F.coalesce(before, F.lit(0))).alias("change"))
 
 
-def neighbour_items(edges: DataFrame, items: DataFrame, a: str, b: str, user: str, item: str) -> DataFrame:
+#: Bits of one bitmap, which is that of Spark's bitmap functions (4 KB).
+BITS = 32768
+
+
+def neighbour_items(edges: DataFrame, items: DataFrame, a: str, b: str, user: str, item: str, heavy: int = 512) -> DataFrame:
     """Items that a neighbour has and the user has not, each pair once.
 
-    Edges count both ways. Loops and repeats are dropped before the fan-out, and
-    what the user has is removed by a distributed anti-join.
+    Edges count both ways; loops and repeats are dropped before the fan-out. Whoever has
+    ``heavy`` items or more in one range of 32,768 item numbers offers them as one bitmap, so
+    a link costs a row for each range, not for each item, and the bitmaps of a user's
+    neighbours are combined before they are shuffled. Others have few items a range, which
+    go as rows. Items are whole numbers; other kinds are numbered first. What the user has is removed by a
+    distributed anti-join.
     """
     ends = F.inline(
         F.array(
@@ -47,7 +91,39 @@ def neighbour_items(edges: DataFrame, items: DataFrame, a: str, b: str, user: st
     # Without nulls from the start, so that both uses are one shuffle.
     known = items.filter(F.col(user).isNotNull() & F.col(item).isNotNull())
     owned = known.select(F.col(user).alias("_friend"), F.col(item).alias("_item")).distinct()
-    offered = links.join(owned, "_friend").select(F.col("_user").alias("_friend"), "_item").distinct()
+    if not isinstance(items.schema[item].dataType, IntegralType):
+        numbers = numbered(owned.select(F.col("_item").alias("_name")).distinct(), [], ["_name"], "_number")
+        coded = owned.join(numbers, F.col("_item") == F.col("_name")).select("_friend", F.col("_number").alias("_item"))
+        offered = _offers(links, coded, heavy).join(numbers, F.col("_item") == F.col("_number")).select("_friend", F.col("_name").alias("_item"))
+    else:
+        offered = _offers(links, owned.withColumn("_item", F.col("_item").cast("long")), heavy).withColumn("_item", F.col("_item").cast(items.schema[item].dataType))
     return offered.join(owned, ["_friend", "_item"], "left_anti").select(
         F.col("_friend").alias(user), F.col("_item").alias(item)
     )
+
+
+def _offers(links: DataFrame, owned: DataFrame, heavy: int) -> DataFrame:
+    """(_friend, _item): what each user's neighbours have, each item once."""
+    ranged = owned.withColumn("_bucket", F.bitmap_bucket_number("_item")).groupBy("_friend", "_bucket")
+    # A list has at most the 32,768 numbers of its range.
+    few = ranged.agg(F.collect_list("_item").alias("_items")).filter(F.size("_items") < heavy)
+    many = ranged.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_item")).alias("_set")).filter(F.bitmap_count("_set") >= heavy)
+    light = links.join(few.select("_friend", F.explode("_items").alias("_item")), "_friend").select(F.col("_user").alias("_friend"), "_item")
+    unions = links.join(many, "_friend").groupBy(F.col("_user").alias("_friend"), "_bucket").agg(F.bitmap_or_agg("_set").alias("_set"))
+    return light.unionByName(members(unions, "_set", "_bucket", "_item").select("_friend", "_item")).distinct()
+
+
+def members(df: DataFrame, bitmap: str, bucket: str, name: str) -> DataFrame:
+    """A row for each number in a bitmap of Spark's, whose range is number ``bucket``.
+
+    Eight bits at a time, so that a byte without any costs one look.
+    """
+    byte = F.substring(F.col(bitmap), F.col("_byte") + 1, F.lit(1))
+    spread = df.withColumn("_byte", F.explode(F.sequence(F.lit(0), F.lit(BITS // 8 - 1)))).withColumn("_eight", byte).filter(F.col("_eight") != F.lit(b"\0"))
+    value = F.conv(F.hex("_eight"), 16, 10).cast("int")
+    bits = F.array(*(F.when(value.bitwiseAND(1 << k) != 0, F.lit(k)) for k in range(8)))
+    spread = spread.withColumn("_bit", F.explode(F.filter(bits, lambda bit: bit.isNotNull())))
+    at = F.col("_byte") * 8 + F.col("_bit")
+    # Range 0 holds 0 and the negative numbers next to it, range 1 the numbers from 1 on.
+    number = F.when(F.col(bucket) > 0, (F.col(bucket) - 1) * BITS + at + 1).otherwise(F.col(bucket) * BITS - at)
+    return spread.withColumn(name, number.cast("long")).drop("_byte", "_eight", "_bit", bitmap, bucket)

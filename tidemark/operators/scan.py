@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.cells import with_place
 from tidemark.operators.groups import Keys, as_list
 
 #: Rows sampled for each range.
@@ -37,21 +38,11 @@ def bounds(df: DataFrame, at: Column, parts: int) -> Column:
 
 
 def with_range(df: DataFrame, at: Column, parts: int) -> DataFrame:
-    """Rows with the number of their range in ``_range``: how many bounds are not above their value.
-
-    Looks among every n-th bound first and then between two of those, so a row is compared
-    with about twice the root of the number of ranges.
-    """
+    """Rows with the number of their range in ``_range``: how many bounds are not above their value."""
     if parts < 2:
         return df.withColumn("_range", F.lit(0))
-    wide = max(1, round(parts**0.5))
     known = df.withColumns({"_at": at, "_bounds": bounds(df, at, parts)})
-    leads = F.filter(F.transform(F.sequence(F.lit(0), F.lit(parts - 1), F.lit(wide)), lambda k: F.get("_bounds", k)), lambda bound: bound <= F.col("_at"))
-    known = known.withColumn("_first", F.size(leads))
-    near = F.slice("_bounds", F.greatest(F.lit(1), (F.col("_first") - 1) * wide + 1), F.lit(wide))
-    fine = F.size(F.filter(near, lambda bound: bound <= F.col("_at")))
-    number = F.when(F.col("_first") == 0, F.lit(0)).otherwise((F.col("_first") - 1) * wide + fine)
-    return known.withColumn("_range", number).drop("_at", "_bounds", "_first")
+    return with_place(known, "_bounds", "_at", parts - 1, "_range", own=True).drop("_at", "_bounds")
 
 
 def running(df: DataFrame, keys: Keys, order: Keys, values: dict[str, Column], parts: int | None = None) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import count_if, in_year
-from tidemark.operators import days, intervals
+from tidemark.operators import days, intervals, scan
 
 # Names of the activity classes.
 LEVELS = {"lost": "流失用户", "loyal": "忠实用户", "fresh": "新晋用户", "dormant": "沉睡用户"}
@@ -138,3 +138,8 @@ def promotion_days(promotion: DataFrame) -> DataFrame:
     """Days per brand with at least one promotion."""
     covered = intervals.covered_days(promotion, "brand", "start_date", "end_date")
     return covered.select("brand", F.col("days").alias("promotion_day_count"))
+
+
+def running_value(events: DataFrame, value: Column) -> DataFrame:
+    """Every event with the sum of a value over all events up to it, whoever they are of."""
+    return scan.running(events, [], ["ts", "event_id"], {"so_far": value}).select("event_id", "ts", "so_far")

@@ -343,6 +343,33 @@ ACTIVITY = {
         FROM promo) GROUP BY brand""",
 }
 
+ROWS = {
+    "m4b_spent_so_far": """SELECT order_id, user_id, create_date, CAST(sum(total_amount) OVER
+            (PARTITION BY user_id ORDER BY create_date, order_id ROWS UNBOUNDED PRECEDING) AS DECIMAL(26,2)) AS sum_so_far
+        FROM order_info""",
+    "m12b_price_on_order_day": """SELECT d.order_id, d.sku_id, d.create_date, CAST(coalesce(p.new_price, 99) AS DECIMAL(26,2)) AS price
+        FROM order_detail d ASOF LEFT JOIN price_change p ON d.sku_id = p.sku_id AND d.create_date >= p.change_date""",
+    "m25d_largest_lines": """SELECT l_linestatus AS line_status, l_orderkey AS order_id, l_partkey AS sku_id,
+            CAST(l_quantity AS INTEGER) AS sku_num, CAST(CAST(l_extendedprice AS DECIMAL(16,2)) AS DECIMAL(26,2)) AS amount,
+            CAST(row_number() OVER (PARTITION BY l_linestatus ORDER BY CAST(l_extendedprice AS DECIMAL(16,2)) DESC,
+                l_orderkey, l_partkey, l_quantity) AS INTEGER) AS rk
+        FROM lineitem QUALIFY rk <= 5000""",
+    "m26b_median_line_amount": """SELECT shop_id, (v[(n + 1) // 2] + v[n // 2 + 1]) / 2 AS medamount
+        FROM (SELECT shop_id, count(*) AS n, list(CAST(amount * 100 AS BIGINT) ORDER BY amount) AS v FROM order_detail GROUP BY ALL)""",
+    "m40b_running_event_value": """SELECT event_id, ts, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER
+            (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS so_far FROM events""",
+}
+
+LOADS = {
+    "load_text_round_trip": """WITH o AS (SELECT order_id, user_id, create_date, CAST(total_amount * 100 AS BIGINT) AS total_amount FROM order_info)
+        SELECT order_id, user_id, create_date, total_amount, CAST(NULL AS VARCHAR) AS line FROM o WHERE order_id % 97 <> 0
+        UNION ALL SELECT NULL, NULL, NULL, NULL, CASE WHEN order_id % 2 = 0 THEN concat_ws(chr(9), order_id, user_id, create_date)
+            ELSE concat_ws(chr(9), order_id, user_id, 'someday', total_amount) END FROM o WHERE order_id % 97 = 0""",
+    "load_batches_twice": """SELECT order_id, user_id, create_date, CAST(total_amount * 100 AS BIGINT) AS total_amount,
+        CAST(year(create_date) AS INTEGER) AS batch FROM order_info""",
+    "load_bucketed_scores": "SELECT * FROM score",
+}
+
 
 def _with_views(body: str) -> str:
     """Prefix a statement with the views it uses, directly or through other views."""
@@ -363,4 +390,4 @@ def _with_views(body: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with_views(body) for group in (PREVIEW, SCHOOL, SHOP, ACTIVITY) for name, body in group.items()}
+    return {name: _with_views(body) for group in (PREVIEW, SCHOOL, SHOP, ACTIVITY, ROWS, LOADS) for name, body in group.items()}

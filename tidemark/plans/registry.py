@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import money
-from tidemark.plans import activity, school, shop
+from tidemark.functions.columns import cents, money
+from tidemark.plans import activity, loads, school, shop
 from tidemark.sources.roles import Roles
 from tidemark.sources.tables import preview
 
@@ -154,6 +154,21 @@ ACTIVITY: dict[str, Query] = {
     "h4_union_of_intervals": lambda r: activity.promotion_days(r.promotion()),
 }
 
+# Further readings of the exercises that need other plans: a value for each row instead of each day or key.
+ROWS: dict[str, Query] = {
+    "m4b_spent_so_far": lambda r: _in_money(shop.spent_so_far(r.order_info()), "sum_so_far"),
+    "m12b_price_on_order_day": lambda r: _in_money(shop.price_on_day(r.order_detail(), r.price_change(), 9900), "price"),
+    "m25d_largest_lines": lambda r: _in_money(shop.largest_lines(r.sold_lines(), "line_status", 5000), "amount"),
+    "m26b_median_line_amount": lambda r: shop.median_amount(r.sold(), "shop_id"),
+    "m40b_running_event_value": lambda r: activity.running_value(r.table("events"), cents(F.col("value"))),
+}
+
+LOADS: dict[str, Query] = {
+    "load_text_round_trip": lambda r: loads.text_round_trip(r.order_info()),
+    "load_batches_twice": lambda r: loads.batches_twice(r.order_info(), 1997),
+    "load_bucketed_scores": lambda r: loads.scores_from_buckets(r.table("lineitem"), r.table("orders")),
+}
+
 
 def _user_overview(r: Roles, how: str) -> DataFrame:
     overview = activity.user_overview(r.login(), "login_ts", r.order_info(), 2024, 1998, how)
@@ -170,4 +185,4 @@ def _bind(query: Query) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _bind(query) for group in (PREVIEW, SCHOOL, SHOP, ACTIVITY) for name, query in group.items()}
+    return {name: _bind(query) for group in (PREVIEW, SCHOOL, SHOP, ACTIVITY, ROWS, LOADS) for name, query in group.items()}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import band, between, date, in_year, month_start, percent_text, share
-from tidemark.operators import days, groups, lookup
+from tidemark.operators import days, groups, lookup, scan
 
 # Spend bands of the membership levels, (upper bound, label) and the top label.
 VIP_BANDS = [
@@ -70,6 +70,12 @@ def top_per_category(lines: DataFrame, sku: DataFrame, k: int = 3) -> DataFrame:
     return best.select("sku_id", "category_id")
 
 
+def largest_lines(lines: DataFrame, by: str, k: int) -> DataFrame:
+    """The k order lines of the highest totals per shop or item, equal ones by order and item."""
+    order = [F.desc("amount"), F.asc("order_id"), F.asc("sku_id"), F.asc("sku_num")]
+    return groups.top_k(lines.select(by, "order_id", "sku_id", "sku_num", "amount"), by, order, k)
+
+
 def most_ordered_per_category(lines: DataFrame, sku: DataFrame, k: int = 3, ties: str = "rank") -> DataFrame:
     """Items on the first k ranks of their category by order lines; equal counts share a rank."""
     ordered = lines.groupBy("sku_id").agg(F.count("*").alias("order_cnt"))
@@ -224,6 +230,12 @@ def vip_level(orders: DataFrame, bands: Sequence[tuple[object, str]] = VIP_BANDS
     )
 
 
+def spent_so_far(orders: DataFrame) -> DataFrame:
+    """Every order with what its user had spent up to and with it; orders of a day go by id."""
+    running = scan.running(orders, "user_id", ["create_date", "order_id"], {"sum_so_far": F.col("total_amount")})
+    return running.select("order_id", "user_id", "create_date", "sum_so_far")
+
+
 def next_day_repeat_rate(orders: DataFrame) -> DataFrame:
     repeat = days.next_day_repeat(orders, "user_id", "create_date")
     return repeat.select(percent_text(F.col("share")).alias("percentage"))
@@ -267,6 +279,12 @@ def price_as_of(sku: DataFrame, price_change: DataFrame, at: str, default: objec
     )
 
 
+def price_on_day(lines: DataFrame, price_change: DataFrame, default: object = 99) -> DataFrame:
+    """Every order line with the price its item had on the day of the order."""
+    bought = lines.select("order_id", "sku_id", "create_date")
+    return lookup.as_of_each(bought, price_change, "sku_id", "create_date", "change_date", "new_price", default, "price")
+
+
 def last_price_change(price_change: DataFrame) -> DataFrame:
     change = lookup.last_change(price_change, "sku_id", "change_date", "new_price")
     return change.select("sku_id", F.col("change").alias("price_change")).orderBy("price_change", "sku_id")
@@ -275,10 +293,15 @@ def last_price_change(price_change: DataFrame) -> DataFrame:
 def median_price(sku: DataFrame, digits: int = 1) -> DataFrame:
     """Exact median of the list price per category; cents keep the middle exact."""
     priced = sku.select("category_id", F.col("price").cast("decimal(16,2)").alias("price"))
-    middle = groups.median(priced, "category_id", "price", width=1.0)
+    middle = groups.median(priced, "category_id", "price")
     return middle.select("category_id", F.round("median", digits).cast("double").alias("medprice"))
 
 
+def median_amount(lines: DataFrame, by: str) -> DataFrame:
+    """Exact median of the line totals per shop or item."""
+    return groups.median(lines, by, "amount").select(by, F.col("median").alias("medamount"))
+
+
 def friend_favourites(friendship: DataFrame, favor: DataFrame) -> DataFrame:
     return lookup.neighbour_items(friendship, favor, "user1_id", "user2_id", "user_id", "sku_id")
 

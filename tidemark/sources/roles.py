@@ -100,6 +100,16 @@ class Roles:
             F.col("l_quantity").cast("int").alias("sku_num"),
         )
 
+    def sold_lines(self) -> DataFrame:
+        """Order lines with their order and status, of which there are two: no join."""
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("sku_id"),
+            F.col("l_linestatus").alias("line_status"),
+            cents(F.col("l_extendedprice")).alias("amount"),
+            F.col("l_quantity").cast("int").alias("sku_num"),
+        )
+
     def price_change(self) -> DataFrame:
         line = self.table("lineitem")
         return line.groupBy(
