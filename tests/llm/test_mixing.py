@@ -7,70 +7,25 @@ import corpus_pipeline
 from tidemark.llm import mixing
 
 
-@pytest.mark.parametrize("weights", [{"a": 1.0}, {"a": 0.5, "b": 0.3, "c": 0.2}, {f"s{k}": 1.0 + k % 7 for k in range(60)}, {"a": 1000.0, "b": 1.0}])
-def test_no_source_is_a_block_off(weights):
-    share = mixing.whole_weights(weights, 256)
-    period = sum(share.values())
-    assert period == 256 and all(share.values())
-    done = Counter()
-    order = mixing.one_period(share)
-    for t, (name, turn, release, deadline, slot) in enumerate(order):
-        assert slot == t and release <= t < deadline and turn == done[name]
-        done[name] += 1
-        assert all(abs(done[n] - (t + 1) * k / period) < 1 for n, k in share.items())
-    assert done == share
-
-
-def sources(spark):
-    rows = [(k, "hot" if k % 3 else "cold") for k in range(400)] + [(k, None) for k in range(400, 460)] + [(500, "rare")] * 9 + [(None, "cold")]
-    return spark.createDataFrame([(d, s, "t", "clash", -1) for d, s in rows], "doc_id long, source string, text string, slot string, number int").repartition(4)
-
-
-def test_schedule_of_all_rows(spark):
-    docs = sources(spark)
-    weights = mixing.tempered(docs)
-    assert weights["="  "hot"] == 266**0.5 and weights[""] == 60**0.5
-    rows = mixing.schedule(docs, weights, block=4, period=64).collect()
-    assert len(rows) == docs.count()
-    share = mixing.whole_weights(weights, 64)
-    blocks = {}
-    for r in rows:
-        blocks.setdefault((r["source"], r["block"]), []).append(r)
-    slots = {}
-    for (source, block), own in blocks.items():
-        first = own[0]
-        assert sorted(r["place"] for r in own) == list(range(len(own))) and len(own) <= 4
-        assert {(r["slot"], r["mixed"]) for r in own} == {(first["slot"], first["mixed"])}
-        n = share["" if source is None else "=" + source]
-        assert first["release"] == block * 64 // n and first["deadline"] == -(-(block + 1) * 64 // n)
-        slots[first["slot"]] = (source, first["mixed"])
-    mixed = sorted(slot for slot, (_, m) in slots.items() if m)
-    assert mixed == list(range(len(mixed))) and mixed
-    # the first slot that has no block is where the mix ends
-    assert len(mixed) not in slots
-    done = Counter()
-    for t in mixed:
-        done["" if slots[t][0] is None else "=" + slots[t][0]] += 1
-        assert all(abs(done[n] - (t + 1) * k / 64) < 1 for n, k in share.items())
-
-
-def test_mix_keeps_the_columns(spark):
-    docs = sources(spark)
-    out = mixing.mix(docs, mixing.tempered(docs), block=4, period=64)
-    assert out.schema == docs.schema and 0 < out.count() < docs.count()
-    assert out.filter("slot <> 'clash' or number <> -1").isEmpty()
-
-
 def test_edges(spark):
-    docs = sources(spark)
-    only = mixing.schedule(docs, {"=cold": 1.0}, block=4)
-    assert only.filter("mixed").count() == docs.filter("source = 'cold'").count()
-    assert only.filter("source <> 'cold' or source is null").filter("mixed or slot is not null").isEmpty()
-    assert mixing.schedule(docs, {"=cold": 1.0, "=absent": 1.0}, block=4).filter("mixed").count() <= 4
-    assert mixing.schedule(docs, {}).filter("mixed").isEmpty()
-    assert mixing.schedule(docs.limit(0), {"=cold": 1.0}).collect() == []
-    with pytest.raises(ValueError):
-        mixing.whole_weights({str(k): 1.0 for k in range(9)}, 8)
+    docs = uneven(spark)
+    only = mixing.interleave(docs, {"=rare": 1.0, "=absent": 1.0}, block=4)
+    assert only.count() == docs.count() and only.filter("slot is not null").count() == 1
+    assert mixing.interleave(docs, {}).filter("mixed or slot is not null").isEmpty()
+    assert mixing.interleave(docs.limit(0), {"=hot": 1.0}).collect() == []
+    assert mixing.arranged(docs.limit(0), {"=hot": 1.0}).collect() == []
+    assert mixing.arranged(docs, {}).count() == docs.count()
+
+
+def test_repeated_rows_have_a_place_each(spark):
+    """A third of the rows are equal, more than one chunk of them; none is lost or doubled."""
+    docs = spark.range(9000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "IF(id % 3 = 0, 'hot', 's') AS source", "1 AS _rows", "'x' AS _a").repartition(4)
+    out = mixing.arranged(docs, {"=hot": 1.0, "=s": 1.0}).collect()
+    assert Counter(map(tuple, out)) == Counter(map(tuple, docs.collect()))
+    seen = Counter()
+    for k, r in enumerate(out[:4000]):
+        seen[r["source"]] += 1
+        assert abs(seen["hot"] - seen["s"]) <= 16
 
 
 def uneven(spark):

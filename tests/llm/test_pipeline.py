@@ -1,5 +1,6 @@
 import hashlib
 import math
+from collections import Counter
 
 import corpus_pipeline
 from tests.llm import brute
@@ -14,6 +15,41 @@ def shard(doc: int, count: int = 16) -> int:
     return min(range(count), key=lambda s: (draw(s), s))
 
 
+def check_order(rows):
+    """The blocks of the sources come as the exact schedule of their root weights says."""
+    sizes = Counter("" if r["source"] is None else "=" + r["source"] for r in rows)
+    coming = iter(rows)
+    for name, block, *_ in mixing.phases({k: n**0.5 for k, n in sizes.items()}, {k: -(-n // 8) for k, n in sizes.items()}):
+        for _ in range(min(8, sizes[name] - 8 * block)):
+            assert ("" if (r := next(coming))["source"] is None else "=" + r["source"]) == name
+    assert next(coming, None) is None
+
+
+def test_mixing_uneven_sources(spark):
+    docs = spark.range(600).selectExpr("id AS doc_id", "'t' AS text", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id < 9 THEN null ELSE concat('s', id % 4) END AS source")
+    rows = dict(corpus_pipeline.STAGES)["mixing"](spark, docs.repartition(4), FOLDER).collect()
+    assert len(rows) == 600 and len({r["doc_id"] for r in rows}) == 600
+    check_order(rows)
+
+
+def test_rows_that_share_a_doc_id_or_have_none_are_judged_by_their_texts(spark):
+    docs = table(spark, FOLDER, "documents")
+    texts = [r["text"] for r in docs.orderBy("doc_id").limit(5).collect()]
+    row = lambda doc, text, k=0: (doc, text, "en", "src0", k)
+    rows = [row(7, texts[0]), row(7, texts[1]), row(7, texts[1]), row(None, texts[2]), row(None, texts[2], 1), row(None, texts[3]), row(3, texts[3]), row(7, "12 !!"), row(None, "--")]
+    df = spark.createDataFrame(rows, docs.schema).selectExpr("*", "1 AS _hash", "2 AS _row", "3 AS _gone", "4 AS _mark")
+    stages = dict(corpus_pipeline.STAGES)
+    known = stages["language_id"](spark, docs.selectExpr("*", "1 AS _hash", "2 AS _row", "3 AS _gone", "4 AS _mark").union(df), FOLDER)
+    assert known.columns == df.columns
+    kept = [r["text"] for r in known.filter("source = 'src0'").collect()]
+    assert "12 !!" not in kept and "--" not in kept and kept.count(texts[1]) >= 2
+    near = stages["simhash_near_dedup"](spark, df.filter("text not in ('12 !!', '--')"), FOLDER)
+    assert near.columns == df.columns
+    wanted = {texts[0], texts[1], texts[2], texts[3]}
+    found = [(r["doc_id"], r["text"]) for r in near.collect()]
+    assert sorted(t for _, t in found) == sorted(wanted) and (3, texts[3]) in found and (None, texts[2]) in found
+
+
 def test_stages_one_by_one(spark):
     docs = table(spark, FOLDER, "documents")
     items = [tuple(r) for r in table(spark, FOLDER, "benchmark").select("item_id", "text").collect()]
@@ -29,15 +65,8 @@ def test_stages_one_by_one(spark):
     assert sorted(r["doc_id"] for r in out[1]) == sorted(kept)
     bad = {x[0] for x in brute.contamination([(r["doc_id"], r["text"]) for r in out[1]], items) if x[-1]}
     assert bad and sorted(r["doc_id"] for r in out[2]) == sorted(kept - bad)
-    count: dict[str, int] = {}
-    for r in out[2]:
-        count["=" + r["source"]] = count.get("=" + r["source"], 0) + 1
-    share = mixing.whole_weights({k: n**0.5 for k, n in count.items()}, 1024)
-    times = {(name, turn): slot for name, turn, _, _, slot in mixing.one_period(share)}
-    slot = lambda name, block: block // share[name] * 1024 + times[name, block % share[name]]
-    end = min(slot(name, -(-n // 8)) for name, n in count.items())
-    mixed = {name: sum(min(8, n - 8 * b) for b in range(-(-n // 8)) if slot(name, b) < end) for name, n in count.items()}
-    assert {name: sum("=" + r["source"] == name for r in out[3]) for name in count} == mixed
+    assert sorted(map(repr, out[3])) == sorted(map(repr, out[2]))
+    check_order(out[3])
     assert all(r["shard"] == shard(r["doc_id"]) for r in out[4])
     assert sorted(r["doc_id"] for r in out[4]) == sorted(r["doc_id"] for r in out[3])
 

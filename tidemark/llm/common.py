@@ -2,32 +2,37 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder, which all executors share; a new one only where none is set."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return context.getCheckpointDir()
+from tidemark.session import work_folder
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` to the checkpoint folder and read it from there."""
-    shared_folder(df.sparkSession)
+    work_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def free(df: DataFrame, name: str) -> str:
+    """`name`, longer where `df` has a column of that name."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
+def row_name(*columns: str) -> Column:
+    """A name for a row by the values of some columns, nulls apart from all others; 128 bits as hex."""
+    fields = (F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")) for text in (F.col(c).cast("string") for c in columns))
+    return F.md5(F.concat(*fields).cast("binary"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -167,12 +172,12 @@ def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     Rows whose key has no bit in a bitmap of the keys stay where they are; only the others are
     shuffled to be compared with the keys themselves.
     """
-    named = F.xxhash64(F.col(key).cast("string"))
-    gone = cut(keys.filter(F.col(key).isNotNull()).select(F.col(key).alias("_gone"), named.alias("_hash")).distinct())
-    bits = df.sparkSession.sparkContext.broadcast(bitmap(gone, "_hash"))
-    hashed = df.withColumn("_hash", named)
-    maybe = some(hashed, "_hash", bits).drop("_hash")
-    return some(hashed, "_hash", bits, chosen=False).drop("_hash").union(maybe.join(gone.select("_gone"), F.col(key) == F.col("_gone"), "left_anti"))
+    named, mark, gone_key = F.xxhash64(F.col(key).cast("string")), free(df, "_mark"), free(df, "_gone")
+    gone = cut(keys.filter(F.col(key).isNotNull()).select(F.col(key).alias(gone_key), named.alias(mark)).distinct())
+    bits = df.sparkSession.sparkContext.broadcast(bitmap(gone, mark))
+    hashed = df.withColumn(mark, named)
+    maybe = some(hashed, mark, bits).drop(mark)
+    return some(hashed, mark, bits, chosen=False).drop(mark).union(maybe.join(gone.select(gone_key), F.col(key) == F.col(gone_key), "left_anti"))
 
 
 def buckets_for(rows: int, each: int = 4096) -> int:

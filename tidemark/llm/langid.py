@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import cut, in_tasks, pieces, table, utf8, without
+from tidemark.llm.common import cut, free, in_tasks, pieces, row_name, table, utf8, without
 
 UNKNOWN = "und"
 CELLS = 1 << 15
@@ -227,14 +227,14 @@ def of_pages(pages: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of `docs` whose language is known; rows that share a doc_id go together.
+    """The rows of `docs` whose language is known, each judged by its own text, language tag and source.
 
-    Rows without a doc_id are judged by whether their text has letters.
+    Rows without a doc_id, or with that of another, are judged like all others.
     """
-    refused = identify(of_documents(docs), ["doc_id"], **settings).filter("not accepted and doc_id is not null").select("doc_id").distinct()
-    kept = without(docs, refused, "doc_id")
-    lettered = F.coalesce(F.col("text"), F.lit("")).rlike("[A-Za-z]|[^\\x00-\\x7F]")
-    return kept.filter(F.col("doc_id").isNotNull() | lettered)
+    mark = free(docs, "_row")
+    named = docs.withColumn(mark, row_name("doc_id", "text", "lang", "source"))
+    refused = identify(of_documents(named), [mark], **settings).filter("not accepted").select(mark)
+    return without(named, refused, mark).drop(mark)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -4,14 +4,10 @@ A source with weight w gets its block i (from 0) a release time floor(i / w) and
 ceil((i + 1) / w), in slots. In each slot the released block with the earliest deadline goes
 out, so at any slot a source is less than one block away from its target share.
 
-`interleave` takes the weights as they are, as exact fractions, and places every row: a source
-that has run out leaves, and the others go on in a new phase with their weights renormalised.
-One count per source decides all. The driver lays the slots out in their order (one for each
+Weights are taken as they are, as exact fractions, and every row is placed: a source that has
+run out leaves, and the others go on in a new phase with their weights renormalised. One
+count per source decides all. The driver lays the slots out in their order (one for each
 block of rows) and hands them to Spark a part at a time.
-
-`schedule` rounds weights to whole numbers of slots in a period, so that a schedule is the
-same in every period, and ends the mix with the first source. Only one period is laid out; the
-place of every block follows from it by arithmetic in the join below.
 """
 
 from __future__ import annotations
@@ -32,36 +28,6 @@ from tidemark.llm.common import buckets_for, cut, numbered, table
 TIMES = pa.schema([("_named", pa.string()), ("_turn", pa.int64()), ("phase", pa.int64()), ("release", pa.int64()), ("deadline", pa.int64()), ("slot", pa.int64())])
 
 
-def whole_weights(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Weights as numbers of slots that add up to `period`, by largest remainder, 1 at least."""
-    known = {name: weight for name, weight in weights.items() if weight > 0}
-    if len(known) > period:
-        raise ValueError(f"{len(known)} sources need a period of as many slots at least, not {period}")
-    total, spare = math.fsum(known.values()), period - len(known)
-    exact = {name: spare * weight / total for name, weight in known.items()}
-    out = {name: 1 + math.floor(x) for name, x in exact.items()}
-    rest = period - sum(out.values())
-    for name in sorted(known, key=lambda n: (math.floor(exact[n]) - exact[n], n))[:rest]:
-        out[name] += 1
-    return out
-
-
-def one_period(slots: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) of each block of a period, earliest deadline first."""
-    period = sum(slots.values())
-    coming = sorted((i * period // n, -(-(i + 1) * period // n), name, i) for name, n in slots.items() for i in range(n))
-    ready: list[tuple[int, str, int, int]] = []
-    out, at = [], 0
-    for slot in range(period):
-        while at < len(coming) and coming[at][0] <= slot:
-            release, deadline, name, i = coming[at]
-            heapq.heappush(ready, (deadline, name, i, release))
-            at += 1
-        deadline, name, i, release = heapq.heappop(ready)
-        out.append((name, i, release, deadline, slot))
-    return out
-
-
 def phases(weights: dict[str, float], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int, int]]:
     """(source, block, phase, release, deadline, slot) of all blocks of sources with a weight.
 
@@ -115,71 +81,60 @@ def tempered(docs: DataFrame, power: float = 0.5) -> dict[str, float]:
     return {row["name"]: row["count"] ** power for row in counts.toLocalIterator()}
 
 
-def schedule(docs: DataFrame, weights: dict[str, float], block: int = 8, period: int = 1024, order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """`docs` with block, release, deadline and slot of its block, its place in it, and `mixed`.
-
-    A source's rows are ordered by a hash of `order` (equal rows in any order) and cut into
-    blocks of `block` rows; the last may be shorter. `weights` names sources as `source_key`
-    does; a null source is one of them. The mix ends before the slot in which the first
-    source has no block left; blocks from there on have mixed = false, as have sources without
-    a weight, whose slot is null. Every row is returned once. Columns of `docs` that have one
-    of the new names are replaced. An empty table gives no rows.
-    """
-    spark, new = docs.sparkSession, ("block", "place", "release", "deadline", "slot", "mixed")
-    share = whole_weights(weights, max(period, 4 * len(weights)))
-    length = sum(share.values())
-    turns = spark.createDataFrame(list(share.items()), "_name string, _turns long")
-    times = spark.createDataFrame(one_period(share), "_named string, _turn long, _release long, _deadline long, _slot long")
-
-    def placed(rows: DataFrame) -> DataFrame:
-        """Rows (_key, block) with the block's times."""
-        known = rows.join(turns, F.col("_key") == F.col("_name"), "left")
-        known = known.withColumn("_round", F.expr("block div _turns")).withColumn("_in", F.expr("block % _turns"))
-        known = known.join(times, (F.col("_key") == F.col("_named")) & (F.col("_in") == F.col("_turn")), "left")
-        for name in ("release", "deadline", "slot"):
-            known = known.withColumn(name, F.col("_round") * length + F.col(f"_{name}"))
-        return known.drop("_name", "_turns", "_round", "_in", "_named", "_turn", "_release", "_deadline", "_slot")
-
-    keyed = docs.drop(*new).withColumn("_key", source_key())
-    sizes = cut(keyed.groupBy("_key").agg(F.count("*").alias("_rows")))
-    largest = sizes.agg(F.max("_rows")).first()[0] or 0
-    over = placed(sizes.withColumn("block", F.expr(f"(_rows + {block - 1}) div {block}")))
-    found = turns.join(over, F.col("_key") == F.col("_name"), "left")
-    end = found.agg(F.min(F.coalesce("slot", F.lit(0)))).first()[0] or 0
-    rows = numbered(keyed, "_key", list(order), buckets_for(largest))
-    rows = rows.withColumn("block", F.expr(f"number div {block}")).withColumn("place", F.expr(f"number % {block}"))
-    return placed(rows).withColumn("mixed", F.coalesce(F.col("slot") < end, F.lit(False))).drop("_key", "number")
-
-
-def mix(docs: DataFrame, weights: dict[str, float], **settings) -> DataFrame:
-    """The rows of `docs` that are in the mix, with the columns of `docs`."""
-    own = {f"_own{k}": name for k, name in enumerate(docs.columns)}
-    kept = schedule(docs.withColumns({k: F.col(name) for k, name in own.items()}), weights, **settings).filter("mixed")
-    return kept.select(*(F.col(k).alias(name) for k, name in own.items()))
+def _slots(rows: DataFrame, weights: dict[str, float], block: int, order: list[str], many: str | None = None) -> DataFrame:
+    """`rows` (with `_key`) with number, block, place and the times of its block; a row may stand for `many`."""
+    counted = rows.groupBy("_key").agg((F.sum(many) if many else F.count("*")).alias("count"))
+    sizes = {row["_key"]: row["count"] for row in counted.toLocalIterator()}  # one row per source
+    times = _laid_out(rows.sparkSession, weights, {name: -(-n // block) for name, n in sizes.items()})
+    placed = numbered(rows, "_key", order, buckets_for(max(sizes.values(), default=0)), many)
+    if many:
+        # Rows that are equal are told apart by their numbers, a chunk of 4,096 at a time.
+        placed = placed.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({many} - 1) div 4096"))))
+        left = F.least(F.lit(4096), F.col(many) - F.col("_chunk") * 4096).cast("int")
+        inside = F.explode(F.sequence(F.lit(0), left - 1))
+        placed = placed.withColumn("_inside", inside).withColumn("number", F.col("number") + F.col("_chunk") * 4096 + F.col("_inside")).drop("_chunk", "_inside")
+    placed = placed.withColumn("block", F.expr(f"number div {block}")).withColumn("place", F.expr(f"number % {block}"))
+    return placed.join(times, (F.col("_key") == F.col("_named")) & (F.col("block") == F.col("_turn")), "left").drop("_named", "_turn")
 
 
 def interleave(docs: DataFrame, weights: dict[str, float], block: int = 8, order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`docs` with phase, release, deadline and slot of its block, block, its place in it, and `mixed`.
 
-    Blocks are those of `schedule`. Every row is returned once and every row of a source with a
+    A source's rows are ordered by a hash of `order` (equal rows in any order) and cut into
+    blocks of `block` rows; the last may be shorter. `weights` names sources as `source_key`
+    does; a null source is one of them. Every row is returned once and every row of a source with a
     weight has a slot; each slot up to the last has one block. In a phase a source is less than
     one block away from its share of the phase's slots. `mixed` is true in phase 0, in which no
     source has run out and the weights hold as given. Sources without a weight have null times.
+    Columns of `docs` that have one of the new names are replaced. An empty table gives no rows.
     """
     keyed = docs.drop("block", "place", *TIMES.names[2:], "mixed").withColumn("_key", source_key())
-    sizes = {row["_key"]: row["count"] for row in keyed.groupBy("_key").count().toLocalIterator()}  # one row per source
-    times = _laid_out(docs.sparkSession, weights, {name: -(-n // block) for name, n in sizes.items()})
-    rows = numbered(keyed, "_key", list(order), buckets_for(max(sizes.values(), default=0)))
-    rows = rows.withColumn("block", F.expr(f"number div {block}")).withColumn("place", F.expr(f"number % {block}"))
-    met = rows.join(times, (F.col("_key") == F.col("_named")) & (F.col("block") == F.col("_turn")), "left")
-    return met.withColumn("mixed", F.coalesce(F.col("phase") == 0, F.lit(False))).drop("_key", "number", "_named", "_turn")
+    met = _slots(keyed, weights, block, list(order))
+    return met.withColumn("mixed", F.coalesce(F.col("phase") == 0, F.lit(False))).drop("_key", "number")
 
 
-def arranged(docs: DataFrame, weights: dict[str, float], **settings) -> DataFrame:
-    """All rows of `docs` with its columns, in the order of their slots; sources without a weight come last."""
+def arranged(docs: DataFrame, weights: dict[str, float], block: int = 8, order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """All rows of `docs` with its columns, in the order of their slots; sources without a weight come last.
+
+    Placed as in `interleave`, but by names: a row is known by two hashes of all its columns
+    while it is numbered and given its slot. Then rows are moved twice, to meet their slots
+    and into their order, whatever their number.
+    """
+    plain = [f.name for f in docs.schema if f.dataType.typeName() != "map"]
     own = {f"_own{k}": name for k, name in enumerate(docs.columns)}
-    placed = interleave(docs.withColumns({k: F.col(name) for k, name in own.items()}), weights, **settings)
-    return placed.orderBy(F.col("slot").asc_nulls_last(), "place").select(*(F.col(k).alias(name) for k, name in own.items()))
+    names = {"_a": F.xxhash64(*plain), "_b": F.xxhash64(F.lit(1), *plain)}
+    inside = {f"_by{k}": F.col(name) for k, name in enumerate(order)}
+    narrow = docs.select(source_key().alias("_key"), *(c.alias(k) for k, c in (names | inside).items()))
+    narrow = narrow.groupBy("_key", *inside, *names).agg(F.count("*").alias("_rows"))
+    slots = cut(_slots(cut(narrow), weights, block, list(inside), "_rows").select(F.col("_a").alias("_x"), F.col("_b").alias("_y"), "_rows", "slot", "place"))
+    rows = docs.select(*(F.col(name).alias(k) for k, name in own.items()), *(c.alias(k) for k, c in names.items()))
+    same = (F.col("_a") == F.col("_x")) & (F.col("_b") == F.col("_y"))
+    met = rows.join(slots.filter("_rows = 1").hint("merge"), same)
+    repeated = slots.filter("_rows > 1")
+    if not repeated.isEmpty():
+        once = rows.join(repeated.select("_x", "_y").distinct(), same, "left_semi").dropDuplicates(["_a", "_b"])
+        met = met.unionByName(once.join(repeated, same))
+    return met.orderBy(F.col("slot").asc_nulls_last(), "place").select(*(F.col(k).alias(name) for k, name in own.items()))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -20,10 +20,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, cut, in_tasks, pieces, table, without
+from tidemark.llm.common import components, cut, free, in_tasks, pieces, row_name, table, without
 
 BITS = 64
 
@@ -46,20 +46,23 @@ def _signs(words: list[bytes], length: int, seed: int, step: int = 200_000) -> i
     return int(np.packbits(2 * counts > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, length: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, bits): the SimHash fingerprint of each whole text as a signed long.
+def fingerprints(docs: DataFrame, length: int = 4, seed: int = 42, name: Column | None = None) -> DataFrame:
+    """(doc_id, bits): the SimHash fingerprint of each whole text as a signed long, and `name` of the row if given.
 
     A-Z are lower-cased, words are runs of anything but ASCII white space, shingles have
     `length` words (a shorter text is one shingle). No words (null, empty): 0.
     """
+    keep = ["doc_id"] if name is None else ["doc_id", "name"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", 2 << 20):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             bits = np.array([_signs((text or b"").lower().split(), length, seed) for text in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64))], ["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(bits.view(np.int64))], [*keep, "bits"])
 
-    return in_tasks(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), task, "doc_id long, bits long")
+    own = [] if name is None else [name.cast("string").alias("name")]
+    kinds = ["doc_id long", *(["name string"] if own else []), "bits long"]
+    return in_tasks(docs.select(F.col("doc_id").cast("long"), *own, F.col("text").cast("string")), task, ", ".join(kinds))
 
 
 def _cartesian(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -261,28 +264,40 @@ def near_groups(docs: DataFrame, length: int = 4, most: int = 4, seed: int = 42,
     words) are one node. Rows without doc_id keep null and count for no component_id; where
     no doc_id can be reached it is null. An empty table gives no rows.
     """
-    prints = cut(fingerprints(docs, length, seed))
-    distinct = cut(prints.groupBy("bits").agg(F.min("doc_id").alias("least")))
+    found = _grouped(cut(fingerprints(docs, length, seed)), F.col("doc_id"), most, node)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), F.col("first").alias("component_id"))
+
+
+def _grouped(prints: DataFrame, order: Column, most: int, node: int) -> DataFrame:
+    """`prints` with the least `order` that links lead to in `first`."""
+    distinct = cut(prints.groupBy("bits").agg(F.min(order).alias("least")))
     labels = components(near(distinct, most, node), "a", "b")
     rooted = distinct.join(labels, distinct.bits == labels.vertex, "left").select("bits", "least", F.coalesce("component", "bits").alias("component"))
-    smallest = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "component").select(F.col("bits").alias("_bits"), "component_id")
-    return prints.join(named, F.col("bits") == F.col("_bits")).select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+    # Written, so that the join below deals both sides anew and can split a large component.
+    smallest = cut(rooted.groupBy("component").agg(F.min("least").alias("first")))
+    named = rooted.join(smallest, "component").select(F.col("bits").alias("_bits"), "first")
+    return prints.join(named, F.col("bits") == F.col("_bits"))
 
 
-def representatives(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of `docs` that stay: of each group the document with the smallest doc_id.
+def representatives(docs: DataFrame, length: int = 4, most: int = 4, seed: int = 42, node: int = 1024) -> DataFrame:
+    """The rows of `docs` that stay: one of each group, that with the smallest doc_id, or without any where none has one.
 
-    Rows that share a doc_id are one document; rows without doc_id stay as they are.
+    Rows are named by doc_id and text, so different texts that share a doc_id are judged each
+    by itself; of equal doc_ids the least name stays, of equal rows one.
     """
-    groups = near_groups(docs, **settings).filter("doc_id is not null")
-    each = cut(groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")))
-    kept = without(docs, each.filter("not stays"), "doc_id")
-    repeated = each.filter("stays and rows > 1").select(F.col("doc_id").alias("_again"))
-    if repeated.isEmpty():
-        return kept
-    twice = kept.join(repeated, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, F.col("doc_id") == F.col("_again"), "left_anti").unionByName(twice)
+    mark = free(docs, "_row")
+    named = docs.withColumn(mark, row_name("doc_id", "text"))
+    prints = cut(fingerprints(named, length, seed, F.col(mark)))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("name"))
+    found = _grouped(prints, order, most, node)
+    each = cut(found.groupBy(F.col("name").alias(mark)).agg(F.bool_and(F.col("name") == F.col("first")["name"]).alias("stays"), F.count("*").alias("rows")))
+    kept = without(named, each.filter("not stays"), mark)
+    again = free(named, "_again")
+    repeated = each.filter("stays and rows > 1").select(F.col(mark).alias(again))
+    if not repeated.isEmpty():
+        twice = kept.join(repeated, F.col(mark) == F.col(again), "left_semi").dropDuplicates([mark])
+        kept = kept.join(repeated, F.col(mark) == F.col(again), "left_anti").unionByName(twice)
+    return kept.drop(mark)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

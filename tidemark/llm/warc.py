@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, shared_folder, table
+from tidemark.llm.common import cut, table
+from tidemark.session import work_folder
 
 # Fixed values of the format.
 MAGIC = "WARC/1.1\r\n"
@@ -239,6 +240,6 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/archives-{uuid.uuid4().hex}"
     write(table(spark, sf_dir, "pages"), path)
     return digest(records(spark, path))
