@@ -173,16 +173,55 @@ class _Shared:
         return found
 
 
-def _shared(chunk: int, listed: bool) -> object:
-    """A task over postings sorted by part: by set, how many members more than one set has, or a list of them."""
+CREDITS = "bucket int, sets binary, many binary"
+
+
+def _summed(sets: list[np.ndarray], many: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, place = np.unique(np.concatenate(sets), return_inverse=True)
+    return found, np.bincount(place, np.concatenate(many), len(found)).astype(np.int64)
+
+
+def _credited(chunk: int) -> object:
+    """A task over credits sorted by bucket: (set, many), the sum of each set's."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, sets, many, size = None, [], [], 0
+        for batch in batches:
+            columns = [batch.column(k) for k in range(3)]
+            for k in range(batch.num_rows):
+                if sets and columns[0][k].as_py() != bucket:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(sets, many)], ["set", "many"])
+                    sets, many, size = [], [], 0
+                bucket = columns[0][k].as_py()
+                sets.append(np.frombuffer(columns[1][k].as_py(), np.int64))
+                many.append(np.frombuffer(columns[2][k].as_py(), np.int64))
+                size += len(sets[-1])
+                if size > chunk:
+                    one, total = _summed(sets, many)
+                    sets, many, size = [one], [total], 0
+        if sets:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(sets, many)], ["set", "many"])
+
+    return task
+
+
+def _shared(chunk: int, buckets: int) -> object:
+    """A task over postings sorted by part: for sets, how many members more than one set has, together by bucket.
+
+    Without buckets, a list of these members for each set.
+    """
 
     def by_set(members: np.ndarray, sets: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.argsort(sets, kind="stable")
         members, sets = members[order], sets[order]
         starts = np.flatnonzero(np.concatenate([[True], sets[1:] != sets[:-1]])) if len(sets) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(sets))
-        if not listed:
-            yield pa.RecordBatch.from_arrays([pa.array(sets[starts]), pa.array(ends - starts)], ["set", "many"])
+        if buckets:
+            found, many = sets[starts], ends - starts
+            of = (found.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            own = [np.flatnonzero(of == k) for k in range(buckets)]
+            kept = [k for k in range(buckets) if len(own[k])]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), *(pa.array([x[own[k]].astype(np.int64).tobytes() for k in kept], pa.binary()) for x in (found, many))], ["bucket", "sets", "many"])
             return
         for a in range(0, len(starts), 4096):
             b = min(len(starts), a + 4096)
@@ -240,16 +279,18 @@ def _cores(docs: DataFrame, named: DataFrame, text: str, length: int, percent: i
     words = -(-int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // 6)  # and so about a shingle each
     sizes = named.filter("n > 0").groupBy(F.col("set").alias("_set")).agg(F.max("n").alias("n"))
 
-    def dealt(parts: int, bits: int, kind: str, chosen: Broadcast | None = None) -> DataFrame:
+    def dealt(parts: int, bits: int, kind: str, buckets: int = 0, chosen: Broadcast | None = None) -> DataFrame:
         postings = in_tasks(docs.select(text), _postings(text, length, parts, 1 << 21, bits, chosen), POSTINGS)
-        return postings.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_shared(1 << 19, "members" in kind), kind)
+        return postings.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_shared(1 << 19, buckets), kind)
 
     enough = F.size("core") >= needed(F.col("n"), percent)
-    counts = dealt(max(1, -(-words // each)), min(64, 13 + words.bit_length()), "set long, many long").groupBy("set").agg(F.sum("many").alias("many"))
+    buckets = max(1, -(-sizes.count() // (1 << 18)))
+    credits = dealt(max(1, -(-words // each)), min(64, 13 + words.bit_length()), CREDITS, buckets)
+    counts = credits.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_credited(1 << 21), "set long, many long")
     able = cut(counts.join(sizes, F.col("set") == F.col("_set")).filter(F.col("many") >= needed(F.col("n"), percent)).select("set", "n"))
     postings = able.agg(F.sum("n")).first()[0] or 0
     chosen = docs.sparkSession.sparkContext.broadcast(bitmap(able, "set"))
-    lists = dealt(max(1, -(-postings // each)), 64, "set long, members array<long>", chosen)
+    lists = dealt(max(1, -(-postings // each)), 64, "set long, members array<long>", chosen=chosen)
     lists = lists.groupBy("set").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("core"))
     lists = cut(lists.join(sizes, F.col("set") == F.col("_set")).select("set", "n", "core").filter(enough))
     flat = lists.select("set", "n", F.explode("core").alias("member"))
@@ -322,10 +363,12 @@ def _connected(nodes: DataFrame, postings: DataFrame, percent: int, hot: int, ro
     held = rows.groupBy("member", "comp").agg(F.count("*").alias("many"))
     lists = held.groupBy(F.col("member").alias("_member")).agg(F.max_by("comp", F.struct("many", "comp")).alias("large"), F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
     rows = cut(rows.join(lists, F.col("member") == F.col("_member")).drop("_member"))
-    one = rows.filter("comp <> large").select("member", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("asked").alias("ax"), F.col("comp").alias("cx"))
-    other = rows.select(F.col("member").alias("_member"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("asked").alias("ay"), F.col("comp").alias("cy"), "large")
+    one = rows.filter("comp <> large").select("member", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("asked").alias("ax"), F.col("rest").alias("rx"), F.col("comp").alias("cx"))
+    other = rows.select(F.col("member").alias("_member"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("asked").alias("ay"), F.col("rest").alias("ry"), F.col("comp").alias("cy"), "large")
     apart = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("large")) | (F.col("x") < F.col("y"))) & _close("nx", "ny", percent)
-    met = one.join(other, (F.col("member") == F.col("_member")) & apart)
+    # Of a pair that is alike the first l matches leave enough behind them, in both, to share what its sizes need.
+    far = F.least("rx", "ry") + F.least("ax", "ay") >= F.ceil((F.col("nx") + F.col("ny")) * percent / (100 + percent))
+    met = one.join(other, (F.col("member") == F.col("_member")) & apart & far)
     pairs = met.groupBy(*sides("x", "y")).agg(F.count("*").alias("shared"), F.min(F.least("ax", "ay")).alias("asked"))
     links, labels = add(_verified(pairs.filter("shared >= asked").select("a", "b"), nodes, percent))
     return labels
@@ -346,7 +389,9 @@ def classes(
     nodes = cut(keyed.groupBy(*same).agg(F.min("set").alias("node"), F.count("*").alias("sets"), F.first("core").alias("core"), F.first("members").alias("members")))
     nodes = nodes.withColumn("asked", _prefix(percent, longest, weight)).withColumn("spare", F.col("n") - F.size("core"))
     prefix = F.slice("core", F.lit(1), (F.size("core") - needed(F.col("n"), percent) + F.col("asked")).cast("int"))
-    postings = cut(nodes.select("node", "n", "asked", "spare", F.explode(prefix).alias("_x")).select("node", "n", "asked", "spare", "_x.member"))
+    rest = F.size("core") - F.col("_at") - 1
+    postings = nodes.select("node", "n", "asked", "spare", "core", F.posexplode(prefix).alias("_at", "_x"))
+    postings = cut(postings.select("node", "n", "asked", "spare", rest.cast("long").alias("rest"), "_x.member"))
     labels = _connected(nodes, postings, percent, hot, rounds)
     alone = (F.col("sets") > 1) & alike(F.size("members"), F.col("n"), F.col("n"), percent)
     known = nodes.select(*same, "node", alone.alias("_alone"))
