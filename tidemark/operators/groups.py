@@ -181,19 +181,19 @@ def join_on(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
     return left.join(other, same).drop(*(f"_right_{key}" for key in keys))
 
 
-#: Cells that the values of a key, and then those of a cell, are cut into.
-CELLS = 64
+#: Cells that the values of a key are cut into.
+CELLS = 256
 
 
-def median(df: DataFrame, key: str, value: str, cells: int = CELLS, levels: int = 2) -> DataFrame:
+def median(df: DataFrame, key: str, value: str, cells: int = CELLS, levels: int = 1) -> DataFrame:
     """Exact median per key (mean of the middle two for even counts) as ``median``.
 
     Equal values are counted first. A quantile sketch of the distinct values of a key,
     combined before the shuffle, gives the edges of cells with about as many distinct values
-    each, whatever their scale; counts per cell say which cells hold the middle positions.
-    Those are cut in the same way once more, and only the values of the cells left are
-    ordered: of a key with d distinct values about d / cells**levels in a task. The sketch
-    only lays out cells, so its error costs balance, not exactness.
+    each, whatever their scale; counts per cell say which cells hold the middle positions,
+    and only the values of those are ordered: of a key with d distinct values about
+    d / cells**levels in a task (``levels`` cuts the cells found in the same way again). The
+    sketch only lays out cells, so its error costs balance, not exactness.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(key).alias("_key"), F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     totals = counts.groupBy("_key").agg(F.sum("_n").alias("_all"))
