@@ -375,7 +375,7 @@ def _connected(nodes: DataFrame, postings: DataFrame, percent: int, hot: int, ro
 
 
 def classes(
-    docs: DataFrame, named: DataFrame, text: str = "text", length: int = 5, percent: int = 80, longest: int = 8, weight: float = 0.05,
+    docs: DataFrame, named: DataFrame, text: str = "text", length: int = 5, percent: int = 80, longest: int = 8, weight: float = 0.005,
     hot: int = 32, rounds: int = 3, each: int = 1 << 21,
 ) -> DataFrame:
     """(set, n, label): sets that are linked to another have the same label as that; others are not listed.
