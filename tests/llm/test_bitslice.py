@@ -1,14 +1,15 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitslice
+from tidemark.llm import bitslice, sql
 
 
-def expected(rows: dict, asked: dict, k: int) -> list[tuple]:
+def expected(rows: list[tuple], asked: dict, k: int) -> list[tuple]:
     out = []
     for q, weights in asked.items():
-        scores = sorted((-sum(a * b for a, b in zip(v, weights, strict=True)), i) for i, v in rows.items() if i != q and len(v) == len(weights))
+        scores = sorted((-sum(a * b for a, b in zip(v, weights, strict=True)), i) for i, v in rows if i != q and len(v) == len(weights))
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -22,7 +23,7 @@ def test_top_k_of_all_pairs(spark, bits):
     frame = spark.createDataFrame(list(rows.items()), "vec_id long, parts array<long>")
     asked = {i: v for i, v in rows.items() if i % 50 == 0}
     found = bitslice.top_k(frame, frame.filter("vec_id % 50 = 0"), k=7, bits=bits, block_rows=200, block_queries=5)
-    assert sorted(map(tuple, found.collect())) == expected(rows, asked, 7)
+    assert sorted(map(tuple, found.collect())) == expected(list(rows.items()), asked, 7)
 
 
 def test_index_selects_from_the_top_slice_down():
@@ -42,5 +43,22 @@ def test_odd_rows(spark):
     assert {r["vec_id"]: r["parts"] for r in parts.collect() if r["vec_id"] in (0, 200)} == {0: [512, -256], 200: [-1, 2048]}
     found = bitslice.top_k(parts, parts.filter(F.col("vec_id") % 100 == 0))
     good = {0: [512, -256], 1: [1024, 1024], 100: [0, 0], 200: [-1, 2048], 6: [102, 102, 102], 7: []}
-    assert sorted(map(tuple, found.collect())) == expected(good, {i: good[i] for i in (0, 100, 200)}, 10)
+    assert sorted(map(tuple, found.collect())) == expected([*good.items(), (100, good[100])], {i: good[i] for i in (0, 100, 200)}, 10)
     assert bitslice.top_k(parts.limit(0), parts).collect() == [] and bitslice.top_k(parts, parts.limit(0)).collect() == []
+
+
+def test_repeated_rows_have_a_rank_each(spark, tmp_path):
+    """Rows as often as they are there, one vec_id with many vectors, a query that comes twice."""
+    rows = [(1, [2.0, 1.0])] * 3 + [(2, [1.0, 0.5])] * 40 + [(100, [1.0, 1.0])] * 2 + [(200, [0.25, -1.0])]
+    rows += [(7, [k / 64, 0.5]) for k in range(30)] + [(100, [-1.0, 0.5])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = sorted(map(tuple, bitslice.op1(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()))
+    whole = [(i, [int(1024 * x) for x in v]) for i, v in rows]
+    best = []
+    for q, weights in ((100, [1024, 1024]), (100, [-1024, 512]), (200, [256, -1024])):
+        scores = sorted((-sum(a * b for a, b in zip(v, weights, strict=True)), i) for i, v in whole if i != q)
+        best += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:10])]
+    assert found == sorted(best) and [r[2] for r in found if r[0] == 100 and r[3] == 3 * 1024 * 1024] == [1, 1, 1]
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted(db.execute(sql.TOP_K).fetchall()) == found

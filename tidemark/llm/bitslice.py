@@ -141,20 +141,24 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 8, block
     """(query_id, rank, vec_id, score) of the k rows with the highest inner product per query.
 
     `rows` and `queries` have vec_id and `parts`, long vectors (see `quantised`). A row with the
-    query's own vec_id is no candidate; repeated rows count once; ties go to the smaller
-    vec_id; a query with fewer candidates has fewer rows. Only vectors of the query's length
-    are candidates. Null vectors and ids take no part; empty tables give no rows.
+    query's own vec_id is no candidate; a repeated row has a rank for each time it is there,
+    a repeated query is asked once; ties go to the smaller vec_id; a query with fewer
+    candidates has fewer rows. Only vectors of the query's length are candidates. Null
+    vectors and ids take no part; empty tables give no rows.
     """
-    rows = cut(rows.filter("vec_id is not null and parts is not null").distinct())
+    times = rows.filter("vec_id is not null and parts is not null").groupBy("vec_id", "parts").agg(F.count("*").alias("_times"))
+    # no query has more than k ranks for one row, however often it is there
+    times = times.withColumn("_times", F.least("_times", F.lit(k)).cast("int"))
+    rows = cut(times.withColumn("_times", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select("vec_id", "parts"))
     queries = cut(queries.filter("vec_id is not null and parts is not null").distinct())
     session = rows.sparkSession
     cores = session.sparkContext.defaultParallelism
     count, asked = rows.count(), queries.count()
     left = max(1, -(-count // block_rows), min(cores, -(-count // 1024)))
     right = max(1, -(-asked // block_queries))
-    own = rows.withColumn("_row", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(left)))
+    own = rows.withColumn("_row", F.pmod(F.xxhash64("vec_id", "parts", F.lit(1)), F.lit(left)))
     own = own.withColumn("_query", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(right - 1).cast("long"))))
-    theirs = queries.withColumn("_query", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(right)))
+    theirs = queries.withColumn("_query", F.pmod(F.xxhash64("vec_id", "parts", F.lit(2)), F.lit(right)))
     theirs = theirs.withColumn("_row", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(left - 1).cast("long"))))
 
     def arrays(part: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:

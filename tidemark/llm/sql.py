@@ -9,10 +9,11 @@ TOP_K = """
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     pairs AS (
-        SELECT q.vec_id AS query_id, v.vec_id,
+        SELECT q.vec_id AS query_id, q.parts AS asked, v.vec_id,
             CAST(coalesce(list_sum(list_transform(list_zip(q.parts, v.parts), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
-        FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.parts) = len(v.parts) WHERE q.vec_id % 100 = 0)
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        FROM (SELECT DISTINCT vec_id, parts FROM v WHERE vec_id % 100 = 0) q
+        JOIN v ON q.vec_id <> v.vec_id AND len(q.parts) = len(v.parts))
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
         vec_id, score
     FROM pairs QUALIFY rank <= 10
 """
