@@ -132,3 +132,21 @@ def test_op5_takes_a_short_last_sentence(spark, tmp_path):
     assert found[1]["text"] == rows[0][1] and found[4]["text"] == han
     assert found[2]["text"] == words(7, 5) + words(14, 6)
     assert found[3]["text"] == "" and found[5]["text"] == ""
+
+
+def test_rows_that_share_a_doc_id_or_have_none(spark):
+    """Of each passage one stays, whichever rows it is in; equal rows are cleaned like others."""
+    draw = random.Random(6)
+    words = lambda n: " ".join(f"v{draw.randrange(99999)}" for _ in range(n)) + ". "
+    shared, whole, lone = words(9) + words(8), words(10) + words(9) + words(4), words(7) + words(9)
+    rows = [(None, shared + words(11)), (None, words(13) + shared), (7, whole), (7, whole + words(14)), (None, whole)]
+    rows += [(9, lone)] * 5 + [(None, lone)] * 9000 + [(None, None)] * 3 + [(8, "")] * 2 + [(7, "short. row. ")] * 2
+    frame = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, hash string").repartition(5)
+    found = sentences.dedup(frame, tails=True).collect()
+    assert sorted(repr(r["doc_id"]) for r in found) == sorted(repr(d) for d, _ in rows)
+    left = [r["text"] for r in found if r["text"] is not None]
+    for passage in (shared, whole, lone):
+        assert sum(passage in x for x in left) == 1
+    assert [r["text"] for r in found if r["doc_id"] == 9 and r["text"]] == [lone]
+    assert sum(r["text"] is None for r in found) == 3 and sum(r["n_removed"] for r in found) == 2 + 2 * 3 + 2 * 9004
+    assert [r["text"] for r in found if r["doc_id"] == 7].count("short. row. ") == 2

@@ -6,8 +6,8 @@ sentence on, the shortest run of several consecutive sentences with enough words
 and, for the tails of passages, the shortest such run back from each sentence: together they
 cover every sentence of every run that occurs again. In scripts without spaces a character is
 a word.
-A join over all documents finds the runs that occur again. The first occurrence, by doc_id
-and place, stays; sentences that any other occurrence covers are removed.
+A join over all documents finds the runs that occur again. The first occurrence, by doc_id,
+a hash of the text and place, stays; sentences that any other occurrence covers are removed.
 
 What is shuffled for all texts is a count per hash; runs and texts move only where a bitmap
 of the hashes that occur again (or of the texts with such runs) has their bit set.
@@ -150,56 +150,90 @@ def _repeated(texts: DataFrame, several: int, enough: int, tails: bool) -> DataF
             yield pa.RecordBatch.from_arrays(columns, ["doc", "hash", "first", "behind", "again", "a", "b"])
 
     where = "doc long, hash long, first int, behind int, again boolean, a long, b long"
-    places = cut(in_tasks(texts.select("doc", "hash", "text"), place, where))
-    least = places.groupBy("a", "b").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    # texts in order as one number, so that its least is taken in a hash table
+    order = F.expr(f"cast(doc AS decimal(19, 0)) * {1 << 62}BD + shiftrightunsigned(hash, 2)").cast("decimal(38, 0)")
+    places = cut(in_tasks(texts.select("doc", "hash", "text"), place, where).withColumn("name", order))
+    least = places.groupBy("a", "b").agg(F.min("name").alias("least"), F.max("name").alias("most"))
     # written, so that the join deals both sides anew and can split a run that many texts share
     known = cut(least.filter("most > least").select(F.col("a").alias("_a"), F.col("b").alias("_b"), "least"))
-    met = places.join(known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left").filter("again or doc > least")
+    met = places.join(known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left").filter("again or name > least")
     return met.groupBy("doc", "hash").agg(F.collect_set(F.struct("first", "behind")).alias("runs"))
 
 
+def _once(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(texts without repeats of doc and hash, a row for each that is repeated with `n`, or None)."""
+    twice = cut(texts.groupBy("doc", "hash").agg(F.count("*").alias("n")).filter("n > 1"))
+    if twice.isEmpty():
+        return texts, None
+    bits = texts.sparkSession.sparkContext.broadcast(bitmap(twice, "hash"))
+    maybe = some(texts, "hash", bits).join(twice, ["doc", "hash"], "left")
+    one = cut(maybe.filter("n is not null").groupBy("doc", "hash").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("n").alias("n")))
+    plain = some(texts, "hash", bits, chosen=False).unionByName(maybe.filter("n is null").drop("n"))
+    return plain.unionByName(one.drop("n")), one
+
+
 def dedup(docs: DataFrame, several: int = 2, enough: int = 12, tails: bool = False) -> DataFrame:
     """Per row of `docs`: doc_id, n_sentences, n_removed and the text that is left.
 
-    Of equal runs the one with the smallest doc_id, and in it the first, stays. Rows that
-    share a doc_id do not count as repeats of each other; a null doc_id comes last. White
-    space goes with the sentence before it. Null texts stay null and have no sentences.
-    With `tails` every run of sentences counts, else the shortest from each sentence.
+    Of equal runs the one with the smallest doc_id, and in it the first, stays; of rows that
+    share a doc_id the one whose text has the smaller hash, and of equal rows any one. A null
+    doc_id comes last. White space goes with the sentence before it. Null texts stay null and
+    have no sentences. With `tails` every run of sentences counts, else the shortest from each
+    sentence.
     """
-    texts = _named(docs)
+    texts, repeated = _once(_named(docs))
     lists = cut(_repeated(texts, several, enough, tails))
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(lists, "hash"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, n_sentences long, n_removed long, text string"
 
+    def clean(piece: pa.RecordBatch, copies: bool) -> list:
+        data, rows = utf8(piece.column("text"))
+        found = Sentences(data, rows)
+        total = np.diff(found.of_row)
+        removed, kept = np.zeros(piece.num_rows, np.int64), piece.column("text")
+        change = np.zeros(len(found.first) + 1, np.int64)
+        if copies:  # every run is there before
+            first, behind, *_ = found.runs(several, enough, tails)
+            np.add.at(change, first, 1)
+            np.add.at(change, behind, -1)
+        elif "runs" in piece.schema.names:
+            for start, own in zip(found.of_row.tolist(), piece.column("runs").to_pylist(), strict=False):
+                for run in own or ():
+                    change[start + run["first"]] += 1
+                    change[start + run["behind"]] -= 1
+        if change.any():
+            gone = np.cumsum(change[:-1]) > 0
+            removed = np.bincount(found.row[gone], minlength=piece.num_rows)
+            cover = np.zeros(len(data) + 1, np.int64)
+            np.add.at(cover, found.begins[gone], 1)
+            np.add.at(cover, found.ends[gone], -1)
+            left = np.cumsum(cover[:-1]) == 0
+            edges = np.concatenate([[0], np.cumsum(left)])[rows]
+            missing = pa.array(kept.is_null().to_numpy(zero_copy_only=False))
+            joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), piece.num_rows, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data[left].tobytes())])
+            kept = pa.compute.if_else(missing, pa.scalar(None, pa.string()), joined.cast(pa.string()))
+        return [piece.column("doc_id"), pa.array(total), pa.array(removed), kept]
+
+    names = ["doc_id", "n_sentences", "n_removed", "text"]
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", 1 << 20):
-            data, rows = utf8(piece.column("text"))
-            found = Sentences(data, rows)
-            total = np.diff(found.of_row)
-            removed, kept = np.zeros(piece.num_rows, np.int64), piece.column("text")
-            runs = piece.column("runs").to_pylist() if "runs" in piece.schema.names else []
-            if any(runs):
-                change = np.zeros(len(found.first) + 1, np.int64)
-                for start, own in zip(found.of_row.tolist(), runs, strict=False):
-                    for run in own or ():
-                        change[start + run["first"]] += 1
-                        change[start + run["behind"]] -= 1
-                gone = np.cumsum(change[:-1]) > 0
-                removed = np.bincount(found.row[gone], minlength=piece.num_rows)
-                cover = np.zeros(len(data) + 1, np.int64)
-                np.add.at(cover, found.begins[gone], 1)
-                np.add.at(cover, found.ends[gone], -1)
-                left = np.cumsum(cover[:-1]) == 0
-                edges = np.concatenate([[0], np.cumsum(left)])[rows]
-                missing = pa.array(kept.is_null().to_numpy(zero_copy_only=False))
-                joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), piece.num_rows, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data[left].tobytes())])
-                kept = pa.compute.if_else(missing, pa.scalar(None, pa.string()), joined.cast(pa.string()))
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(total), pa.array(removed), kept], ["doc_id", "n_sentences", "n_removed", "text"])
+            yield pa.RecordBatch.from_arrays(clean(piece, copies=False), names)
+
+    def task_of_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text", 1 << 20):
+            yield pa.RecordBatch.from_arrays([*clean(piece, copies=True), piece.column("n")], [*names, "n"])
 
     touched = some(texts, "hash", bits).join(lists, ["doc", "hash"], "left").select("doc_id", "text", "runs")
     others = some(texts, "hash", bits, chosen=False).select("doc_id", "text")
-    return in_tasks(touched, task, out).union(in_tasks(others, task, out))
+    found = in_tasks(touched, task, out).union(in_tasks(others, task, out))
+    if repeated is None:
+        return found
+    # a row that comes n times is cleaned once more for its n - 1 copies, which are dealt out in chunks
+    more = in_tasks(repeated.select("doc_id", "text", "n"), task_of_copies, out + ", n long").withColumn("_chunk", F.explode(F.expr("sequence(0L, (n - 2) div 4096)")))
+    more = more.repartition(F.xxhash64("doc_id", "text", "_chunk")).withColumn("_copy", F.explode(F.expr("sequence(1L, least(4096L, n - 1 - _chunk * 4096))")))
+    return found.union(more.select(*names))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
