@@ -6,8 +6,9 @@ out, so at any slot a source is less than one block away from its target share.
 
 Weights are taken as they are, as exact fractions, and every row is placed: a source that has
 run out leaves, and the others go on in a new phase with their weights renormalised. One
-count per source decides all. The driver lays the slots out in their order (one for each
-block of rows) and hands them to Spark a part at a time.
+count per source decides all. The driver finds where phases end; the slots between are laid
+out by tasks, a range of slots each, as what has gone out before a slot can be told from the
+windows around it (`gone`).
 """
 
 from __future__ import annotations
@@ -17,56 +18,136 @@ import math
 from collections.abc import Iterator
 from fractions import Fraction
 from itertools import islice
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buckets_for, cut, numbered, table
+from tidemark.llm.common import buckets_for, cut, in_tasks, numbered, table
 
-#: What `phases` gives for a block.
+#: What is known of a block.
 TIMES = pa.schema([("_named", pa.string()), ("_turn", pa.int64()), ("phase", pa.int64()), ("release", pa.int64()), ("deadline", pa.int64()), ("slot", pa.int64())])
 
 
-def phases(weights: dict[str, float], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int, int]]:
-    """(source, block, phase, release, deadline, slot) of all blocks of sources with a weight.
+class Phase(NamedTuple):
+    """Slots from `start` on in which the same sources take part, by whole weights of one unit."""
+
+    start: int
+    slots: int
+    parts: dict[str, int]
+    done: dict[str, int]  # blocks that went out in the phases before
+
+
+def gone(parts: dict[str, int], total: int, slot: int) -> dict[str, int]:
+    """How many blocks of each source go out before `slot` of a phase.
+
+    Blocks with a deadline up to `slot` have gone. Of a source's one block whose window holds
+    `slot` inside, this is decided by the blocks that go before it (earlier deadline, then name): of
+    those released, n(s) before slot s, min over s of n(s) + slot - s go out before `slot`.
+    Only slots since the earliest of these releases matter, and a block goes if counting it
+    raises the minimum.
+    """
+    out = {name: part * slot // total for name, part in parts.items()}
+    inside = sorted((-(-(out[name] + 1) * total // part), name, out[name] * total // part) for name, part in parts.items() if part * slot % total)
+    if not inside:
+        return out
+    first = min(release for _, _, release in inside)
+    # releases before each slot s from `first` on, less s
+    before = {name: -(-part * first // total) for name, part in parts.items()}
+    later = [k * total // part - first for name, part in parts.items() for k in range(before[name], -(-part * slot // total))]
+    ahead = np.zeros(slot - first + 1, np.int64)
+    ahead[1:] = np.cumsum(np.bincount(np.array(later, np.int64), minlength=slot - first) - 1)
+    ahead += sum(before.values()) - first
+    # the least of each stretch between releases; blocks not yet counted lower those behind them
+    edges = sorted({release for _, _, release in inside})
+    least = np.minimum.reduceat(ahead[1:], np.array(edges) - first)
+    lower = np.searchsorted(np.sort([release for _, _, release in inside]), edges, side="right")
+    level = least - lower
+    counted = min(0, int(level.min()))
+    for _, name, release in inside:
+        level[np.searchsorted(edges, release) :] += 1
+        now = min(0, int(level.min()))
+        out[name] += now - counted
+        counted = now
+    return out
+
+
+def course(parts: dict[str, int], slot: int = 0) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) from `slot` of a phase on, without end."""
+    total = sum(parts.values())
+    coming = [(i * total // parts[name], -(-(i + 1) * total // parts[name]), name, i) for name, i in gone(parts, total, slot).items()]
+    heapq.heapify(coming)
+    ready: list[tuple[int, str, int, int]] = []
+    while True:
+        while coming and coming[0][0] <= slot:
+            release, deadline, name, i = heapq.heappop(coming)
+            heapq.heappush(ready, (deadline, name, i, release))
+        deadline, name, i, release = heapq.heappop(ready)
+        yield name, i, release, deadline, slot
+        slot += 1
+        heapq.heappush(coming, ((i + 1) * total // parts[name], -(-(i + 2) * total // parts[name]), name, i + 1))
+
+
+def plan(weights: dict[str, float], blocks: dict[str, int]) -> list[Phase]:
+    """The phases of sources with a weight, as many as sources at most.
 
     A phase ends before the slot that is due to a source without a block left; all such sources
     leave. In the next one the windows of the others begin anew at that slot, under their share
-    of the weights that are left. Fractions are exact, so no error grows with the slots.
+    of the weights that are left. Fractions are exact, so no error grows with the slots. Only
+    slots near the end of a phase are gone through, as no block beyond a source's last is
+    released earlier.
     """
     exact = {name: Fraction(weight) for name, weight in weights.items() if weight > 0}
     whole = math.lcm(*(x.denominator for x in exact.values()))
-    parts = {name: int(x * whole) for name, x in exact.items()}
-    done, active, slot, phase = dict.fromkeys(parts, 0), sorted(parts), 0, 0
-    while active:
-        start, total = slot, sum(parts[name] for name in active)
-        ready = [(-(-total // parts[name]), name, 0, 0) for name in active]
-        heapq.heapify(ready)
-        coming: list[tuple[int, int, str, int]] = []
-        while True:
-            while coming and coming[0][0] <= slot - start:
-                release, deadline, name, i = heapq.heappop(coming)
-                heapq.heappush(ready, (deadline, name, i, release))
-            deadline, name, i, release = heapq.heappop(ready)
-            if done[name] >= blocks.get(name, 0):
+    parts = {name: int(x * whole) for name, x in sorted(exact.items())}
+    done, start, out = dict.fromkeys(parts, 0), 0, []
+    while parts:
+        total = sum(parts.values())
+        left = {name: blocks.get(name, 0) - done[name] for name in parts}
+        near = min(left[name] * total // part for name, part in parts.items())
+        own = gone(parts, total, near)
+        for name, i, _, _, slot in course(parts, near):  # noqa: B007
+            if i >= left[name]:
                 break
-            yield name, done[name], phase, start + release, start + deadline, slot
-            done[name] += 1
-            slot += 1
-            heapq.heappush(coming, ((i + 1) * total // parts[name], -(-(i + 2) * total // parts[name]), name, i + 1))
-        active = [name for name in active if done[name] < blocks.get(name, 0)]
-        phase += 1
-
-
-def _laid_out(spark: SparkSession, weights: dict[str, float], blocks: dict[str, int], part: int = 1 << 18) -> DataFrame:
-    """The rows of `phases`, of which the driver holds `part` at a time."""
-    rows, out = phases(weights, blocks), spark.createDataFrame(TIMES.empty_table())
-    while some := list(islice(rows, part)):
-        out = out.union(cut(spark.createDataFrame(pa.table(list(map(list, zip(*some, strict=True))), schema=TIMES))))
+            own[name] = i + 1
+        out.append(Phase(start, slot, dict(parts), {name: done[name] for name in parts}))
+        start += slot
+        for name in own:
+            done[name] += own[name]
+        parts = {name: part for name, part in parts.items() if done[name] < blocks.get(name, 0)}
     return out
 
 
+def slots_between(planned: list[Phase], first: int, behind: int) -> Iterator[tuple[str, int, int, int, int, int]]:
+    """(source, block, phase, release, deadline, slot) of the slots from `first` to `behind`, not included."""
+    for number, (start, slots, parts, done) in enumerate(planned):
+        low, high = max(first, start), min(behind, start + slots)
+        if low < high:
+            for name, i, release, deadline, slot in islice(course(parts, low - start), high - low):
+                yield name, done[name] + i, number, start + release, start + deadline, start + slot
+
+
+def _laid_out(spark: SparkSession, weights: dict[str, float], blocks: dict[str, int], each: int = 1 << 16) -> DataFrame:
+    """A row of `TIMES` for each slot; a task lays out `each` slots at a time."""
+    planned = plan(weights, blocks)
+    last = sum(phase.slots for phase in planned)
+    # plain data, which executors can read without this package
+    sent = spark.sparkContext.broadcast([tuple(phase) for phase in planned])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [Phase(*phase) for phase in sent.value]
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                rows = slots_between(own, k * each, (k + 1) * each)
+                while some := list(islice(rows, 1 << 13)):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*some, strict=True), TIMES.types, strict=True)], schema=TIMES)
+
+    ranges = -(-last // each)
+    return in_tasks(spark.range(0, ranges, 1, max(1, min(ranges, 4096))), task, "_named string, _turn long, phase long, release long, deadline long, slot long")
+
+
 def source_key(column: str = "source"):
     """A source as a text without nulls: a null source is a source of its own."""
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
