@@ -8,7 +8,8 @@ significant slice downward then selects the k best approximate scores. The quant
 error is bounded by the weights, so rows that come within twice the bound of the k-th are
 selected too, from the same slices, and these boundary rows are scored exactly.
 
-Blocks of rows meet blocks of queries by a key, so neither side is ever whole in one task.
+A block's rows come first in its task and are indexed once; the queries then stream past them, a
+batch at a time, so neither side is ever whole in one task.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, table
+from tidemark.llm.common import cut, in_tasks, table
 
 WORD = 64
 
@@ -137,13 +138,14 @@ def quantised(vector: str, scale: int = 1024) -> Column:
     return F.when(F.col(vector).isNotNull() & ~F.coalesce(bad, F.lit(True)), F.transform(x, lambda v: F.floor(v * scale).cast("long")))
 
 
-def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 8, block_rows: int = 16_384, block_queries: int = 4096) -> DataFrame:
+def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 8, block_rows: int = 16_384, block_queries: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k rows with the highest inner product per query.
 
     `rows` and `queries` have vec_id and `parts`, long vectors (see `quantised`). A row with the
     query's own vec_id is no candidate; a repeated row has a rank for each time it is there,
     a repeated query is asked once; ties go to the smaller vec_id; a query with fewer
-    candidates has fewer rows. Only vectors of the query's length are candidates. Null
+    candidates has fewer rows. A task holds a block of about `block_rows` rows and asks
+    `block_queries` queries at a time. Only vectors of the query's length are candidates. Null
     vectors and ids take no part; empty tables give no rows.
     """
     times = rows.filter("vec_id is not null and parts is not null").groupBy("vec_id", "parts").agg(F.count("*").alias("_times"))
@@ -151,28 +153,26 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 8, block
     times = times.withColumn("_times", F.least("_times", F.lit(k)).cast("int"))
     rows = cut(times.withColumn("_times", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select("vec_id", "parts"))
     queries = cut(queries.filter("vec_id is not null and parts is not null").distinct())
-    session = rows.sparkSession
-    cores = session.sparkContext.defaultParallelism
-    count, asked = rows.count(), queries.count()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    count = rows.count()
     left = max(1, -(-count // block_rows), min(cores, -(-count // 1024)))
-    right = max(1, -(-asked // block_queries))
-    own = rows.withColumn("_row", F.pmod(F.xxhash64("vec_id", "parts", F.lit(1)), F.lit(left)))
-    own = own.withColumn("_query", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(right - 1).cast("long"))))
-    theirs = queries.withColumn("_query", F.pmod(F.xxhash64("vec_id", "parts", F.lit(2)), F.lit(right)))
-    theirs = theirs.withColumn("_row", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(left - 1).cast("long"))))
+    # a block's rows (_kind 0), moved once, and behind them all queries (_kind 1)
+    own = rows.select(F.pmod(F.xxhash64("vec_id", "parts", F.lit(1)), F.lit(left)).alias("_row"), F.lit(0).alias("_kind"), "vec_id", "parts")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(left - 1).cast("long")))
+    met = own.union(queries.select(every.alias("_row"), F.lit(1).alias("_kind"), "vec_id", "parts"))
 
-    def arrays(part: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def arrays(part: pa.Table | pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids and vectors of each length."""
-        vectors = part.column("parts").combine_chunks()
-        ids, wide = part.column("vec_id").to_numpy(), pa.compute.list_value_length(vectors).to_numpy(zero_copy_only=False)
+        vectors = part.column("parts")
+        vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+        ids, wide = part.column("vec_id").to_numpy(zero_copy_only=False), pa.compute.list_value_length(vectors).to_numpy(zero_copy_only=False)
         for width in np.unique(wide):
             chosen = wide == width
-            yield ids[chosen], vectors.filter(pa.array(chosen)).flatten().to_numpy().reshape(int(chosen.sum()), int(width))
+            yield ids[chosen], vectors.filter(pa.array(chosen)).flatten().to_numpy(zero_copy_only=False).reshape(int(chosen.sum()), int(width))
 
-    def meet(indexed: pa.Table, asking: pa.Table) -> pa.Table:
-        indexes = {vectors.shape[1]: Index(ids, vectors, bits) for ids, vectors in arrays(indexed)} if indexed.num_rows else {}
+    def asked(indexes: dict[int, Index], asking: pa.RecordBatch) -> pa.RecordBatch:
         out: list[list[np.ndarray]] = [[], [], [], []]
-        for ids, vectors in arrays(asking) if asking.num_rows else ():
+        for ids, vectors in arrays(asking):
             index = indexes.get(vectors.shape[1])
             for own_id, weights in zip(ids.tolist(), vectors, strict=True) if index else ():
                 found, scores = index.search(own_id, weights, k)
@@ -181,10 +181,28 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 8, block
                     column.append(x)
         flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
         keys = pa.array(flat[1].tolist() if len(flat[1]) else [], pa.binary())
-        return pa.table([pa.array(flat[0], pa.int64()), keys, pa.array(flat[2], pa.int64()), pa.array(flat[3], pa.int64())], ["query_id", "vector", "vec_id", "score"])
-
-    pairs = own.groupBy("_row", "_query").cogroup(theirs.groupBy("_row", "_query"))
-    found = pairs.applyInArrow(meet, "query_id long, vector binary, vec_id long, score long")
+        return pa.RecordBatch.from_arrays([pa.array(flat[0], pa.int64()), keys, pa.array(flat[2], pa.int64()), pa.array(flat[3], pa.int64())], ["query_id", "vector", "vec_id", "score"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, indexes = None, [], {}
+        for batch in batches:
+            keys = batch.column("_row").to_numpy(zero_copy_only=False) * 2 + batch.column("_kind").to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for first, behind in zip(edges[:-1], edges[1:], strict=True):
+                if first == behind:
+                    continue
+                part, (row, kind) = batch.slice(first, behind - first), divmod(int(keys[first]), 2)
+                if row != block:
+                    block, held, indexes = row, [], {}
+                if kind == 0:
+                    held.append(part)
+                    continue
+                if held:
+                    indexes, held = {vectors.shape[1]: Index(ids, vectors, bits) for ids, vectors in arrays(pa.Table.from_batches(held))}, []
+                for at in range(0, part.num_rows, block_queries):
+                    yield asked(indexes, part.slice(at, block_queries))
+
+    found = in_tasks(met.repartition(left, "_row").sortWithinPartitions("_row", "_kind"), task, "query_id long, vector binary, vec_id long, score long")
     best = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
