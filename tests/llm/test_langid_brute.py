@@ -92,3 +92,23 @@ def test_posterior_against_one_row_at_a_time(spark):
     clear = [(row, name, good) for row, name, sure, good in wanted if abs(sure - 0.5) > 0.01]
     assert len(clear) > 110 and [(row, found[row]["language"], found[row]["accepted"]) for row, _, _ in clear] == clear
     assert any(sure < 0.9 for _, _, sure, _ in wanted)
+
+
+def test_rows_do_not_widen_with_the_classes(spark):
+    """Classes far from the likeliest are not listed, and none of them would have changed a posterior."""
+    draw = random.Random(5)
+    rows = []
+    for k in range(300):
+        tag = "l" + "abcdefghijklmno"[k % 15]
+        own = random.Random(tag)
+        words = ["".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(15)]
+        rows.append((k, " ".join(draw.choice(words) for _ in range(draw.choice([0, 1, 3, 60, 200]))), tag, f"h{k % 7}"))
+    frame = langid.evidence(spark.createDataFrame(rows, "id long, text string, tag string, site string").repartition(3), "text", "tag", "site")
+    names, model = langid.fit(frame)
+    wide = {r["id"]: len(r["_logs"]) for r in langid.likelihoods(frame, names, model, ["id"]).collect()}
+    long = [k for k, text, _, _ in rows if len(text) > 1000]
+    assert len(names) == 16 and len(long) > 20 and all(wide[k] < 6 for k in long) and max(wide.values()) == 16
+    near, all_ = ({r["id"]: r for r in langid.identify(frame, ["id"], reach=reach).collect()} for reach in (150.0, 1e9))
+    assert len(near) == 300 and near.keys() == all_.keys()
+    for k, row in near.items():
+        assert (row["language"], row["accepted"]) == (all_[k]["language"], all_[k]["accepted"]) and abs(row["confidence"] - all_[k]["confidence"]) < 1e-12

@@ -114,9 +114,12 @@ def fit(rows: DataFrame, sample: int = 4000, least: int = 1) -> tuple[list[str],
     return [*names, UNKNOWN], found
 
 
-def likelihoods(rows: DataFrame, names: list[str], model: np.ndarray, keep: list[str], most: int = 200) -> DataFrame:
+def likelihoods(rows: DataFrame, names: list[str], model: np.ndarray, keep: list[str], most: int = 200, reach: float = 150.0) -> DataFrame:
     """Columns `keep` of all rows, _size and _logs: log likelihood of the whole text by class.
 
+    A row lists the classes within `reach` of its likeliest, so it does not widen with the
+    number of classes: priors and declarations, which are counts, cannot make up for more.
+
     Neighbouring trigrams tell much the same, so a text counts for `most` of them at most,
     by its mean over all. _best is the likeliest class, null for a text without letters.
     """
@@ -136,17 +139,19 @@ def likelihoods(rows: DataFrame, names: list[str], model: np.ndarray, keep: list
                 logs[:, k] = (sums[last] - sums[first]) / np.maximum(n, 1) * np.minimum(n, most)
             best = np.where(size > 0, logs.argmax(axis=1), -1)
             columns = [piece.column(name) for name in keep]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(piece.num_rows + 1) * len(names), pa.int32()), pa.array(logs.ravel()))
+            row, k = np.nonzero(logs >= logs.max(axis=1, keepdims=True) - reach)
+            inside = pa.StructArray.from_arrays([pa.array(k, pa.int32()), pa.array(logs[row, k])], ["k", "n"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(piece.num_rows + 1)), pa.int32()), inside)
             best = pa.array([names[k] if k >= 0 else None for k in best], pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(size), lists, best], [*keep, "_size", "_logs", "_best"])
 
-    schema = rows.select(*keep).schema.add("_size", T.LongType()).add("_logs", T.ArrayType(T.DoubleType())).add("_best", T.StringType())
+    schema = rows.select(*keep).schema.add("_size", T.LongType()).add("_logs", T.ArrayType(T.StructType().add("k", T.IntegerType()).add("n", T.DoubleType()))).add("_best", T.StringType())
     return in_tasks(rows.select("_text", *keep), task, schema)
 
 
-def _dense(column: pa.ListArray, classes: int) -> np.ndarray:
-    """A row's counts by class, from a list of (k, n)."""
-    out = np.zeros((len(column), classes))
+def _dense(column: pa.ListArray, classes: int, other: float = 0.0) -> np.ndarray:
+    """A row's numbers by class, from a list of (k, n); `other` for classes not in it."""
+    out = np.full((len(column), classes), other)
     pairs = column.flatten()
     row = np.repeat(np.arange(len(column)), pa.compute.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))
     out[row, pairs.field("k").to_numpy(zero_copy_only=False)] = pairs.field("n").to_numpy(zero_copy_only=False)
@@ -158,7 +163,7 @@ def _log_shares(counts: np.ndarray, smooth: float, parent: np.ndarray) -> np.nda
     return np.log((counts + smooth * np.exp(parent)) / (counts.sum(axis=1, keepdims=True) + smooth))
 
 
-def identify(rows: DataFrame, keep: list[str], sample: int = 4000, least: int = 1, smooth_host: float = 20.0, smooth_suffix: float = 50.0, most: int = 200) -> DataFrame:
+def identify(rows: DataFrame, keep: list[str], sample: int = 4000, least: int = 1, smooth_host: float = 20.0, smooth_suffix: float = 50.0, most: int = 200, reach: float = 150.0) -> DataFrame:
     """Columns `keep` of `evidence(...)` rows with language, confidence and accepted.
 
     A row is accepted if its text has letters, its likeliest class is a language and that has
@@ -167,7 +172,7 @@ def identify(rows: DataFrame, keep: list[str], sample: int = 4000, least: int =
     are null tell nothing of their own. An empty table gives no rows.
     """
     names, model = fit(rows, sample, least)
-    scored = cut(likelihoods(rows, names, model, [*keep, "_declared", "_host", "_suffix"], most))
+    scored = cut(likelihoods(rows, names, model, [*keep, "_declared", "_host", "_suffix"], most, reach))
     # of all rows: what the text makes likeliest, and what is declared with it
     known = F.when(F.col("_declared").isin(names[:-1]), F.col("_declared")).when(F.col("_declared").isNotNull(), F.lit(UNKNOWN))
     met = scored.filter("_best is not null").groupBy(known.alias("said"), "_best").count().collect()  # classes x classes
@@ -199,8 +204,8 @@ def identify(rows: DataFrame, keep: list[str], sample: int = 4000, least: int =
             for first in range(0, whole.num_rows, step):
                 batch = whole.slice(first, step)
                 wider = _log_shares(_dense(batch.column("_wide"), len(names)), smooth_suffix, everything)
-                scores = batch.column("_logs").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(names))
-                scores = scores + _log_shares(_dense(batch.column("_own"), len(names)), smooth_host, wider)
+                scores = _dense(batch.column("_logs"), len(names), -np.inf)
+                scores += _log_shares(_dense(batch.column("_own"), len(names)), smooth_host, wider)
                 scores += sent.value[[at[x] if x else -1 for x in batch.column("_said").to_pylist()]]
                 top = scores.argmax(axis=1)
                 confidence = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
