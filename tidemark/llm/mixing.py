@@ -129,6 +129,12 @@ def slots_between(planned: list[Phase], first: int, behind: int) -> Iterator[tup
                 yield name, done[name] + i, number, start + release, start + deadline, start + slot
 
 
+def phases(weights: dict[str, float], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int, int]]:
+    """`slots_between` over all slots, one after another."""
+    planned = plan(weights, blocks)
+    return slots_between(planned, 0, sum(phase.slots for phase in planned))
+
+
 def _laid_out(spark: SparkSession, weights: dict[str, float], blocks: dict[str, int], each: int = 1 << 16) -> DataFrame:
     """A row of `TIMES` for each slot; a task lays out `each` slots at a time."""
     planned = plan(weights, blocks)
