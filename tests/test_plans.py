@@ -221,3 +221,10 @@ def test_the_price_of_each_line_meets_days_not_lines(plans):
     assert plan.count("Window [last") == 2
     for window in re.finditer(r"Window \[last.*?\n(.*?\n){6}", plan):
         assert "l_orderkey" not in window.group(0)
+
+
+def test_bitmaps_are_built_where_the_long_lists_are(plans):
+    """A bitmap has 4 KB however few its items are, so that only those of long lists are built, and not one by one shuffled."""
+    lines = plans["m14_friend_favourites"].split("\n")
+    built = [n for n, line in enumerate(lines) if "partial_bitmap_construct_agg" in line]
+    assert built and not any("Exchange" in lines[n - 1] for n in built)

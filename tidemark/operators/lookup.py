@@ -105,9 +105,11 @@ def neighbour_items(edges: DataFrame, items: DataFrame, a: str, b: str, user: st
 def _offers(links: DataFrame, owned: DataFrame, heavy: int) -> DataFrame:
     """(_friend, _item): what each user's neighbours have, each item once."""
     ranged = owned.withColumn("_bucket", F.bitmap_bucket_number("_item")).groupBy("_friend", "_bucket")
-    # A list has at most the 32,768 numbers of its range.
-    few = ranged.agg(F.collect_list("_item").alias("_items")).filter(F.size("_items") < heavy)
-    many = ranged.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_item")).alias("_set")).filter(F.bitmap_count("_set") >= heavy)
+    # A list has at most the 32,768 numbers of its range. Only a long one becomes a bitmap of 4 KB, in the task that has it.
+    lists = ranged.agg(F.collect_list("_item").alias("_items"))
+    few = lists.filter(F.size("_items") < heavy)
+    long = lists.filter(F.size("_items") >= heavy).select("_friend", "_bucket", F.explode("_items").alias("_item"))
+    many = long.groupBy("_friend", "_bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("_item")).alias("_set"))
     light = links.join(few.select("_friend", F.explode("_items").alias("_item")), "_friend").select(F.col("_user").alias("_friend"), "_item")
     unions = links.join(many, "_friend").groupBy(F.col("_user").alias("_friend"), "_bucket").agg(F.bitmap_or_agg("_set").alias("_set"))
     return light.unionByName(members(unions, "_set", "_bucket", "_item").select("_friend", "_item")).distinct()
