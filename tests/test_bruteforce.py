@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import days, groups, intervals, lookup, scan
+from tidemark.operators import tasks as tasks_of
 
 EPOCH = datetime.datetime(2024, 2, 27)
 MICRO = datetime.timedelta(microseconds=1)
@@ -400,3 +401,18 @@ def test_top_k_in_salted_parts(spark, ties):
     found = groups.top_k(rows, "k", order, 1500, ties, salts=8)
     assert found.columns == plain.columns
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("tasks", [0, 7])
+def test_steps_in_more_tasks_than_the_session_gives(spark, tasks):
+    """Hot keys, repeats and nulls: the same rows whichever way they are dealt."""
+    rng = random.Random(5)
+    data = [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice([None, *range(12)]), rng.choice([None, 1, 2, 3])) for _ in range(400)]
+    df = spark.createDataFrame(data, "k int, d int, v int").withColumn("d", F.date_add(F.lit("2024-01-25").cast("date"), F.col("d"))).repartition(6)
+    whole = {(k, v): max(d for j, d, w in data if (j, w) == (k, v) and d is not None) for k, _, v in data}
+    found = tasks_of.grouped(df.select("k", "v", F.datediff("d", F.lit("2024-01-25")).alias("d")), ["k", "v"], tasks, {"d": F.max})
+    assert {(r.k, r.v): r.d for r in found.collect()} == whole and found.count() == len(whole)
+    for step in (
+        lambda n: lookup.as_of_each(df, df.withColumnRenamed("d", "at"), "k", "d", "at", "v", -1, "price", tasks=n),
+    ):
+        assert rows(step(tasks)) == rows(step(0))

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import groups, intervals, lookup, scan
+from tidemark.operators import groups, intervals, lookup, scan, tasks
 from tidemark.plans import loads, registry
 
 QUERIES = registry.queries()
@@ -228,3 +228,19 @@ def test_bitmaps_are_built_where_the_long_lists_are(plans):
     lines = plans["m14_friend_favourites"].split("\n")
     built = [n for n, line in enumerate(lines) if "partial_bitmap_construct_agg" in line]
     assert built and not any("Exchange" in lines[n - 1] for n in built)
+
+
+@pytest.mark.parametrize("name, by_session", [("m12b_price_on_order_day", {"sku_id", "_key"})])
+def test_tasks_follow_the_order_lines(spark, folder, small_pieces, monkeypatch, name, by_session):
+    """With fewer rows a task than the tables have, no shuffle of lines keeps the partitions of the session.
+
+    Lines meet the prices of their days in a join of the session's, which AQE can split.
+    """
+    few = sorted(map(tuple, QUERIES[name](spark, folder).collect()))
+    monkeypatch.setattr(tasks, "ROWS", 200)
+    found = QUERIES[name](spark, folder)
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert registry.Roles(spark, folder).tasks > session
+    dealt = re.findall(r"Exchange (?:hash|range)partitioning\((\w+)#.*, (\d+)\)", plan_of(found))
+    assert dealt and {key for key, parts in dealt if int(parts) <= session} == by_session
+    assert sorted(map(tuple, found.collect())) == few

@@ -9,6 +9,7 @@ from pyspark.sql.types import IntegralType
 from tidemark.functions.columns import date as day_of
 from tidemark.operators.groups import top_k
 from tidemark.operators.scan import numbered
+from tidemark.operators.tasks import dealt, grouped
 
 
 def as_of(dim: DataFrame, changes: DataFrame, key: str, date: str, at: str, value: str, default: object) -> DataFrame:
@@ -26,7 +27,7 @@ def as_of(dim: DataFrame, changes: DataFrame, key: str, date: str, at: str, valu
 
 
 def as_of_each(
-    rows: DataFrame, changes: DataFrame, key: str, at: str, date: str, value: str, default: object, name: str, cell: str = "month",
+    rows: DataFrame, changes: DataFrame, key: str, at: str, date: str, value: str, default: object, name: str, cell: str = "month", tasks: int = 0,
 ) -> DataFrame:
     """Every row of ``rows`` with the latest value of its key on or before the row's own ``at``, else the default.
 
@@ -39,24 +40,23 @@ def as_of_each(
     AQE splits that join where a key and day is hot.
     """
     day = F.col(date).cast("date")
-    known = changes.filter(F.col(key).isNotNull() & day.isNotNull() & F.col(value).isNotNull())
-    daily = known.groupBy(F.col(key).alias("_key"), day.alias("_day")).agg(F.max(value).alias("_set"))
-    asked = rows.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("_key"), F.col(at).cast("date").alias("_day"))
-    points = asked.withColumn("_set", F.lit(None).cast(changes.schema[value].dataType)).withColumn("_asked", F.lit(True))
-    points = points.unionByName(daily.withColumn("_asked", F.lit(False)))
+    kind = changes.schema[value].dataType
+    asked = rows.select(F.col(key).alias("_key"), F.col(at).cast("date").alias("_day"), F.lit(None).cast(kind).alias("_set"), F.lit(True).alias("_asked"))
+    known = changes.filter(F.col(value).isNotNull()).select(F.col(key).alias("_key"), day.alias("_day"), F.col(value).alias("_set"), F.lit(False).alias("_asked"))
+    points = asked.unionByName(known).filter(F.col("_key").isNotNull() & F.col("_day").isNotNull())
     # One row for each key and day: most are combined before the shuffle.
-    points = points.groupBy("_key", "_day").agg(F.max("_set").alias("_set"), F.bool_or("_asked").alias("_asked")).withColumn("_cell", F.trunc("_day", cell))
+    points = grouped(points, ["_key", "_day"], tasks, {"_set": F.max, "_asked": F.bool_or}).withColumn("_cell", F.trunc("_day", cell)).filter(F.col("_cell").isNotNull())
     within = Window.partitionBy("_key", "_cell").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
-    points = points.withColumn("_here", F.last("_set", ignorenulls=True).over(within))
-    ends = points.filter(F.col("_set").isNotNull()).groupBy("_key", "_cell").agg(F.max_by("_set", "_day").alias("_end"))
-    cells = points.filter("_asked").select("_key", "_cell", F.lit(None).cast(changes.schema[value].dataType).alias("_end")).distinct().unionByName(ends)
-    cells = cells.groupBy("_key", "_cell").agg(F.max("_end").alias("_end"))
+    points = dealt(points, tasks, "_key", "_cell").withColumn("_here", F.last("_set", ignorenulls=True).over(within))
+    # The same columns as above, so that both uses are one shuffle.
+    known_on = F.when(F.col("_set").isNotNull(), F.col("_day"))
+    cells = dealt(points.groupBy("_key", "_cell").agg(F.max_by("_set", known_on).alias("_end"), F.bool_or("_asked").alias("_any")), tasks, "_key")
     before = Window.partitionBy("_key").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select(F.col("_key").alias("_of"), F.col("_cell").alias("_in"), F.last("_end", ignorenulls=True).over(before).alias("_before"))
+    cells = cells.select(F.col("_key").alias("_of"), F.col("_cell").alias("_in"), F.last("_end", ignorenulls=True).over(before).alias("_before"), "_any").filter("_any")
     found = points.filter("_asked").join(cells, (F.col("_key") == F.col("_of")) & (F.col("_cell") == F.col("_in")))
     found = found.select("_key", "_day", F.coalesce("_here", "_before").alias("_value"))
     met = rows.join(found, (F.col(key) == F.col("_key")) & (F.col(at).cast("date") == F.col("_day")), "left")
-    return met.select(*(F.col(c) for c in rows.columns), F.coalesce("_value", F.lit(default).cast(changes.schema[value].dataType)).alias(name))
+    return met.select(*(F.col(c) for c in rows.columns), F.coalesce("_value", F.lit(default).cast(kind)).alias(name))
 
 
 def last_change(changes: DataFrame, key: str, date: str, value: str) -> DataFrame:

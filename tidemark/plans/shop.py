@@ -279,10 +279,10 @@ def price_as_of(sku: DataFrame, price_change: DataFrame, at: str, default: objec
     )
 
 
-def price_on_day(lines: DataFrame, price_change: DataFrame, default: object = 99) -> DataFrame:
+def price_on_day(lines: DataFrame, price_change: DataFrame, default: object = 99, tasks: int = 0) -> DataFrame:
     """Every order line with the price its item had on the day of the order."""
     bought = lines.select("order_id", "sku_id", "create_date")
-    return lookup.as_of_each(bought, price_change, "sku_id", "create_date", "change_date", "new_price", default, "price")
+    return lookup.as_of_each(bought, price_change, "sku_id", "create_date", "change_date", "new_price", default, "price", tasks=tasks)
 
 
 def last_price_change(price_change: DataFrame) -> DataFrame:

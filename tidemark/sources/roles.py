@@ -7,10 +7,13 @@ the other side of `lineitem` x `orders` do not join it. Money is in whole cents.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import cents, epoch_second
+from tidemark.operators.tasks import dealt, grouped, tasks_for
 from tidemark.sources.schemas import STAR
 from tidemark.sources.tables import read_table
 
@@ -23,6 +26,11 @@ class Roles:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.folder}/{name}.parquet", STAR[name])
 
+    @cached_property
+    def tasks(self) -> int:
+        """Tasks for steps on all order lines."""
+        return tasks_for(self.table("lineitem"))
+
     # -- school ---------------------------------------------------------------
 
     def student(self) -> DataFrame:
@@ -44,10 +52,12 @@ class Roles:
 
     def score(self) -> DataFrame:
         """One result per student and course: the largest line quantity."""
-        bought = self._lines().select("o_custkey", "l_suppkey", "l_quantity")
-        return bought.groupBy(F.col("o_custkey").alias("stu_id"), F.col("l_suppkey").alias("course_id")).agg(
-            F.max(F.col("l_quantity").cast("int")).alias("score")
+        bought = self._lines().select(
+            F.col("o_custkey").alias("stu_id"),
+            F.col("l_suppkey").alias("course_id"),
+            F.col("l_quantity").cast("int").alias("score"),
         )
+        return grouped(bought, ["stu_id", "course_id"], self.tasks, {"score": F.max})
 
     # -- shop -----------------------------------------------------------------
 
@@ -111,10 +121,12 @@ class Roles:
         )
 
     def price_change(self) -> DataFrame:
-        line = self.table("lineitem")
-        return line.groupBy(
-            F.col("l_partkey").alias("sku_id"), F.col("l_shipdate").cast("date").alias("change_date")
-        ).agg(F.max(cents(F.col("l_extendedprice"))).alias("new_price"))
+        shipped = self.table("lineitem").select(
+            F.col("l_partkey").alias("sku_id"),
+            F.col("l_shipdate").cast("date").alias("change_date"),
+            cents(F.col("l_extendedprice")).alias("new_price"),
+        )
+        return grouped(shipped, ["sku_id", "change_date"], self.tasks, {"new_price": F.max})
 
     def target(self) -> DataFrame:
         """Monthly targets of shops in cents, of three amounts; every third shop has none."""
@@ -198,4 +210,6 @@ class Roles:
         )
 
     def _lines(self) -> DataFrame:
-        return self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = dealt(self.table("lineitem"), self.tasks, "l_orderkey")
+        orders = dealt(self.table("orders"), self.tasks, "o_orderkey")
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
