@@ -414,6 +414,8 @@ def test_steps_in_more_tasks_than_the_session_gives(spark, tasks):
     assert {(r.k, r.v): r.d for r in found.collect()} == whole and found.count() == len(whole)
     for step in (
         lambda n: groups.equal_scores(df, "k", "d", "v", tasks=n),
+        lambda n: days.islands(df, "k", "d", tasks=n),
+        lambda n: days.islands(df, ["k", "v"], "d", max_gap=2, tasks=n),
         lambda n: lookup.as_of_each(df, df.withColumnRenamed("d", "at"), "k", "d", "at", "v", -1, "price", tasks=n),
     ):
         assert rows(step(tasks)) == rows(step(0))

@@ -230,7 +230,7 @@ def test_bitmaps_are_built_where_the_long_lists_are(plans):
     assert built and not any("Exchange" in lines[n - 1] for n in built)
 
 
-@pytest.mark.parametrize("name, by_session", [("m12b_price_on_order_day", {"sku_id", "_key"}), ("p5_9_equal_scores", set())])
+@pytest.mark.parametrize("name, by_session", [("m12b_price_on_order_day", {"sku_id", "_key"}), ("p5_9_equal_scores", set()), ("m29_selling_ranges", set())])
 def test_tasks_follow_the_order_lines(spark, folder, small_pieces, monkeypatch, name, by_session):
     """With fewer rows a task than the tables have, no shuffle of lines keeps the partitions of the session.
 

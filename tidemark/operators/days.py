@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import count_if, date, month_number, month_start
 from tidemark.operators.groups import Keys, as_list
+from tidemark.operators.tasks import dealt, grouped
 
 
-def distinct_days(df: DataFrame, keys: Keys, day: str) -> DataFrame:
+def distinct_days(df: DataFrame, keys: Keys, day: str, tasks: int = 0) -> DataFrame:
     """Each day of a key once, as a date; unknown days are left out."""
     days = df.select(*as_list(keys), F.col(day).cast("date").alias(day))
-    return days.filter(F.col(day).isNotNull()).distinct()
+    return grouped(days.filter(F.col(day).isNotNull()), days.columns, tasks, {})
 
 
-def islands(df: DataFrame, keys: Keys, day: str, unit: str = "day", max_gap: int = 1) -> DataFrame:
+def islands(df: DataFrame, keys: Keys, day: str, unit: str = "day", max_gap: int = 1, tasks: int = 0) -> DataFrame:
     """Runs of days (or months) per key with steps of at most ``max_gap``.
 
     Returns the keys, start, end, n_points (days present) and span (days from
@@ -33,7 +34,7 @@ def islands(df: DataFrame, keys: Keys, day: str, unit: str = "day", max_gap: int
         df = df.withColumn(day, month_start(F.col(day)))
     number = month_number(F.col(day)) if unit == "month" else F.unix_date(F.col(day))
     in_order = Window.partitionBy(*keys).orderBy("_no")
-    points = distinct_days(df, keys, day).withColumn("_no", number)
+    points = dealt(distinct_days(df, keys, day, tasks), tasks, *keys).withColumn("_no", number)
     if max_gap == 1:
         # Without tolerated gaps the distance to the row number stays the same along a run.
         island = F.col("_no") - F.row_number().over(in_order)

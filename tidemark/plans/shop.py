@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import band, between, date, in_year, month_start, percent_text, share
 from tidemark.operators import days, groups, lookup, scan
+from tidemark.operators.tasks import more_tasks
 
 # Spend bands of the membership levels, (upper bound, label) and the top label.
 VIP_BANDS = [
@@ -189,11 +190,13 @@ def days_over(lines: DataFrame, item: str, amount: float, n: int = 3) -> DataFra
     return runs.filter(F.col("n_points") >= n).select(item).distinct()
 
 
-def selling_ranges(lines: DataFrame) -> DataFrame:
-    runs = days.islands(lines, "sku_id", "create_date")
-    return runs.select("sku_id", F.col("start").alias("start_date"), F.col("end").alias("end_date")).orderBy(
-        "sku_id", "start_date"
-    )
+def selling_ranges(lines: DataFrame, tasks: int = 0) -> DataFrame:
+    runs = days.islands(lines, "sku_id", "create_date", tasks=tasks)
+    ranges = runs.select("sku_id", F.col("start").alias("start_date"), F.col("end").alias("end_date"))
+    # A sort over ranges that are there already keeps to their number.
+    if more_tasks(ranges, tasks):
+        ranges = ranges.repartitionByRange(tasks, "sku_id", "start_date")
+    return ranges.orderBy("sku_id", "start_date")
 
 
 def sell_through(lines: DataFrame, sku: DataFrame, first: str, n_days: int = 7) -> DataFrame:
